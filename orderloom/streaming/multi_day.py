@@ -1,0 +1,86 @@
+"""Lifecycles that span trading days: one state per order, closed after a quiet period."""
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
+
+from orderloom.functions.columns import on_type, signed_qty, status
+
+ORDER = "customer_order_id"
+DAY_MS = 86_400_000
+# what is kept per order, and how two parts of it combine
+TOTALS = {"ts_first_event": "min", "ts_last_event": "max", "total_qty": "max",
+          "filled_qty": "sum", "route_count": "sum", "fill_count": "sum", "is_canceled": "max"}
+_COLUMNS = ", ".join(f"{name} long" for name in TOTALS)
+PART_SCHEMA = f"{ORDER} string, event_time timestamp, {_COLUMNS}"
+STATE_SCHEMA = T.StructType([T.StructField(name, T.LongType()) for name in TOTALS])
+OUTPUT_SCHEMA = f"{ORDER} string, {_COLUMNS}, is_closed boolean"
+NO_QTY = -1  # total_qty before the NEW event; the state store keeps plain numbers
+
+
+def _combine(batches):
+    """Totals per order within an Arrow batch, so a busy order sends few rows to its state."""
+    for rows in batches:
+        parts = rows.groupby(ORDER, as_index=False).agg({"event_time": "max", **TOTALS})
+        yield parts[[ORDER, "event_time", *TOTALS]]
+
+
+class OrderState(StatefulProcessor):
+    def __init__(self, quiet_ms):
+        self.quiet_ms = quiet_ms
+
+    def init(self, handle):
+        self.handle = handle
+        self.totals = handle.getValueState("totals", STATE_SCHEMA)
+
+    def _output(self, key, totals, closed):
+        return pd.DataFrame({ORDER: [key[0]], **{n: [v] for n, v in zip(TOTALS, totals)},
+                             "is_closed": [closed]})
+
+    def handleInputRows(self, key, rows, timerValues):
+        old = self.totals.get() if self.totals.exists() else None
+        parts = [p[list(TOTALS)] for p in rows]
+        if old is not None:
+            parts.append(pd.DataFrame([tuple(old)], columns=list(TOTALS)))
+        merged = pd.concat(parts).agg(TOTALS)
+        totals = tuple(int(merged[n]) for n in TOTALS)
+        self.totals.update(totals)
+        if old is not None:
+            self.handle.deleteTimer(old[1] + self.quiet_ms)
+        self.handle.registerTimer(totals[1] + self.quiet_ms)
+        yield self._output(key, totals, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.totals.exists():
+            totals = tuple(self.totals.get())
+            self.totals.clear()
+            yield self._output(key, totals, True)
+
+    def close(self):
+        pass
+
+
+def multi_day_stream(events: DataFrame, delay, quiet_days=1) -> DataFrame:
+    """Streaming, update mode: the state of each order after each batch, and a closing row
+    `quiet_days` after its last event. `events` must be deduplicated."""
+    number = "long"
+    parts = events.select(
+        ORDER, "event_time", F.col("ts_event").alias("ts_first_event"),
+        F.col("ts_event").alias("ts_last_event"),
+        F.coalesce(on_type("NEW", F.col("qty")).cast(number), F.lit(NO_QTY)).alias("total_qty"),
+        signed_qty().alias("filled_qty"),
+        F.when(F.col("event_type") == "ROUTE", 1).otherwise(0).cast(number)
+        .alias("route_count"),
+        F.when(F.col("event_type") == "FILL", 1).otherwise(0).cast(number).alias("fill_count"),
+        F.when(F.col("event_type") == "CANCEL", 1).otherwise(0).cast(number)
+        .alias("is_canceled"),
+    ).mapInPandas(_combine, PART_SCHEMA)
+    out = (parts.withWatermark("event_time", delay).groupBy(ORDER)
+           .transformWithStateInPandas(
+               OrderState(quiet_days * DAY_MS), OUTPUT_SCHEMA, "Update", "EventTime"))
+    total = F.when(F.col("total_qty") != NO_QTY, F.col("total_qty"))
+    return out.withColumn("total_qty", total).withColumn(
+        "status", status(F.col("is_canceled") == 1, F.col("filled_qty"), F.col("total_qty"),
+                         F.col("route_count")))
