@@ -14,7 +14,7 @@ DAY_MS = 86_400_000
 TOTALS = {"ts_first_event": "min", "ts_last_event": "max", "total_qty": "max",
           "filled_qty": "sum", "route_count": "sum", "fill_count": "sum", "is_canceled": "max"}
 _COLUMNS = ", ".join(f"{name} long" for name in TOTALS)
-PART_SCHEMA = f"{ORDER} string, event_time timestamp, {_COLUMNS}"
+PART_SCHEMA = f"{ORDER} string, {_COLUMNS}"
 STATE_SCHEMA = T.StructType([T.StructField(name, T.LongType()) for name in TOTALS])
 OUTPUT_SCHEMA = f"{ORDER} string, {_COLUMNS}, is_closed boolean"
 NO_QTY = -1  # total_qty before the NEW event; the state store keeps plain numbers
@@ -23,8 +23,8 @@ NO_QTY = -1  # total_qty before the NEW event; the state store keeps plain numbe
 def _combine(batches):
     """Totals per order within an Arrow batch, so a busy order sends few rows to its state."""
     for rows in batches:
-        parts = rows.groupby(ORDER, as_index=False).agg({"event_time": "max", **TOTALS})
-        yield parts[[ORDER, "event_time", *TOTALS]]
+        parts = rows.groupby(ORDER, as_index=False).agg(TOTALS)
+        yield parts[[ORDER, *TOTALS]]
 
 
 class OrderState(StatefulProcessor):
@@ -40,12 +40,14 @@ class OrderState(StatefulProcessor):
                              "is_closed": [closed]})
 
     def handleInputRows(self, key, rows, timerValues):
-        old = self.totals.get() if self.totals.exists() else None
-        parts = [p[list(TOTALS)] for p in rows]
-        if old is not None:
-            parts.append(pd.DataFrame([tuple(old)], columns=list(TOTALS)))
-        merged = pd.concat(parts).agg(TOTALS)
-        totals = tuple(int(merged[n]) for n in TOTALS)
+        old = tuple(self.totals.get()) if self.totals.exists() else None
+        totals = old
+        for part in rows:
+            if totals is not None:
+                part = pd.concat([part[list(TOTALS)],
+                                  pd.DataFrame([totals], columns=list(TOTALS))])
+            merged = part.agg(TOTALS)
+            totals = tuple(int(merged[n]) for n in TOTALS)
         self.totals.update(totals)
         if old is not None:
             self.handle.deleteTimer(old[1] + self.quiet_ms)
@@ -62,12 +64,13 @@ class OrderState(StatefulProcessor):
         pass
 
 
-def multi_day_stream(events: DataFrame, delay, quiet_days=1) -> DataFrame:
+def multi_day_stream(events: DataFrame, quiet_days=1) -> DataFrame:
     """Streaming, update mode: the state of each order after each batch, and a closing row
-    `quiet_days` after its last event. `events` must be deduplicated."""
+    `quiet_days` of event time after its last event. `events` carry a watermark and are
+    deduplicated."""
     number = "long"
     parts = events.select(
-        ORDER, "event_time", F.col("ts_event").alias("ts_first_event"),
+        ORDER, F.col("ts_event").alias("ts_first_event"),
         F.col("ts_event").alias("ts_last_event"),
         F.coalesce(on_type("NEW", F.col("qty")).cast(number), F.lit(NO_QTY)).alias("total_qty"),
         signed_qty().alias("filled_qty"),
@@ -77,7 +80,7 @@ def multi_day_stream(events: DataFrame, delay, quiet_days=1) -> DataFrame:
         F.when(F.col("event_type") == "CANCEL", 1).otherwise(0).cast(number)
         .alias("is_canceled"),
     ).mapInPandas(_combine, PART_SCHEMA)
-    out = (parts.withWatermark("event_time", delay).groupBy(ORDER)
+    out = (parts.groupBy(ORDER)
            .transformWithStateInPandas(
                OrderState(quiet_days * DAY_MS), OUTPUT_SCHEMA, "Update", "EventTime"))
     total = F.when(F.col("total_qty") != NO_QTY, F.col("total_qty"))
