@@ -70,13 +70,27 @@ def lifecycle_as_of(events: DataFrame, as_of_ms, snapshot_ms=None) -> DataFrame:
 
 def lifecycle_multi_day(events: DataFrame, snapshot_ms=None) -> DataFrame:
     """One row per order over all its trading days."""
-    out = events.groupBy(ORDER).agg(
-        *_state_columns(), F.min("ts_event").alias("_first"), F.max("ts_event").alias("_last"))
+    out = events.groupBy(ORDER).agg(*_state_columns())
     return (_with_status(out, snapshot_ms)
-            .withColumn("first_trade_date", trade_date("_first"))
-            .withColumn("last_trade_date", trade_date("_last"))
+            .withColumn("first_trade_date", trade_date("ts_first_event"))
+            .withColumn("last_trade_date", trade_date("ts_last_event"))
+            .withColumn("spans_days", F.col("first_trade_date") != F.col("last_trade_date")))
+
+
+def lifecycle_sessions(events: DataFrame, quiet="2 days", snapshot_ms=None) -> DataFrame:
+    """One row per order over all its days, closed once it was quiet for `quiet`.
+
+    A session window per order: as a stream (append mode) a row appears when the watermark
+    passes its last event by `quiet`, and its state is then gone. An event after that opens
+    a new session. `session.MERGE_SESSIONS` combines a busy order before the shuffle.
+    """
+    out = events.groupBy(F.session_window("event_time", quiet).alias("s"), ORDER).agg(
+        *_state_columns())
+    return (_with_status(out, snapshot_ms)
+            .withColumn("first_trade_date", trade_date("ts_first_event"))
+            .withColumn("last_trade_date", trade_date("ts_last_event"))
             .withColumn("spans_days", F.col("first_trade_date") != F.col("last_trade_date"))
-            .drop("_first", "_last"))
+            .drop("s"))
 
 
 def lifecycle_detail(events: DataFrame, inline_limit=INLINE_LIMIT, hot=None) -> DataFrame:

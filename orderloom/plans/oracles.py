@@ -369,6 +369,12 @@ def _multi_day(source):
     return _snapshot(source, "customer_order_id")
 
 
+_WHOLE_LIFE = f"""SELECT customer_order_id, {DAY.format('ts_first_event')} AS first_trade_date,
+    {DAY.format('ts_last_event')} AS last_trade_date,
+    {DAY.format('ts_first_event')} <> {DAY.format('ts_last_event')} AS spans_days,
+    ts_first_event, ts_last_event, total_qty, filled_qty, status, has_late_events FROM whole"""
+
+
 ORACLES = {
     "decode_events": sql(f"SELECT {FLAT} FROM raw"),
     "read_event_stream_files": sql(f"SELECT {FLAT} FROM raw"),
@@ -385,12 +391,8 @@ ORACLES = {
     "lifecycle_as_of": sql("SELECT * FROM early_snap",
                            early=f"SELECT * FROM u WHERE ts_event <= {AS_OF_MS}",
                            early_snap=_snapshot("early")),
-    "lifecycle_multi_day": sql(f"""SELECT customer_order_id,
-        {DAY.format('ts_first_event')} AS first_trade_date,
-        {DAY.format('ts_last_event')} AS last_trade_date,
-        {DAY.format('ts_first_event')} <> {DAY.format('ts_last_event')} AS spans_days,
-        ts_first_event, ts_last_event, total_qty, filled_qty, status, has_late_events
-        FROM whole""", whole=_multi_day("u")),
+    "lifecycle_multi_day": sql(_WHOLE_LIFE, whole=_multi_day("u")),
+    "lifecycle_sessions": sql(_WHOLE_LIFE, whole=_multi_day("u")),
     "lifecycle_detail": sql(_detail("u")),
     "lifecycle_detail_ext": sql(_detail("x")),
     "order_executions": sql("""SELECT customer_order_id, exec_id, qty, exec_price AS price,
@@ -582,12 +584,8 @@ ORACLES = {
     "write_snapshots": sql("SELECT * FROM snap"),
     "finalized_lifecycles": sql(f"""SELECT *, true AS is_finalized FROM snap
         WHERE {_DAY_END} <= {_WATERMARK}"""),
-    "lifecycle_multi_day_stream": sql(
-        f"""SELECT customer_order_id, ts_first_event, ts_last_event,
-        total_qty::BIGINT AS total_qty, filled_qty, route_count, fill_count,
-        is_canceled::BIGINT AS is_canceled,
-        ts_last_event + {DAY_MS} <= {_WATERMARK} AS is_closed, status FROM whole""",
-        whole=_multi_day("u")),
+    "lifecycle_multi_day_stream": sql(f"""{_WHOLE_LIFE}
+        WHERE ts_last_event + {2 * DAY_MS} <= {_WATERMARK}""", whole=_multi_day("u")),
     "read_state": sql(f"""SELECT event_id, ts_event AS event_ms FROM u
         WHERE ts_event > {_WATERMARK}"""),
 }

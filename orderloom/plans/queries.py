@@ -16,7 +16,7 @@ from orderloom.plans.workspace import AS_OF_MS, SNAPSHOT_MS, Workspace
 from orderloom.schema import ENVELOPE_FIELDS, EVENT_FIELDS
 from orderloom.sources import derived, tables
 from orderloom.sources.event_log import read_event_stream
-from orderloom.streaming import multi_day, pipeline, progress, sinks
+from orderloom.streaming import pipeline, progress, sinks
 
 ORDER = "customer_order_id"
 DELAY = "2 minutes"
@@ -91,13 +91,22 @@ def lifecycle_as_of(w):
     return _flat_snapshot(lc.lifecycle_as_of(w.unique_events(), AS_OF_MS, SNAPSHOT_MS))
 
 
-@query
-def lifecycle_multi_day(w):
-    return lc.lifecycle_multi_day(w.unique_events(), SNAPSHOT_MS).select(
+def _flat_multi_day(df):
+    return df.select(
         ORDER, "first_trade_date", "last_trade_date", "spans_days", "ts_first_event",
         "ts_last_event", "total_qty", "filled_qty", "status", "has_late_events")
 
 
+@query
+def lifecycle_multi_day(w):
+    return _flat_multi_day(lc.lifecycle_multi_day(w.unique_events(), SNAPSHOT_MS))
+
+
+@query
+def lifecycle_sessions(w):
+    return _flat_multi_day(lc.lifecycle_sessions(w.unique_events(), "2 days", SNAPSHOT_MS))
+
+
 def _flat_detail(df):
     execution = F.transform("executions", lambda e: F.concat_ws(
         ":", e["exec_id"], e["qty"].cast("string"), e["ts_event"].cast("string")))
@@ -507,11 +516,12 @@ def finalized_lifecycles(w):
 
 @query
 def lifecycle_multi_day_stream(w):
-    """State per order across days, closed a day after its last event."""
+    """Append mode: orders across days, once they were quiet for two days."""
     root = w.fresh_folder("stream")
     _finish(sinks.write_batches(
-        multi_day.multi_day_stream(_unique_stream(w)), "orders", root, "update", NOW))
-    return sinks.read_newest(w.spark, f"{root}/orders", [ORDER])
+        lc.lifecycle_sessions(_unique_stream(w), "2 days", SNAPSHOT_MS), "orders", root,
+        trigger=NOW))
+    return _flat_multi_day(sinks.read_batches(w.spark, f"{root}/orders"))
 
 
 def _measured(w):
