@@ -48,12 +48,23 @@ def _with_status(aggregated: DataFrame, snapshot_ms=None) -> DataFrame:
 
 
 def lifecycle_snapshot(events: DataFrame, snapshot_ms=None) -> DataFrame:
-    """One row per order and UTC trading day. Batch and streaming."""
-    day = F.window("event_time", "1 day").alias("day")
-    out = _with_status(events.groupBy(day, ORDER).agg(*_state_columns()), snapshot_ms)
-    out = out.withColumn("trade_date", F.col("day.start").cast("date").cast("string"))
+    """One row per order and UTC trading day. Batch and streaming.
+
+    A stream groups by a time window, whose end lets the watermark evict the state. In
+    batch the same day is a plain number, led by a hash of the order: text aggregates
+    sort, and this key sorts by its first eight bytes.
+    """
+    if events.isStreaming:
+        keys = [F.window("event_time", "1 day").alias("_day"), ORDER]
+        day = F.col("_day.start").cast("date")
+    else:
+        keys = [F.xxhash64(ORDER).alias("_hash"),
+                F.unix_date(F.col("event_time").cast("date")).alias("_day"), ORDER]
+        day = F.date_from_unix_date("_day")
+    out = _with_status(events.groupBy(*keys).agg(*_state_columns()), snapshot_ms)
+    out = out.withColumn("trade_date", day.cast("string"))
     return out.select(
-        *[c for c in out.columns if c not in ("day", "trade_date", "ts_snapshot")],
+        *[c for c in out.columns if c not in ("_hash", "_day", "trade_date", "ts_snapshot")],
         "trade_date", "ts_snapshot")
 
 

@@ -33,8 +33,11 @@ class Workspace:
                  .agg(F.count("*"), F.max("modificationTime"), F.sum("length")))
         return str(files.first())
 
+    def _key(self, name):
+        return self.spark.conf.get("spark.app.id"), self.sf_dir, self._version(), name
+
     def _table(self, name, build) -> DataFrame:
-        key = (self.spark.conf.get("spark.app.id"), self.sf_dir, self._version(), name)
+        key = self._key(name)
         if key in _written:
             path, schema = _written[key]
             try:
@@ -61,8 +64,8 @@ class Workspace:
 
     def topic_path(self) -> str:
         """Folder of the log as JSON messages."""
-        return self._table("topic", lambda: derived.messages(self.event_log())).inputFiles()[0] \
-            .rsplit("/", 1)[0]
+        self._table("topic", lambda: derived.messages(self.event_log()))
+        return _written[self._key("topic")][0]
 
     def topic(self) -> DataFrame:
         return read_messages(self.spark, self.topic_path())

@@ -10,6 +10,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 # The JVM never compiles methods above 8000 bytes of bytecode: better no whole-stage method
 # than an interpreted one. Halves the time of wide projections.
 HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
+# Hash instead of sort for a join whose build side was measured to be this small per task.
+HASH_JOIN_LIMIT = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+
 # Combine the sessions of a key within each input partition before the shuffle.
 MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
@@ -26,8 +29,10 @@ def session_conf(shuffle_partitions=None, checkpoint_dir=None, **extra):
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         HUGE_METHOD: "8000",
+        HASH_JOIN_LIMIT: "64m",
         MERGE_SESSIONS: "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
     }
@@ -53,7 +58,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 
     Trading days are UTC days: the day window is aligned to UTC, so dates must be too.
     """
-    for key in ("spark.sql.session.timeZone", HUGE_METHOD, MERGE_SESSIONS):
+    for key in ("spark.sql.session.timeZone", HUGE_METHOD, HASH_JOIN_LIMIT,
+                MERGE_SESSIONS):
         spark.conf.set(key, session_conf()[key])
     return spark
 
