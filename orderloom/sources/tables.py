@@ -1,6 +1,7 @@
 """Snapshot tables on shared storage."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def write_snapshot_table(snapshots: DataFrame, path: str,
@@ -16,4 +17,8 @@ def write_snapshot_table(snapshots: DataFrame, path: str,
 
 
 def read_snapshot_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The table with its dates as text, as written; Spark would infer dates from folder names."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "trade_date" else f
+              for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

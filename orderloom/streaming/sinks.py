@@ -32,30 +32,35 @@ def _batch_path(path, batch_id):
     return f"{path.rstrip('/')}/batch_id={batch_id}"
 
 
-def write_snapshots(snapshots: DataFrame, root: str, checks, trigger=None, name="lifecycle",
-                    publish=None):
-    """Update mode: each batch writes the changed snapshots and the exceptions in them.
-
-    The exceptions are found in the files just written, so the stateful plan runs once
-    and nothing needs to stay cached. A repeated batch overwrites its own folders.
-    `checks` maps snapshots to exceptions; `publish(df, kind)`, if given, also receives
-    both frames, for instance to send them to a broker.
-    """
+def snapshot_batch_writer(root: str, checks, name="lifecycle", publish=None):
+    """What `write_snapshots` does with each batch: `(frame, batch id) -> None`."""
     lifecycles, exceptions = f"{root.rstrip('/')}/{name}", f"{root.rstrip('/')}/exceptions"
 
     def write_batch(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
         here = _batch_path(lifecycles, batch_id)
         batch.write.mode("overwrite").parquet(here)
-        written = spark.read.schema(batch.schema).parquet(here)
+        written = batch.sparkSession.read.schema(batch.schema).parquet(here)
         found = checks(written)
         found.write.mode("overwrite").parquet(_batch_path(exceptions, batch_id))
         if publish is not None:
             publish(written, name)
             publish(found, "exceptions")
 
+    return write_batch
+
+
+def write_snapshots(snapshots: DataFrame, root: str, checks, trigger=None, name="lifecycle",
+                    publish=None):
+    """Update mode: each batch writes the changed snapshots and the exceptions in them.
+
+    The exceptions are found in the files just written, so the stateful plan runs once
+    and nothing needs to stay cached. A repeated batch overwrites its own folders.
+    `checks` maps snapshots to exceptions; `publish(df, kind)`, if given, also receives
+    both frames, for instance to send them to a broker.
+    """
     return _start(
-        snapshots.writeStream.queryName(name).foreachBatch(write_batch)
+        snapshots.writeStream.queryName(name)
+        .foreachBatch(snapshot_batch_writer(root, checks, name, publish))
         .option("checkpointLocation", checkpoint_path(root, name)).outputMode("update"),
         trigger)
 

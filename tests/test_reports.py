@@ -1,0 +1,70 @@
+from conftest import BASE_MS, event
+
+from orderloom.operators import reports as rp
+from orderloom.operators.lifecycle import lifecycle_snapshot
+from orderloom.sources import tables
+
+DAY = 86_400_000
+
+
+def snaps(log, durations, day=0):
+    rows = []
+    for i, ms in enumerate(durations):
+        order = f"O{i:03}"
+        rows += [event("NEW", day * DAY, customer_order_id=order),
+                 event("ROUTE", day * DAY + ms, customer_order_id=order)]
+    return lifecycle_snapshot(log(rows), BASE_MS + day)
+
+
+def test_percentiles_are_exact(log):
+    row = rp.completion_percentiles(snaps(log, range(1, 102))).first()
+    assert (row.lifecycles, row.p50_ms, row.p95_ms, row.p99_ms) == (101, 51, 96, 100)
+    assert row.mean_ms == 51
+
+
+def test_slow_lifecycles_longest_first(log):
+    found = rp.slow_lifecycles(snaps(log, [60_000, 60_001, 90_000])).collect()
+    assert [r.duration_seconds for r in found] == [90.0, 60.001]
+
+
+def test_pages_cover_a_lookup_once(log):
+    snapshots, seen, after = snaps(log, range(1, 8)), [], None
+    while page := rp.lifecycle_page(snapshots, 3, after, status="ROUTED").collect():
+        after = (page[-1].customer_order_id, page[-1].trade_date)
+        seen += [r.customer_order_id for r in page]
+    assert seen == [f"O{i:03}" for i in range(7)]
+
+
+def test_latest_snapshot_and_retention(log):
+    both = snaps(log, [5, 6]).unionByName(snaps(log, [7], day=40))
+    latest = {r.customer_order_id: r.trade_date for r in rp.latest_snapshots(both).collect()}
+    assert latest == {"O000": "2026-02-24", "O001": "2026-01-15"}
+    now = BASE_MS + 41 * DAY
+    assert rp.latest_snapshots(both, now).count() == 1
+    assert rp.expire(both, now, 30).count() == 1 and rp.expire(both, now, 50).count() == 3
+
+
+def test_resent_events(log):
+    rows = [event("FILL", 0, event_id="E", ts_ingest=BASE_MS + t) for t in (0, 5, 5)]
+    (row,) = rp.idempotency_report(log([*rows, event("NEW")])).collect()
+    assert (row.copies, row.ingest_times, row.dropped_by_dedup) == (3, 2, 2)
+    assert rp.duplicate_ids(log(rows)).first().copies == 3
+
+
+def test_late_rate_falls_with_the_delay(log):
+    found = {r.delay: r.late for r in rp.late_rate_by_delay(
+        log([event("ACK")], arrival=45_000)).collect()}
+    assert found == {"10 seconds": 1, "30 seconds": 1, "60 seconds": 0, "120 seconds": 0}
+
+
+def test_table_replaces_only_written_partitions(spark, log, tmp_path):
+    path = str(tmp_path / "table")
+    tables.write_snapshot_table(snaps(log, [5, 6]), path)
+    tables.write_snapshot_table(snaps(log, [7], day=1), path)
+    tables.write_snapshot_table(snaps(log, [8]), path)
+    table = tables.read_snapshot_table(spark, path)
+    assert {(r.trade_date, r.ts_last_event - r.ts_first_event)
+            for r in table.collect()} == {("2026-01-15", 8), ("2026-01-16", 7)}
+    plan = rp.lifecycle_lookup(table, symbol="XYZ", trade_date="2026-01-16")
+    assert "PartitionFilters: [isnotnull(symbol" in (
+        plan._jdf.queryExecution().executedPlan().toString())
