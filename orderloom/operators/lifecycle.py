@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.columns import has_value, on_type, signed_qty, status, trade_date
-from orderloom.operators.skew import hot_keys, join_facts, running
+from orderloom.operators.skew import join_facts, running
 
 ORDER = "customer_order_id"
 INLINE_LIMIT = 10_000
@@ -149,12 +149,9 @@ def lifecycle_detail(events: DataFrame, inline_limit=INLINE_LIMIT, hot=None) ->
         (F.col("route_count") + F.col("execution_count") <= inline_limit).alias("is_inlined"))
 
     listed = events.where(F.col("event_type").isin("ROUTE", "FILL"))
-    if hot is None:
-        hot = hot_keys(listed, [ORDER])
-    if hot:  # far above any inline limit: leave before they meet in one task
-        listed = listed.where(~F.col(ORDER).isin(hot))
+    inlined = scalars.where("is_inlined").select(ORDER)
     lists = (
-        listed.join(scalars.where("is_inlined").select(ORDER), ORDER, "left_semi")
+        join_facts(listed, inlined, [ORDER], "left_semi", hot)
         .groupBy(ORDER).agg(
             F.array_sort(F.collect_list(F.when(
                 (F.col("event_type") == "ROUTE") & has_value("route_id"),

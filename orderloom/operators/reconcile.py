@@ -52,15 +52,19 @@ def reconcile_late(raw: DataFrame, late: DataFrame, published: DataFrame,
 
     `is_corrected` marks a recomputed row that differs from what was published.
     """
-    fresh = recompute_affected(raw, late, snapshot_ms, hot)
-    old = published.select(*DAY_KEY, F.struct(*STATE).alias("_old"))
-    corrected = (
-        fresh.join(old, DAY_KEY, "left")
-        .withColumn("is_corrected", ~F.struct(*STATE).eqNullSafe(F.col("_old")))
-        .drop("_old"))
-    untouched = published.join(fresh.select(*DAY_KEY), DAY_KEY, "left_anti").withColumn(
-        "is_corrected", F.lit(False))
-    return untouched.unionByName(corrected)
+    columns = published.columns
+    old = published.select(*DAY_KEY, F.struct(*columns).alias("old"))
+    new = recompute_affected(raw, late, snapshot_ms, hot).select(
+        *DAY_KEY, F.struct(*columns).alias("new"))
+
+    def state(side):
+        return F.struct(*[F.col(f"{side}.{c}") for c in STATE])
+
+    return old.join(new, DAY_KEY, "full_outer").select(
+        F.coalesce("new", "old").alias("row"),
+        (F.col("new").isNotNull() & (F.col("old").isNull()
+                                     | ~state("new").eqNullSafe(state("old"))))
+        .alias("is_corrected")).select("row.*", "is_corrected")
 
 
 def audit_corrections(published: DataFrame, current: DataFrame, late: DataFrame,

@@ -10,34 +10,28 @@ HOT_MIN_ROWS = 1_000_000  # ... unless one task handles it easily anyway
 SALTS = 64
 
 
-def join_key(keys):
-    """One string per key combination; NULL if any part is, as in an equi-join."""
-    if len(keys) == 1:
-        return F.col(keys[0]).cast("string")
-    return F.concat(*[p for k in keys for p in (F.lit("\u0001"), F.col(k).cast("string"))])
-
-
 def hot_keys(rows: DataFrame, keys, share=HOT_SHARE, min_rows=HOT_MIN_ROWS):
-    """The keys that hold at least `share` of the rows: at most 1/share strings.
+    """Hashes of the keys that hold at least `share` of the rows: at most 1/share numbers.
 
-    One pass over the key columns with a fixed-size sketch per task. The answer only
-    steers the layout of a join; a key the sketch misses costs balance, not rows.
+    One pass over the key columns with a fixed-size sketch per task, whose error is below
+    half the share. The answer only steers the layout of a join: neither a key it misses
+    nor two keys with one hash change a result.
     """
     limit = int(1 / share)
     found = (
-        rows.select(join_key(keys).alias("k"))
-        .agg(F.expr(f"approx_top_k(k, {limit}, {limit * 100})").alias("top"),
+        rows.select(F.xxhash64(*keys).alias("k"))
+        .agg(F.expr(f"approx_top_k(k, {limit}, {limit * 10})").alias("top"),
              F.count("*").alias("n"))
         .select("n", F.explode("top").alias("t"))
-        .where((F.col("t.count") >= F.col("n") * share) & (F.col("t.count") >= min_rows)
-               & F.col("t.item").isNotNull())
+        .where((F.col("t.count") >= F.col("n") * share) & (F.col("t.count") >= min_rows))
         .select("t.item"))
     return sorted(r.item for r in found.collect())
 
 
 def join_facts(rows: DataFrame, facts: DataFrame, keys, how="inner", hot=None,
                spread_by=("event_id", "ts_event"), salts=SALTS) -> DataFrame:
-    """Equi-join skewed `rows` to `facts` that hold each key at most once.
+    """Equi-join skewed `rows` to `facts` that hold each key at most once, with one type on
+    both sides.
 
     Rows of a hot key are spread over `salts` tasks by `spread_by`, and the single fact
     of that key is copied to each of them (at most 1/share x salts extra rows). Without
@@ -47,8 +41,7 @@ def join_facts(rows: DataFrame, facts: DataFrame, keys, how="inner", hot=None,
         hot = hot_keys(rows, keys)
     if not hot:
         return rows.join(facts, list(keys), how)
-    # a NULL key is never hot: it joins nothing
-    is_hot = F.coalesce(join_key(keys).isin(hot), F.lit(False))
+    is_hot = F.xxhash64(*keys).isin(hot)
     salted = rows.withColumn(
         "_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
         .otherwise(0))

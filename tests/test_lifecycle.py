@@ -99,9 +99,8 @@ def test_detail_states_without_fills(log):
 
 def test_large_orders_list_their_parts_as_rows(log, one):
     rows = [event("NEW")] + [fill(i, 1, exec_id=f"X{i}") for i in range(1, 8)]
-    for hot in ([], ["O1"]):
-        row = one(lc.lifecycle_detail(log(rows), inline_limit=3, hot=hot))
-        assert (row.is_inlined, row.executions, row.execution_count) == (False, None, 7)
+    row = one(lc.lifecycle_detail(log(rows), inline_limit=3))
+    assert (row.is_inlined, row.executions, row.execution_count) == (False, None, 7)
     assert lc.order_executions(log(rows)).count() == 7
 
 

@@ -1,10 +1,13 @@
 import json
 
 from conftest import BASE_MS, event
+from pyspark.sql import functions as F
 
+from orderloom.functions.columns import trade_date
 from orderloom.operators import reconcile as rc
-from orderloom.operators.events import dedup_events
+from orderloom.operators.events import dedup_events, tag_late
 from orderloom.operators.lifecycle import lifecycle_snapshot
+from orderloom.operators.skew import hot_keys
 
 LATE = 600_000
 DAY = 86_400_000
@@ -17,8 +20,6 @@ def late_case(log):
     rows.append(dict(rows[-1], ts_ingest=BASE_MS + LATE + 5))  # the late event, twice
     rows += [event("NEW", customer_order_id="O2")]
     frame = log(rows)
-    from pyspark.sql import functions as F
-    from orderloom.operators.events import tag_late
     raw = tag_late(frame.withColumn("kafka_timestamp", F.timestamp_millis("ts_ingest")))
     published = lifecycle_snapshot(dedup_events(raw.where("NOT is_late")), 1)
     return raw, raw.where("is_late"), published
@@ -30,7 +31,10 @@ def test_reconcile_repairs_only_what_late_events_touch(log):
     assert (found["O1"].status, found["O1"].is_corrected, found["O1"].is_provisional) == (
         "FILLED", True, True)
     assert (found["O2"].is_corrected, found["O2"].ts_snapshot) == (False, 1)
-    hot = rc.reconcile_late(raw, late, published, 2, hot=["\u0001O1\u00012026-01-15"])
+    keys = hot_keys(raw.withColumn("trade_date", trade_date()),
+                    ["customer_order_id", "trade_date"], min_rows=1)
+    assert len(keys) == 2
+    hot = rc.reconcile_late(raw, late, published, 2, hot=keys)
     assert {r.customer_order_id: r.status for r in hot.collect()} == {
         k: r.status for k, r in found.items()}
 

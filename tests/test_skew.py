@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators import skew
 from orderloom.operators.events import dedup_events
+from orderloom.operators.lifecycle import lifecycle_detail
 from orderloom.operators.linkage import execution_trace
 from orderloom.operators.quality import missing_parent, order_exceptions
 
@@ -20,11 +21,17 @@ def rows(spark):
         i.alias("ts_event"), (i % 3).cast("string").alias("part"))
 
 
+def hashes(spark, *values):
+    literals = [F.lit(v) for v in values]
+    return [spark.range(1).select(F.xxhash64(*literals)).first()[0]]
+
+
 def test_hot_keys(spark):
-    assert skew.hot_keys(rows(spark), ["customer_order_id"], min_rows=1) == ["HOT"]
+    hot = hashes(spark, "HOT")
+    assert skew.hot_keys(rows(spark), ["customer_order_id"], min_rows=1) == hot
     assert skew.hot_keys(rows(spark), ["customer_order_id"]) == []  # small: one task will do
     pairs = skew.hot_keys(rows(spark), ["customer_order_id", "part"], min_rows=1)
-    assert len(pairs) == 3 and all("HOT" in p for p in pairs)
+    assert pairs == sorted(h for part in "012" for h in hashes(spark, "HOT", part))
 
 
 def test_salted_joins_equal_plain_joins(spark):
@@ -32,7 +39,8 @@ def test_salted_joins_equal_plain_joins(spark):
         "customer_order_id <> 'k5'").withColumn("v", F.length("customer_order_id"))
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = skew.join_facts(rows(spark), facts, ["customer_order_id"], how, hot=[])
-        salted = skew.join_facts(rows(spark), facts, ["customer_order_id"], how, hot=["HOT"])
+        salted = skew.join_facts(rows(spark), facts, ["customer_order_id"], how,
+                                 hot=hashes(spark, "HOT"))
         assert plain.columns == salted.columns
         assert plain.exceptAll(salted).isEmpty() and salted.exceptAll(plain).isEmpty()
 
@@ -48,7 +56,7 @@ def test_salting_spreads_the_hot_key(spark):
             return (joined.groupBy(F.spark_partition_id()).count()
                     .agg(F.max("count")).first()[0])
         assert largest([]) == N // 2
-        assert largest(["HOT"]) < N // 2 * 0.4  # four shuffle partitions
+        assert largest(hashes(spark, "HOT")) < N // 2 * 0.4  # four shuffle partitions
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -91,15 +99,19 @@ def same(a, b):
 
 def test_operators_with_a_hot_order(spark, log):
     events = hot_log(spark, log).cache()
-    assert same(order_exceptions(events, hot=[]), order_exceptions(events, hot=["HOT"]))
-    assert order_exceptions(events, ["FILL_BEFORE_NEW"], hot=["HOT"]).count() == 251
-    pair = ["\u0001HOT\u0001F1", "\u0001HOT\u0001nobody"]
+    hot = hashes(spark, "HOT")
+    assert same(order_exceptions(events, hot=[]), order_exceptions(events, hot=hot))
+    assert order_exceptions(events, ["FILL_BEFORE_NEW"], hot=hot).count() == 251
+    pair = sorted(hashes(spark, "HOT", "F1") + hashes(spark, "HOT", "nobody"))
     assert skew.hot_keys(events.where("event_type = 'ROUTE'"),
                          ["customer_order_id", "parent_firm_order_id"], min_rows=1) == pair
     assert same(missing_parent(events, hot=[]), missing_parent(events, hot=pair))
     assert missing_parent(events, hot=pair).count() == 215
     assert same(execution_trace(events, hot=[]),
-                execution_trace(events, hot=["\u0001HOT\u0001R1"]))
+                execution_trace(events, hot=hashes(spark, "HOT", "R1")))
+    for limit in (10, 10_000):
+        assert same(*[lifecycle_detail(events, limit, h).drop("executions")
+                      for h in ([], hot)])
     events.unpersist()
 
 
