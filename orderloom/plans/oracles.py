@@ -447,7 +447,7 @@ ORACLES = {
            UNION SELECT customer_order_id, target_id FROM edge
            WHERE edge_type = 'REPLACE' AND substr(customer_order_id, 4)::BIGINT % 13 = 0"""),
     "quality_exceptions": sql(_on_snapshots(detected=SNAPSHOT_MS)),
-    "run_pipeline": sql(_on_snapshots()),
+    "run_streaming_job": sql(_on_snapshots()),
     "overfill": sql(_on_snapshots("OVERFILL")),
     "negative_fill": sql(_on_snapshots("NEGATIVE_FILL")),
     "missing_required_id": sql(_found("u", _MISSING_ID)),
@@ -549,7 +549,7 @@ ORACLES = {
         ORDER BY n DESC, symbol LIMIT 10"""),
     "top_exception_orders": sql("""SELECT customer_order_id, count(*) AS n FROM exc GROUP BY 1
         ORDER BY n DESC, customer_order_id LIMIT 10"""),
-    "pipeline_stats": sql("""SELECT (SELECT count(*) FROM raw) AS events_processed,
+    "log_stats": sql("""SELECT (SELECT count(*) FROM raw) AS events_processed,
         (SELECT count(*) FROM snap WHERE status NOT IN ('FILLED', 'CANCELED'))
           AS lifecycles_active,
         (SELECT count(*) FROM exc) AS exceptions_count,

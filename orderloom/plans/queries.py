@@ -377,7 +377,7 @@ def top_exception_orders(w):
 
 
 @query
-def pipeline_stats(w):
+def log_stats(w):
     return rp.pipeline_stats(w.event_log(), w.unique_events(), w.snapshots(), w.exceptions())
 
 
@@ -489,7 +489,7 @@ def write_snapshots(w):
 
 
 @query
-def run_pipeline(w):
+def run_streaming_job(w):
     """The whole job; returns the exceptions it wrote."""
     root = w.fresh_folder("stream")
     pipeline.run_pipeline(w.spark, _stream(w), root, delay=DELAY, trigger=NOW,
