@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from orderloom.llm import sharding
+from orderloom.llm import bpe, sharding
 from orderloom.llm.text import table
 
 QUERIES = {}
@@ -21,3 +21,9 @@ def op10_virtual_slots(spark, sf_dir):
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                          "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
                          "map_version")
+
+
+@query
+def op8_bpe_chunks(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"),
+                       public_tokenizers.path("byte_bpe_50k.json"))
