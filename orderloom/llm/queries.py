@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, sharding
+from orderloom.llm import bpe, decontamination, repetition, sharding
 from orderloom.llm.text import table
 
 QUERIES = {}
@@ -27,3 +27,82 @@ def op10_virtual_slots(spark, sf_dir):
 def op8_bpe_chunks(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"),
                        public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op4_suffix_repetition(spark, sf_dir):
+    return repetition.repetition(table(spark, sf_dir, "documents")).drop("longest_repeat")
+
+
+@query
+def op5_suffix_automaton(spark, sf_dir):
+    return decontamination.contamination(table(spark, sf_dir, "documents"),
+                                         table(spark, sf_dir, "benchmark"))
+
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _repeated(size):
+    """SQL for the starts of windows of `size` words that occur twice or more in a text."""
+    return f"""SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, win) > 1 AS again
+        FROM (SELECT doc_id, p, array_to_string(ws[p:p + {size - 1}], ' ') AS win
+              FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {size - 2})) AS p FROM w))"""
+
+
+def _covered(size, name):
+    """SQL for the number of words of a text inside such windows."""
+    return f"""SELECT doc_id, count(*) FILTER (inside) AS {name} FROM (
+        SELECT t.doc_id, coalesce(max(again) OVER (PARTITION BY t.doc_id ORDER BY t.p
+            ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW), false) AS inside
+        FROM (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p FROM w) t
+        LEFT JOIN ({_repeated(size)}) r ON r.doc_id = t.doc_id AND r.p = t.p) GROUP BY doc_id"""
+
+
+# A repeat of n words or more covers what repeated windows of n words cover; one of more than n
+# words exists if a window of n + 1 words is repeated.
+ORACLES["op4_suffix_repetition"] = f"""
+WITH w AS (SELECT doc_id, {_WORDS} AS ws,
+    len(coalesce(text, '')) - len(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g'))
+        AS n_symbols,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+        lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+three AS ({_covered(3, "n_repeat_words")}),
+long AS ({_covered(repetition.MIN_REPEAT_WORDS, "n_covered_words")}),
+long_one AS (SELECT doc_id, bool_or(again) AS too_long FROM (
+    {_repeated(repetition.MAX_REPEAT_WORDS + 1)}) GROUP BY doc_id),
+base AS (SELECT doc_id, len(ws)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(ws, lambda s: len(s))), 0)::BIGINT AS word_chars,
+    n_symbols::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(n_covered_words, 0) AS n_covered_words, coalesce(too_long, false) AS too_long
+  FROM w LEFT JOIN three USING (doc_id) LEFT JOIN long USING (doc_id)
+  LEFT JOIN long_one USING (doc_id))
+SELECT * EXCLUDE (too_long), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+    AND n_covered_words <= {repetition.MAX_COVERED} * n_words
+    AND NOT too_long AS kept FROM base"""
+
+_NORMAL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+ORACLES["op5_suffix_automaton"] = f"""
+WITH w AS (SELECT doc_id, {_NORMAL} AS ws FROM documents),
+i AS (SELECT item_id, {_NORMAL} AS ws FROM benchmark),
+item_windows AS (SELECT DISTINCT item_id, size, array_to_string(ws[p:p + size - 1], ' ') AS win
+    FROM (SELECT item_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS p FROM (
+        SELECT *, least({decontamination.WINDOW}, len(ws)) AS size FROM i WHERE len(ws) > 0))),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (SELECT doc_id, p, size, array_to_string(ws[p:p + size - 1], ' ') AS win
+    FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS p
+          FROM w JOIN sizes ON len(ws) >= size)),
+hits AS (SELECT doc_id, p, size, item_id FROM doc_windows JOIN item_windows USING (size, win)),
+words AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (
+    SELECT doc_id, unnest(range(p, p + size)) AS place FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND {decontamination.ONE_IN} * coalesce(n_hit, 0) >= len(ws)
+        AS contaminated
+FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""

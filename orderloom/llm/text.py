@@ -1,5 +1,8 @@
 """What the operators share: held-out rows, and Arrow batches of bounded text."""
 
+import os
+import pathlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -22,6 +25,14 @@ def held_out(doc_id: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == 0, F.lit(True))
 
 
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did, if it is there too."""
+    root = str(pathlib.Path(__file__).parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def parts(batch: pa.RecordBatch, column: str, limit: int = PART_BYTES):
     """Consecutive slices of `batch` with about `limit` bytes of `column`."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
@@ -49,6 +60,7 @@ def map_texts(df: DataFrame, function, added: str, keep=("doc_id",), text="text"
                     for i, values in enumerate(made)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
+    reachable(df.sparkSession)
     return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
@@ -61,4 +73,5 @@ def filter_texts(df: DataFrame, function, text="text") -> DataFrame:
                 mask = function(part.column(text).to_pylist())
                 yield part.filter(pa.array(mask, type=pa.bool_()))
 
+    reachable(df.sparkSession)
     return df.mapInArrow(run, df.schema)
