@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, decontamination, repetition, sharding
-from orderloom.llm.text import table
+from orderloom.llm import bpe, decontamination, language, repetition, sharding
+from orderloom.llm.text import held_out, table
 
 QUERIES = {}
 ORACLES = {}
@@ -15,6 +15,13 @@ def query(build):
     return build
 
 
+@query
+def op1_byte_convolution(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs)).select(
+        "doc_id", held_out("doc_id", 5).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op10_virtual_slots(spark, sf_dir):
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
