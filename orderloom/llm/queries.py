@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, decontamination, language, repetition, sharding
+from orderloom.llm import bpe, decontamination, language, quality, repetition, sharding
 from orderloom.llm.text import held_out, table
 
 QUERIES = {}
@@ -22,6 +22,15 @@ def op1_byte_convolution(spark, sf_dir):
         "doc_id", held_out("doc_id", 5).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op3_random_indexing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    vectors = quality.word_vectors(docs)
+    net = quality.fit(docs, table(spark, sf_dir, "labels"), vectors)
+    return quality.scores(docs, vectors, net).select(
+        "doc_id", held_out("doc_id", 5).alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_virtual_slots(spark, sf_dir):
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
