@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, decontamination, language, quality, repetition, sharding
+from orderloom.llm import bpe, decontamination, language, quality, repetition, sharding, warc
 from orderloom.llm.text import held_out, table
 
 QUERIES = {}
@@ -22,6 +22,24 @@ def op1_byte_convolution(spark, sf_dir):
         "doc_id", held_out("doc_id", 5).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_dictionary_warc(spark, sf_dir):
+    archives, folder = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op2_dictionary_warc"] = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest FROM pages),
+s AS (SELECT payload_digest, max(page_id) AS stored FROM p
+    WHERE payload_bytes >= {warc.REVISIT_BYTES} GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN stored <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN stored <> page_id THEN stored END AS refers_to
+FROM p LEFT JOIN s USING (payload_digest)"""
+
+
 @query
 def op3_random_indexing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
