@@ -3,7 +3,16 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, decontamination, language, quality, repetition, sharding, warc
+from orderloom.llm import (
+    bpe,
+    decontamination,
+    language,
+    quality,
+    repetition,
+    sharding,
+    simhash,
+    warc,
+)
 from orderloom.llm.text import held_out, table
 
 QUERIES = {}
@@ -57,6 +66,11 @@ def op10_virtual_slots(spark, sf_dir):
                          "map_version")
 
 
+@query
+def op7_simhash_bk_trees(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_bpe_chunks(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"),
