@@ -7,6 +7,7 @@ from orderloom.llm import (
     bpe,
     decontamination,
     language,
+    lm,
     quality,
     repetition,
     sharding,
@@ -66,6 +67,14 @@ def op10_virtual_slots(spark, sf_dir):
                          "map_version")
 
 
+@query
+def op6_subword_lattice(spark, sf_dir):
+    scored = lm.score(table(spark, sf_dir, "documents"), ~held_out("doc_id", 10),
+                      public_tokenizers.path("piece_bpe_32k.model"))
+    return scored.select("doc_id", held_out("doc_id", 10).alias("held_out"), "n_tokens",
+                         "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op7_simhash_bk_trees(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
