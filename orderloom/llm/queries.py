@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import (
     bpe,
+    chat,
     decontamination,
     language,
     lm,
@@ -59,6 +60,42 @@ def op3_random_indexing(spark, sf_dir):
         "doc_id", held_out("doc_id", 5).alias("held_out"), "score", "predicted")
 
 
+@query
+def op9_tool_call_links(spark, sf_dir):
+    calls, results = chat.conversation_calls(table(spark, sf_dir, "conversations"))
+    return chat.format_calls(calls, results, chat.TURN_TOOLS).withColumn(
+        "errors", F.array_join("errors", "; "))
+
+
+_CALL = "'call_' || conv_id || '_' || "
+ORACLES["op9_tool_call_links"] = f"""
+WITH calls AS (SELECT conv_id::VARCHAR AS conversation, {_CALL} turn AS call_id, turn,
+    role, text, CASE WHEN turn = 1 THEN {_CALL} 0 WHEN turn > 1 THEN {_CALL} (turn - 2) END
+        AS needs FROM conversations WHERE role IN ('user', 'system')),
+results AS (SELECT conv_id::VARCHAR AS conversation, {_CALL} (turn - 1) AS call_id, turn, text
+    FROM conversations WHERE role = 'assistant'),
+rows AS (SELECT coalesce(c.conversation, r.conversation) AS conversation,
+    coalesce(c.call_id, r.call_id) AS call_id, coalesce(c.turn, r.turn) AS place,
+    CASE WHEN c.call_id IS NULL THEN 'orphan_result' WHEN r.call_id IS NULL THEN 'unanswered'
+        ELSE 'linked' END AS status,
+    (r.call_id IS NOT NULL)::BIGINT AS answers,
+    (c.needs IS NOT NULL AND c.needs NOT IN (SELECT call_id FROM calls))::BIGINT
+        AS unknown_needs,
+    CASE WHEN c.call_id IS NULL THEN 'no call has this identifier'
+        WHEN c.text = '' THEN CASE c.role WHEN 'system' THEN 'arguments.instruction: too short'
+            ELSE 'arguments.prompt: too short' END ELSE '' END AS errors,
+    CASE WHEN c.call_id IS NULL THEN json_object('id', r.call_id, 'result', r.text)
+        WHEN c.role = 'system' THEN json_object('arguments', json_object(
+            'instruction', c.text, 'turn', c.turn), 'id', c.call_id, 'name', 'instruct',
+            'result', r.text)
+        ELSE json_object('arguments', json_object('prompt', c.text, 'turn', c.turn),
+            'id', c.call_id, 'name', 'ask', 'result', r.text) END::VARCHAR AS message
+  FROM calls c FULL JOIN results r USING (call_id))
+SELECT conversation, row_number() OVER (PARTITION BY conversation
+        ORDER BY place, call_id, status) - 1 AS position, call_id, status, answers,
+    unknown_needs, false AS cyclic, errors = '' AS valid, errors, message FROM rows"""
+
+
 @query
 def op10_virtual_slots(spark, sf_dir):
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
