@@ -133,7 +133,7 @@ def order(linked: DataFrame) -> DataFrame:
 
 def _delays(state: DataFrame, edges: DataFrame) -> DataFrame:
     """The calls that are delayed or cyclic, with their due places."""
-    due = F.struct("order_at", "order_step")
+    own = F.struct(F.col("place").alias("order_at"), F.lit(0).alias("order_step"))
     while True:
         needed = state.select("conversation", F.col("call_id").alias("needs"), "cyclic",
                               F.struct("order_at", (F.col("order_step") + 1).alias("order_step"))
@@ -144,9 +144,8 @@ def _delays(state: DataFrame, edges: DataFrame) -> DataFrame:
         moved = cut_lineage(
             state.join(pushed, ID, "left").select(
                 *ID, "place", (F.col("cyclic") | F.coalesce("behind", F.lit(False)))
-                .alias("cyclic"), due.alias("was"),
-                F.greatest(F.struct("place", F.lit(0).alias("order_step")),
-                           F.coalesce("after", F.struct("place", F.lit(0)))).alias("due")),
+                .alias("cyclic"),
+                F.greatest(own, F.coalesce("after", own)).alias("due")),
             "chat-order")
         limit = moved.groupBy("conversation").agg(
             F.count_if(F.col("due.order_step") > 0).alias("delayed"))
@@ -154,7 +153,7 @@ def _delays(state: DataFrame, edges: DataFrame) -> DataFrame:
         state = cut_lineage(
             moved.join(limit, "conversation").select(
                 *ID, "place", F.when(F.col("cyclic"), F.col("place")).otherwise(
-                    F.col("due.place")).alias("order_at"),
+                    F.col("due.order_at")).alias("order_at"),
                 F.when(F.col("cyclic"), 0).otherwise(F.col("due.order_step"))
                 .alias("order_step"),
                 (F.col("cyclic") | (F.col("due.order_step") > F.col("delayed"))).alias("cyclic")),

@@ -1,0 +1,60 @@
+import numpy as np
+
+from orderloom.llm import language
+from orderloom.llm.text import held_out, table
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_accuracy_on_held_out_rows(spark):
+    docs = table(spark, SF, "documents")
+    net = language.fit(docs)
+    found = language.identify(docs, net, keep=("doc_id", "lang")).where(held_out("doc_id", 5))
+    rows = found.collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.98
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_undetermined(docs):
+    net = language.train(language.windows(b"abc" * 200), np.zeros(5, dtype=int), ["xx"])
+    rows = language.identify(docs([(1, None), (2, ""), (3, "12 ***"), (4, "ñ")]), net).collect()
+    assert [(r.lang_pred, r.score) for r in rows[:3]] == [("und", 0.0)] * 3
+    assert rows[3].lang_pred == "xx"
+
+
+def test_pooled_responses_equal_plain_convolution():
+    rng = np.random.default_rng(0)
+    net = language.train(rng.integers(0, 256, (40, language.WINDOW), dtype=np.uint8),
+                         rng.integers(0, 3, 40), list("abc"), epochs=1)
+    codes = rng.integers(0, 256, (5, language.WINDOW), dtype=np.uint8)
+    plain = []
+    for width, kernel in net.kernels.items():
+        count = language.WINDOW - width + 1
+        plain.append(sum(kernel[j][codes[:, j:j + count]] for j in range(width)).max(axis=1))
+    expected = np.maximum(np.concatenate(plain, axis=1) + net.bias, 0)
+    assert np.allclose(net.pooled(codes), expected, atol=1e-4)
+
+
+def test_gradients_by_differences():
+    rng = np.random.default_rng(1)
+    codes = rng.integers(0, 256, (6, language.WINDOW), dtype=np.uint8)
+    answers = rng.integers(0, 3, 6)
+    total = language.FILTERS * len(language.WIDTHS)
+    state = {f"k{w}": rng.normal(size=(w, 256, language.FILTERS)) for w in language.WIDTHS}
+    state |= {"bias": rng.normal(size=total), "offset": rng.normal(size=3),
+              "weights": rng.normal(size=(total, 3))}
+
+    def loss():
+        net = language.ByteNet(list("abc"), {w: state[f"k{w}"] for w in language.WIDTHS},
+                               state["bias"], state["weights"], state["offset"])
+        return -np.log(net.probabilities(codes)[np.arange(6), answers]).mean()
+
+    gradients = language._gradients(state, codes, answers)
+    for name, place in (("bias", (3,)), ("weights", (5, 1)), ("k3", (1, codes[0, 9], 2))):
+        before = state[name][place]
+        state[name][place] = before + 1e-5
+        high = loss()
+        state[name][place] = before - 1e-5
+        low = loss()
+        state[name][place] = before
+        assert abs((high - low) / 2e-5 - gradients[name][place]) < 1e-4

@@ -1,0 +1,72 @@
+"""Every operator on nulls, blank, long and repeated texts, clashing columns, and no rows."""
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.llm import (
+    bpe,
+    decontamination,
+    language,
+    lm,
+    quality,
+    repetition,
+    sharding,
+    simhash,
+)
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def _items(spark):
+    return spark.createDataFrame([(1, "hello there"), (2, None), (None, "***")],
+                                 "item_id long, text string")
+
+
+OPERATORS = {
+    "language": lambda s, d: language.identify(d, language.fit(d)),
+    "quality": lambda s, d: quality.scores(d, quality.word_vectors(d), None),
+    "repetition": lambda s, d: repetition.repetition(d),
+    "decontamination": lambda s, d: decontamination.contamination(d, _items(s)),
+    "lm": lambda s, d: lm.score(d, F.lit(True), PIECES, rounds=1),
+    "simhash": lambda s, d: simhash.near_duplicates(d),
+    "bpe": lambda s, d: bpe.digests(d, BPE),
+    "sharding": lambda s, d: sharding.shard_documents(d, slots=64, shards=4),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_every_row_has_a_result(spark, odd, name):
+    found = OPERATORS[name](spark, odd).collect()
+    assert sorted((r.doc_id or 0) for r in found) == sorted(
+        (r.doc_id or 0) for r in odd.select("doc_id").collect())
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_no_rows(spark, none, name):
+    assert OPERATORS[name](spark, none).collect() == []
+
+
+FILTERS = {
+    "language": lambda s, d: language.drop_unclear(d, language.fit(d)),
+    "repetition": lambda s, d: repetition.drop_repetitive(d),
+    "simhash": lambda s, d: simhash.keep_one(d),
+    "decontamination": lambda s, d: decontamination.clean(d, _items(s)),
+}
+
+
+@pytest.mark.parametrize("name", FILTERS)
+def test_filters_keep_all_columns(spark, odd, none, name):
+    found = FILTERS[name](spark, odd)
+    assert found.schema.simpleString() == odd.schema.simpleString()
+    assert found.count() <= odd.count()
+    assert FILTERS[name](spark, none).collect() == []
+
+
+def test_long_text_is_read_to_its_end(docs):
+    text = "ab " * 500_000
+    marked = docs([(1, text + "end"), (2, text + "fin")])
+    rows = {r.doc_id: r for r in bpe.digests(marked, BPE).collect()}
+    assert rows[1].ids_sha256 != rows[2].ids_sha256
+    assert all(r.n_words == 500_001 for r in repetition.repetition(marked).collect())
