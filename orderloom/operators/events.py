@@ -34,6 +34,14 @@ def quarantine(messages: DataFrame, schema=EVENT_SCHEMA) -> DataFrame:
         .drop("data"))
 
 
+def decodable(events: DataFrame) -> DataFrame:
+    """Decoded events with all required fields; `quarantine` holds the other messages."""
+    complete = F.lit(True)
+    for name in REQUIRED_FIELDS:
+        complete = complete & F.col(name).isNotNull()
+    return events.where(complete)
+
+
 def tag_late(events: DataFrame, delay=DEFAULT_DELAY) -> DataFrame:
     """Mark events that reached the log more than `delay` after they happened."""
     if "event_time" not in events.columns:

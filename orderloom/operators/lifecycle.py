@@ -7,8 +7,7 @@ from orderloom.functions.columns import has_value, on_type, signed_qty, status,
 from orderloom.operators.skew import join_facts, running
 
 ORDER = "customer_order_id"
-INLINE_LIMIT = 10_000
-CHUNK_MS = 1_000
+PART_ROWS = 10_000
 
 
 def _latest():
@@ -81,41 +80,64 @@ def lifecycle_as_of(events: DataFrame, as_of_ms, snapshot_ms=None) -> DataFrame:
 
 def lifecycle_multi_day(events: DataFrame, snapshot_ms=None) -> DataFrame:
     """One row per order over all its trading days."""
-    out = events.groupBy(ORDER).agg(*_state_columns())
-    return (_with_status(out, snapshot_ms)
-            .withColumn("first_trade_date", trade_date("ts_first_event"))
-            .withColumn("last_trade_date", trade_date("ts_last_event"))
-            .withColumn("spans_days", F.col("first_trade_date") != F.col("last_trade_date")))
+    return _with_dates(_with_status(events.groupBy(ORDER).agg(*_state_columns()), snapshot_ms))
 
 
 def lifecycle_sessions(events: DataFrame, quiet="2 days", snapshot_ms=None) -> DataFrame:
-    """One row per order over all its days, closed once it was quiet for `quiet`.
+    """One row per order and stretch of its life without a pause of `quiet`.
 
     A session window per order: as a stream (append mode) a row appears when the watermark
     passes its last event by `quiet`, and its state is then gone. An event after that opens
-    a new session. `session.MERGE_SESSIONS` combines a busy order before the shuffle.
+    a new session; `merge_sessions` joins the sessions of an order into its whole life.
+    `session.MERGE_SESSIONS` combines a busy order before the shuffle.
     """
+    price = on_type("FILL", F.col("exec_price"))
     out = events.groupBy(F.session_window("event_time", quiet).alias("s"), ORDER).agg(
-        *_state_columns())
-    return (_with_status(out, snapshot_ms)
-            .withColumn("first_trade_date", trade_date("ts_first_event"))
+        *_state_columns(), F.sum(price).alias("exec_price_sum"),
+        F.count(price).alias("exec_price_count"))
+    return _with_dates(_with_status(out, snapshot_ms)).drop("s")
+
+
+def merge_sessions(sessions: DataFrame) -> DataFrame:
+    """One row per order from all its sessions, as one aggregate over all its events gives it.
+
+    An order that rests longer than the pause that closes a session keeps what it was placed
+    with and what was filled before.
+    """
+    largest = ("last_event", "ts_last_event", "root_firm_order_id", "account_id", "symbol",
+               "side", "total_qty", "is_canceled", "has_late_events")
+    out = sessions.groupBy(ORDER).agg(
+        *[F.max(c).alias(c) for c in largest], F.min("ts_first_event").alias("ts_first_event"),
+        *[F.sum(c).alias(c) for c in ("filled_qty", "route_count", "fill_count",
+                                      "exec_price_sum", "exec_price_count")],
+        F.max("ts_snapshot").alias("_snapshot"))
+    merged = _with_status(out.withColumn(
+        "avg_exec_price", F.col("exec_price_sum") / F.nullif("exec_price_count", F.lit(0))))
+    return _with_dates(merged.withColumn("ts_snapshot", F.col("_snapshot"))).drop(
+        "_snapshot", "exec_price_sum", "exec_price_count")
+
+
+def _with_dates(snapshots: DataFrame) -> DataFrame:
+    return (snapshots.withColumn("first_trade_date", trade_date("ts_first_event"))
             .withColumn("last_trade_date", trade_date("ts_last_event"))
-            .withColumn("spans_days", F.col("first_trade_date") != F.col("last_trade_date"))
-            .drop("s"))
+            .withColumn("spans_days", F.col("first_trade_date") != F.col("last_trade_date")))
 
 
-def lifecycle_detail(events: DataFrame, inline_limit=INLINE_LIMIT, hot=None) -> DataFrame:
+def lifecycle_detail(events: DataFrame, part_rows=PART_ROWS) -> DataFrame:
     """Whole-life view per order: root from NEW, VWAP, routes and executions in time order.
 
-    Arrays are embedded for orders with at most `inline_limit` routes and executions.
-    For a larger order they are NULL and `is_inlined` is false: its full lists are the
-    rows of `order_routes` and `order_executions`.
+    The routes and executions of an order are numbered by time and come in parts of `part_rows`:
+    an order has one row for each part (`part_no` from 0, `parts` in all, at least one) with its
+    scalars repeated, so no array grows with the order and none is cut. VWAP counts fills that
+    have a price.
     """
     # only these decide the documented state; the later of them wins over OPEN
     turning = F.col("event_type").isin("CANCEL", "REPLACE", "REJECT")
     fill_qty = on_type("FILL", F.col("qty").cast("long"))
-    reject_reason = (F.col("reject_reason") if "reject_reason" in events.columns
+    priced = F.when(F.col("exec_price").isNotNull(), fill_qty)
+    reject_reason = (F.coalesce("reject_reason", "reason") if "reject_reason" in events.columns
                      else F.col("reason"))
+    is_route = (F.col("event_type") == "ROUTE") & has_value("route_id")
     facts = events.groupBy(ORDER).agg(
         F.min(on_type("NEW", F.struct("ts_event", "event_id", "firm_order_id", "qty")))
         .alias("new"),
@@ -125,19 +147,20 @@ def lifecycle_detail(events: DataFrame, inline_limit=INLINE_LIMIT, hot=None) ->
                                          reject_reason.alias("reject_reason"))))
         .alias("reject"),
         F.coalesce(F.sum(fill_qty), F.lit(0)).alias("filled_qty"),
+        F.sum(priced).alias("priced_qty"),
         F.sum(on_type("FILL", F.col("qty") * F.col("exec_price"))).alias("value"),
-        F.count(F.when((F.col("event_type") == "ROUTE") & has_value("route_id"), 1))
-        .alias("route_count"),
+        F.count(F.when(is_route, 1)).alias("route_count"),
         F.count(on_type("FILL")).alias("execution_count"),
         F.min("ts_event").alias("ts_first_event"),
         F.max("ts_event").alias("ts_last_event"),
         F.max("is_late").alias("is_provisional"))
     total = F.col("new.qty")
+    listed = F.col("route_count") + F.col("execution_count")
     scalars = facts.select(
         ORDER, F.col("new.firm_order_id").alias("root_firm_order_id"),
         "head.account_id", "head.symbol", "head.side",
         total.alias("total_qty"), "filled_qty",
-        F.when(F.col("filled_qty") > 0, F.col("value") / F.col("filled_qty")).alias("vwap"),
+        F.when(F.col("priced_qty") > 0, F.col("value") / F.col("priced_qty")).alias("vwap"),
         F.when(F.col("filled_qty") >= total, "FILLED")
         .when(F.col("filled_qty") > 0, "PARTIALLY_FILLED")
         .when(F.col("turn.event_type") == "CANCEL", "CANCELED")
@@ -146,32 +169,31 @@ def lifecycle_detail(events: DataFrame, inline_limit=INLINE_LIMIT, hot=None) ->
         .otherwise("OPEN").alias("status"),
         F.col("reject.reject_reason").alias("reject_reason"),
         "route_count", "execution_count", "ts_first_event", "ts_last_event", "is_provisional",
-        (F.col("route_count") + F.col("execution_count") <= inline_limit).alias("is_inlined"))
+        F.greatest(F.lit(1).cast("long"), F.ceil(listed / part_rows)).alias("parts"))
 
-    listed = events.where(F.col("event_type").isin("ROUTE", "FILL"))
-    inlined = scalars.where("is_inlined").select(ORDER)
+    rows = events.where(is_route | (F.col("event_type") == "FILL")).select(
+        ORDER, "event_id", "event_type", "ts_event", "route_id", "exec_id", "qty",
+        F.col("exec_price").alias("price"), F.lit(1).cast("long").alias("_one"))
+    numbered = running(rows, ORDER, ["ts_event", "event_id"], {"_seq": ("sum", "_one")})
     lists = (
-        join_facts(listed, inlined, [ORDER], "left_semi", hot)
-        .groupBy(ORDER).agg(
-            F.array_sort(F.collect_list(F.when(
-                (F.col("event_type") == "ROUTE") & has_value("route_id"),
-                F.struct("ts_event", "route_id")))).alias("routes"),
+        numbered.groupBy(ORDER, F.floor((F.col("_seq") - 1) / part_rows).alias("part_no")).agg(
+            F.array_sort(F.collect_list(on_type(
+                "ROUTE", F.struct("ts_event", "route_id", "event_id")))).alias("routes"),
             F.array_sort(F.collect_list(on_type(
-                "FILL", F.struct("ts_event", "exec_id", "qty",
-                                 F.col("exec_price").alias("price"))))).alias("fills"))
+                "FILL", F.struct("ts_event", "exec_id", "qty", "price", "event_id"))))
+            .alias("fills"))
         .select(
-            ORDER, F.col("routes.route_id").alias("active_routes"),
+            ORDER, "part_no", F.col("routes.route_id").alias("active_routes"),
             F.transform("fills", lambda f: F.struct(
                 f["exec_id"].alias("exec_id"), f["qty"].alias("qty"),
                 f["price"].alias("price"), f["ts_event"].alias("ts_event")))
             .alias("executions")))
-    empty = F.when(F.col("is_inlined"), F.array())
     return (scalars.join(lists, ORDER, "left")
+            .withColumn("part_no", F.coalesce("part_no", F.lit(0).cast("long")))
             .withColumn("active_routes", F.coalesce(
-                "active_routes", empty.cast("array<string>")))
-            .withColumn("executions", F.coalesce(
-                "executions",
-                empty.cast("array<struct<exec_id:string,qty:int,price:double,ts_event:bigint>>"))))
+                "active_routes", F.array().cast("array<string>")))
+            .withColumn("executions", F.coalesce("executions", F.array().cast(
+                "array<struct<exec_id:string,qty:int,price:double,ts_event:bigint>>"))))
 
 
 def order_executions(events: DataFrame) -> DataFrame:
@@ -205,10 +227,6 @@ def filled_before_cancel(events: DataFrame, hot=None) -> DataFrame:
         ORDER, "ts_cancel", F.coalesce("qty", F.lit(0)).alias("filled_before_cancel"))
 
 
-def _chunk():
-    return F.floor(F.col("ts_event") / CHUNK_MS)
-
-
 def lifecycle_replay(events: DataFrame) -> DataFrame:
     """Filled quantity and status of the order right after each of its events."""
     marked = events.select(
@@ -217,7 +235,7 @@ def lifecycle_replay(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "CANCEL", 1).otherwise(0).alias("_cancel"),
         F.when(F.col("event_type") == "ROUTE", 1).otherwise(0).cast("long").alias("_route"))
     out = running(
-        marked, ORDER, ["ts_event", "event_type", "event_id"], _chunk(),
+        marked, ORDER, ["ts_event", "event_type", "event_id"],
         {"filled_qty": ("sum", "_delta"), "total_qty": ("max", "_total"),
          "_canceled": ("max", "_cancel"), "_routes": ("sum", "_route")})
     return out.withColumn(
@@ -227,12 +245,12 @@ def lifecycle_replay(events: DataFrame) -> DataFrame:
 
 
 def order_history(events: DataFrame, order_id=None) -> DataFrame:
-    """All events of an order (or of every order), numbered by time."""
+    """All events of every order, numbered by time; or those of one order, sorted."""
+    columns = [ORDER, "event_id", "event_type", "ts_event", "firm_order_id",
+               "parent_firm_order_id", "route_id", "exec_id", "qty"]
+    by = ["ts_event", "event_type", "event_id"]
     if order_id is not None:
-        events = events.where(F.col(ORDER) == order_id)
+        return events.where(F.col(ORDER) == order_id).select(*columns).orderBy(*by)
     return running(
-        events.select(ORDER, "event_id", "event_type", "ts_event", "firm_order_id",
-                      "parent_firm_order_id", "route_id", "exec_id", "qty",
-                      F.lit(1).cast("long").alias("_one")),
-        ORDER, ["ts_event", "event_type", "event_id"], _chunk(),
+        events.select(*columns, F.lit(1).cast("long").alias("_one")), ORDER, by,
         {"seq": ("sum", "_one")}).drop("_one")

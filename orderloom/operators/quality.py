@@ -72,8 +72,14 @@ def snapshot_exceptions(snapshots: DataFrame, only=None, detected_ms=None) -> Da
             "status", "fill_count", *totals), rules, only, detected_ms)
 
 
-def event_exceptions(events: DataFrame, as_of_ms, only=None, detected_ms=None) -> DataFrame:
-    """Rules on a single event: required ids and plausible times."""
+def event_exceptions(events: DataFrame, as_of_ms, only=None, detected_ms=None,
+                     final_delay_ms=120_000) -> DataFrame:
+    """Rules on a single event: required ids, plausible times, and arrival before its trading
+    day was final (`final_delay_ms` after its end; where the arrival is known). Without state,
+    so they also run on a stream."""
+    arrival = (F.unix_millis("kafka_timestamp") if "kafka_timestamp" in events.columns
+               else F.lit(None).cast("long"))
+    day_end = (F.floor(F.col("ts_event") / 86_400_000) + 1) * 86_400_000
     route = (F.col("event_type") == "ROUTE") & ~(
         has_value("parent_firm_order_id") & has_value("route_id"))
     fill = (F.col("event_type") == "FILL") & ~(has_value("exec_id") & has_value("route_id"))
@@ -86,11 +92,14 @@ def event_exceptions(events: DataFrame, as_of_ms, only=None, detected_ms=None) -
              F.lit(as_of_ms) - F.col("ts_event") > YEAR_MS, "event_id", ("ts_event",)),
         Rule("INGEST_BEFORE_EVENT", "ERROR", "Event was ingested before it happened",
              F.col("ts_ingest") < F.col("ts_event"), "event_id", ("ts_event", "ts_ingest")),
+        Rule("UPDATE_AFTER_FINAL", "ERROR", "Event arrived after its trading day was final",
+             F.col("arrival") > day_end + final_delay_ms, "event_id", ("ts_event", "arrival")),
     ]
     return apply_rules(
-        events.select(ORDER, "firm_order_id", "event_id", "symbol", "event_type", "ts_event",
-                      "ts_ingest", "parent_firm_order_id", "route_id", "exec_id",
-                      trade_date().alias("day")), rules, only, detected_ms)
+        events.withColumn("arrival", arrival).select(
+            "arrival", ORDER, "firm_order_id", "event_id", "symbol", "event_type", "ts_event",
+            "ts_ingest", "parent_firm_order_id", "route_id", "exec_id",
+            trade_date().alias("day")), rules, only, detected_ms)
 
 
 def order_exceptions(events: DataFrame, only=None, hot=None, detected_ms=None) -> DataFrame:
@@ -212,7 +221,8 @@ def allocation_check(events: DataFrame, detected_ms=None) -> DataFrame:
 
 def all_exceptions(events: DataFrame, snapshots: DataFrame, as_of_ms,
                    detected_ms=None) -> DataFrame:
-    """Every rule but cycles, in one frame. `events` must be unique."""
+    """Every rule that needs no iteration, in one frame; `linkage.circular_exceptions` adds the
+    cycles. `events` must be unique. Building the plan starts no job."""
     parts = [
         snapshot_exceptions(snapshots, None, detected_ms),
         event_exceptions(events, as_of_ms, None, detected_ms),
@@ -221,6 +231,7 @@ def all_exceptions(events: DataFrame, snapshots: DataFrame, as_of_ms,
         missing_parent(events, detected_ms=detected_ms),
         orphaned_execution(events, detected_ms=detected_ms),
         route_overallocation(events, detected_ms),
+        allocation_check(events, detected_ms),
     ]
     out = parts[0]
     for part in parts[1:]:

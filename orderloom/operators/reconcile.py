@@ -1,17 +1,19 @@
 """Late events, corrections with an audit trail, and review against other records."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.columns import content_id, on_type, state_json, trade_date
 from orderloom.operators.events import dedup_events
 from orderloom.operators.lifecycle import lifecycle_snapshot
-from orderloom.operators.skew import hot_keys, join_facts
+from orderloom.operators.skew import join_facts
 from orderloom.schema import AUDIT_FIELDS
+from orderloom.session import cut_lineage
+from orderloom.sources.tables import read_snapshot_table, with_month, write_snapshot_table
 
 ORDER = "customer_order_id"
 DAY_KEY = [ORDER, "trade_date"]
-# the columns of a snapshot that describe the state of the order
+# the columns of a snapshot that an audit record shows
 STATE = ["status", "total_qty", "filled_qty", "fill_count", "route_count", "ts_first_event",
          "ts_last_event", "is_provisional"]
 
@@ -36,58 +38,123 @@ def _audit_time(ms):
 def recompute_affected(raw: DataFrame, late: DataFrame, snapshot_ms=None, hot=None) -> DataFrame:
     """Fresh snapshots of the order-days that late events touch, from the whole event log.
 
-    `raw` must hold the late events too; both may hold duplicates.
+    `raw` must hold the late events too; both may hold duplicates. A stored `trade_date` of the
+    log is used as it is, so that filters on it reach the partitions.
     """
-    affected = late.select(ORDER, trade_date().alias("trade_date")).distinct()
-    rows = raw.withColumn("trade_date", trade_date())
-    if hot is None:
-        hot = hot_keys(rows, DAY_KEY)
-    touched = join_facts(rows, affected, DAY_KEY, "left_semi", hot).drop("trade_date")
+    affected = _dated(late).select(*DAY_KEY).distinct()
+    touched = join_facts(_dated(raw), affected, DAY_KEY, "left_semi", hot).drop("trade_date")
     return lifecycle_snapshot(dedup_events(touched), snapshot_ms)
 
 
-def reconcile_late(raw: DataFrame, late: DataFrame, published: DataFrame,
-                   snapshot_ms=None, hot=None) -> DataFrame:
-    """The published snapshots with every order-day that late events touch recomputed.
+def _dated(events: DataFrame) -> DataFrame:
+    return events if "trade_date" in events.columns else events.withColumn(
+        "trade_date", trade_date())
 
-    `is_corrected` marks a recomputed row that differs from what was published.
-    """
-    columns = published.columns
-    old = published.select(*DAY_KEY, F.struct(*columns).alias("old"))
+
+def corrections(raw: DataFrame, late: DataFrame, published: DataFrame, snapshot_ms=None,
+                hot=None) -> DataFrame:
+    """The recomputed snapshots that differ from what was published in any column but
+    ts_snapshot, as `new` beside `old` (NULL if nothing was published). Work and shuffles are
+    those of the order-days that late events touch, not of the whole table."""
+    columns = [c for c in published.columns if c != "trade_month"]
     new = recompute_affected(raw, late, snapshot_ms, hot).select(
         *DAY_KEY, F.struct(*columns).alias("new"))
+    affected = _dated(late).select(*DAY_KEY).distinct()
+    old = join_facts(published, affected, DAY_KEY, "left_semi", hot).select(
+        *DAY_KEY, F.struct(*columns).alias("old"))
+    return new.join(old, DAY_KEY, "left").where(
+        F.col("old").isNull() | _differs(columns))
+
+
+def _differs(columns):
+    """Whether `old` and `new` differ in anything but ts_snapshot. The mean price is compared to
+    six decimals, as the last bits of a sum depend on its order."""
+    out = F.lit(False)
+    for c in columns:
+        if c != "ts_snapshot":
+            old, new = F.col(f"old.{c}"), F.col(f"new.{c}")
+            if c == "avg_exec_price":
+                old, new = F.round(old, 6), F.round(new, 6)
+            out = out | ~old.eqNullSafe(new)
+    return out
+
+
+def reconcile_late(raw: DataFrame, late: DataFrame, published: DataFrame, snapshot_ms=None,
+                   hot=None) -> DataFrame:
+    """The published snapshots with the corrections of late events in them, marked
+    `is_corrected`."""
+    columns = published.columns
+    found = corrections(raw, late, published, snapshot_ms, hot).select(
+        "new.*", F.lit(True).alias("is_corrected"))
+    kept = published.join(found.select(*DAY_KEY), DAY_KEY, "left_anti").withColumn(
+        "is_corrected", F.lit(False))
+    return kept.unionByName(found, allowMissingColumns=True).select(*columns, "is_corrected")
 
-    def state(side):
-        return F.struct(*[F.col(f"{side}.{c}") for c in STATE])
 
-    return old.join(new, DAY_KEY, "full_outer").select(
-        F.coalesce("new", "old").alias("row"),
-        (F.col("new").isNotNull() & (F.col("old").isNull()
-                                     | ~state("new").eqNullSafe(state("old"))))
-        .alias("is_corrected")).select("row.*", "is_corrected")
+def correct_table(spark: SparkSession, raw: DataFrame, late: DataFrame, path: str,
+                  partition_by=("trade_date",), snapshot_ms=None, audited_ms=None) -> DataFrame:
+    """Writes the corrections of late events into the published table in `path`, and returns an
+    audit record for each.
+
+    `raw` and the table are partitioned by the first column of `partition_by`: trade_date, or
+    trade_month. Only partitions that late events name are read, and only those with a
+    correction are replaced, from a staged copy. A repeated run finds nothing to correct.
+    """
+    first = partition_by[0]
+
+    def placed(df):
+        df = _dated(df)
+        return with_month(df) if first == "trade_month" and first not in df.columns else df
+
+    late = cut_lineage(placed(late), "late")
+    values = [r[0] for r in late.select(first).distinct().collect()]  # days of the retention
+    published = read_snapshot_table(spark, path).where(F.col(first).isin(values))
+    found = cut_lineage(corrections(placed(raw).where(F.col(first).isin(values)), late, published,
+                                    snapshot_ms), "corrections")
+    new = placed(found.select("new.*"))
+    touched = [r[0] for r in new.select(first).distinct().collect()]
+    if touched:
+        kept = published.where(F.col(first).isin(touched)).join(
+            found.select(*DAY_KEY), DAY_KEY, "left_anti")
+        staged = cut_lineage(kept.unionByName(new), "staged")
+        write_snapshot_table(staged, path, partition_by)
+    return audit_of(found, late, audited_ms)
 
 
 def audit_corrections(published: DataFrame, current: DataFrame, late: DataFrame,
                       audited_ms=None) -> DataFrame:
-    """One LIFECYCLE_CORRECTION record per order-day whose published state changed.
+    """One LIFECYCLE_CORRECTION record per order-day of which any published column changed."""
+    columns = [c for c in published.columns if c != "trade_month"]
+    old = published.select(*DAY_KEY, F.struct(*columns).alias("old"))
+    new = current.select(*DAY_KEY, F.struct(*columns).alias("new"))
+    changed = old.join(new, DAY_KEY, "full_outer").where(_differs(columns))
+    return audit_of(changed, late, audited_ms)
+
 
+def audit_of(changed: DataFrame, late: DataFrame, audited_ms=None) -> DataFrame:
+    """Audit records of changed order-days (`old` and `new` are structs of their columns).
+
+    The states show the columns in `STATE`, and the mean price where it differs.
     The triggering event is the last late one of that order-day, if there is any.
     """
-    trigger = (late.groupBy(ORDER, trade_date().alias("trade_date"))
+    trigger = (_dated(late).groupBy(*DAY_KEY)
                .agg(F.max(F.struct("ts_ingest", "event_id", "event_type")).alias("t")))
-    old = published.select(*DAY_KEY, F.struct(*STATE).alias("old"))
-    new = current.select(*DAY_KEY, F.struct(*STATE).alias("new"))
-    changed = (old.join(new, DAY_KEY, "full_outer")
-               .where(~F.col("old").eqNullSafe(F.col("new")))
-               .join(trigger, DAY_KEY, "left"))
-    previous, after = F.to_json("old"), F.to_json("new")
-    return changed.select(
+
+    def state(side):
+        price, before, after = (F.round(f"{s}.avg_exec_price", 6) for s in (side, "old", "new"))
+        shown = [F.col(f"{side}.{c}").alias(c) for c in STATE]
+        shown.append(F.when(~before.eqNullSafe(after), price).alias("avg_exec_price"))
+        return F.when(F.col(side).isNotNull(), F.to_json(F.struct(*shown)))
+
+    rows = changed.join(trigger, DAY_KEY, "left").select(
+        *DAY_KEY, "t", state("old").alias("previous"), state("new").alias("after"))
+    return rows.select(
         content_id(F.lit("LIFECYCLE_CORRECTION"), F.col(ORDER), F.col("trade_date"),
-                   previous, after).alias("audit_id"),
+                   F.col("previous"), F.col("after")).alias("audit_id"),
         F.lit("LIFECYCLE_CORRECTION").alias("action"), ORDER,
         F.concat(F.lit("Late "), F.coalesce("t.event_type", F.lit("unknown")),
                  F.lit(" event received")).alias("reason"),
-        previous.alias("previous_state"), after.alias("new_state"),
+        F.col("previous").alias("previous_state"), F.col("after").alias("new_state"),
         F.col("t.event_id").alias("triggering_event_id"),
         _audit_time(audited_ms).alias("ts_audit")).select(*AUDIT_FIELDS)
 

@@ -1,10 +1,10 @@
 """Joins and running totals that stay balanced when one key holds a large share of the rows."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.session import cut_lineage
+
 HOT_SHARE = 0.01          # a key with this share of the rows is hot ...
 HOT_MIN_ROWS = 1_000_000  # ... unless one task handles it easily anyway
 SALTS = 64
@@ -33,12 +33,11 @@ def join_facts(rows: DataFrame, facts: DataFrame, keys, how="inner", hot=None,
     """Equi-join skewed `rows` to `facts` that hold each key at most once, with one type on
     both sides.
 
-    Rows of a hot key are spread over `salts` tasks by `spread_by`, and the single fact
-    of that key is copied to each of them (at most 1/share x salts extra rows). Without
-    hot keys this is a plain join.
+    `hot` are hashes of keys, as `hot_keys` finds them. Their rows are spread over `salts` tasks
+    by `spread_by`, and the single fact of such a key is copied to each of them (at most
+    1/share x salts extra rows). Without hot keys this is a plain join, which adaptive execution
+    splits where it can. The operators start no job for it: whoever knows the data passes `hot`.
     """
-    if hot is None:
-        hot = hot_keys(rows, keys)
     if not hot:
         return rows.join(facts, list(keys), how)
     is_hot = F.xxhash64(*keys).isin(hot)
@@ -51,32 +50,34 @@ def join_facts(rows: DataFrame, facts: DataFrame, keys, how="inner", hot=None,
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
-def running(rows: DataFrame, key, order_by, chunk, totals) -> DataFrame:
-    """Running aggregates per `key` without sorting a whole key in one task.
+def running(rows: DataFrame, key, order_by, totals) -> DataFrame:
+    """Running aggregates per `key` along `order_by` without sorting a whole key in one task.
 
-    `chunk` is a column that never decreases along `order_by`. Each (key, chunk) is
-    totalled first; the chunk totals are accumulated per key, and every row adds its
-    position inside its own chunk. `key` must not be NULL. `totals` maps an output name to
-    `(aggregate name, input column)` with aggregate `sum` or `max`.
+    The rows are sorted over all tasks by (key, order) and written to the shared folder with the
+    number of their task, so a key of any size, even one whose rows share a time, is spread
+    evenly. Each task totals its part of a key; what earlier tasks hold of the key is added to
+    the running values inside the task. NULL is a key like any other. `order_by` should be
+    unique within a key. `totals` maps an output name to `(aggregate name, input column)` with
+    aggregate `sum` or `max`.
     """
-    base = rows.withColumn("_chunk", chunk)
-    per_chunk = base.groupBy(key, "_chunk").agg(
+    dealt = cut_lineage(rows.repartitionByRange(key, *order_by)
+                        .withColumn("_task", F.spark_partition_id()), "running")
+    per_task = dealt.groupBy(F.col(key).alias("_key"), F.col("_task").alias("_of")).agg(
         *[getattr(F, agg)(col).alias(f"_t_{name}") for name, (agg, col) in totals.items()])
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(
+    before = Window.partitionBy("_key").orderBy("_of").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(
-        key, "_chunk",
+    offsets = per_task.select(
+        "_key", "_of",
         *[getattr(F, agg)(f"_t_{name}").over(before).alias(f"_o_{name}")
           for name, (agg, _) in totals.items()])
-    inside = Window.partitionBy(key, "_chunk").orderBy(*order_by).rowsBetween(
+    inside = Window.partitionBy("_task", key).orderBy(*order_by).rowsBetween(
         Window.unboundedPreceding, 0)
-    joined = base.join(offsets, [key, "_chunk"])
     merge = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)),
              "max": F.greatest}
-    out = reduce(
-        lambda d, item: d.withColumn(
-            item[0],
-            merge[item[1][0]](F.col(f"_o_{item[0]}"),
-                              getattr(F, item[1][0])(item[1][1]).over(inside))),
-        totals.items(), joined)
-    return out.drop("_chunk", *[f"_o_{name}" for name in totals])
+    here = dealt.withColumns({
+        f"_i_{name}": getattr(F, agg)(col).over(inside) for name, (agg, col) in totals.items()})
+    joined = here.join(
+        offsets, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_task") == F.col("_of")))
+    return joined.select(*rows.columns, *[
+        merge[agg](F.col(f"_o_{name}"), F.col(f"_i_{name}")).alias(name)
+        for name, (agg, _) in totals.items()])

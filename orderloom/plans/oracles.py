@@ -179,6 +179,10 @@ _TEMPORAL = [
     ("INGEST_BEFORE_EVENT", "ERROR", "Event was ingested before it happened",
      "ts_ingest < ts_event", "event_id", _json("ts_event", "ts_ingest")),
 ]
+_AFTER_FINAL = [
+    ("UPDATE_AFTER_FINAL", "ERROR", "Event arrived after its trading day was final",
+     f"ts_ingest > (ts_event // {DAY_MS} + 1) * {DAY_MS} + 120000", "event_id",
+     "'{\"ts_event\":' || ts_event || ',\"arrival\":' || ts_ingest || '}'")]
 _SEQUENCE = [
     ("ROUTE_BEFORE_NEW", "ERROR", "Route timestamp precedes order timestamp",
      "event_type = 'ROUTE' AND ts_event < new_ts", "event_id", _json("ts_event", "new_ts")),
@@ -206,18 +210,14 @@ _NO_OUTCOME = [
      "route_ts IS NOT NULL AND ack_ts IS NULL AND reject_ts IS NULL", "route_id",
      _json("'route_id"))]
 _NO_EVENT = {"event": "NULL::VARCHAR"}
-_PARENT = _found("u", [(
+_PARENT = _found("with_known", [(
     "MISSING_PARENT", "ERROR", "Parent order is unknown",
-    """event_type IN ('ROUTE', 'REPLACE') AND parent_firm_order_id IS NOT NULL AND NOT EXISTS (
-      SELECT 1 FROM u p WHERE p.event_type = 'NEW' AND p.customer_order_id = u.customer_order_id
-        AND p.firm_order_id = u.parent_firm_order_id)""",
+    """event_type IN ('ROUTE', 'REPLACE') AND parent_firm_order_id IS NOT NULL
+    AND parent_known IS NULL""",
     "event_id", _json("'parent_firm_order_id"))])
-_ORPHAN = _found("u", [(
+_ORPHAN = _found("with_known", [(
     "ORPHANED_EXECUTION", "ERROR", "Route of the execution is unknown",
-    """event_type = 'FILL' AND NOT EXISTS (
-      SELECT 1 FROM u p WHERE p.event_type = 'ROUTE'
-        AND p.customer_order_id = u.customer_order_id AND p.route_id = u.route_id)""",
-    "event_id", _json("'route_id"))])
+    "event_type = 'FILL' AND route_known IS NULL", "event_id", _json("'route_id"))])
 _OVERALLOCATION = _found("placed_routed", [(
     "ROUTE_OVERALLOCATION", "ERROR", "Routed quantity exceeds total quantity",
     "routed_qty > total_qty", "customer_order_id", _json("total_qty", "routed_qty"))],
@@ -225,10 +225,13 @@ _OVERALLOCATION = _found("placed_routed", [(
 
 _STATE_COLUMNS = ["status", "total_qty", "filled_qty", "fill_count", "route_count",
                   "ts_first_event", "ts_last_event", "is_provisional"]
+_PUBLISHED = [*_STATE_COLUMNS, "last_ts", "last_type", "root_firm_order_id", "account_id",
+              "symbol", "side", "avg_exec_price", "is_canceled", "has_late_events"]
+_DIFFERS = " OR ".join(f"p.{c} IS DISTINCT FROM s.{c}" for c in _PUBLISHED)
 
 
-def _state(prefix=""):
-    return _json(f"'{prefix}status", *[f"{prefix}{c}" for c in _STATE_COLUMNS[1:]])
+def _state(prefix="", *more):
+    return _json(f"'{prefix}status", *[f"{prefix}{c}" for c in _STATE_COLUMNS[1:]], *more)
 
 
 def _per_route(table):
@@ -267,6 +270,14 @@ PARTS = {
     "with_new": """SELECT u.*, new_ts, new_limit FROM u LEFT JOIN (
       SELECT customer_order_id, min(ts_event) AS new_ts, max(limit_price) AS new_limit FROM u
       WHERE event_type = 'NEW' GROUP BY 1) USING (customer_order_id)""",
+    "new_node": """SELECT DISTINCT customer_order_id, firm_order_id AS parent_firm_order_id,
+      true AS parent_known FROM u WHERE event_type = 'NEW'""",
+    "known_route": """SELECT customer_order_id, route_id, true AS route_known,
+      max(firm_order_id) AS route_firm, max(parent_firm_order_id) AS route_parent
+      FROM u WHERE event_type = 'ROUTE' AND route_id <> '' GROUP BY 1, 2""",
+    "with_known": """SELECT u.*, parent_known, route_known, route_firm, route_parent FROM u
+      LEFT JOIN new_node USING (customer_order_id, parent_firm_order_id)
+      LEFT JOIN known_route USING (customer_order_id, route_id)""",
     "per_route": _per_route("u"),
     "placed_routed": f"""SELECT customer_order_id,
       max(CASE WHEN event_type = 'NEW' THEN firm_order_id END) AS firm_order_id,
@@ -275,7 +286,7 @@ PARTS = {
       sum({_QTY.format('ROUTE')})::BIGINT AS routed_qty
       FROM u WHERE event_type IN ('NEW', 'ROUTE') GROUP BY 1""",
     "exc": " UNION ALL ".join([
-        _on_snapshots(), _found("u", _MISSING_ID + _TEMPORAL),
+        _on_snapshots(), _found("u", _MISSING_ID + _TEMPORAL + _AFTER_FINAL),
         _found("with_new", _SEQUENCE + _PRICES),
         _found("per_route", _ROUTE_SEQUENCE + _NO_OUTCOME, **_NO_EVENT),
         _PARENT, _ORPHAN, _OVERALLOCATION]),
@@ -330,32 +341,39 @@ def sql(body, **more):
 _SNAP_COLUMNS = "* EXCLUDE (trade_date), trade_date"
 
 
-def _detail(table):
+def _detail(table, part_rows=10_000):
     listed = """string_agg(CASE WHEN event_type = '{0}' THEN {1} END, ','
         ORDER BY ts_event, {2})"""
     routes = listed.format("ROUTE", "route_id", "route_id")
     execs = listed.format("FILL", "exec_id || ':' || qty || ':' || ts_event", "exec_id, qty")
     filled = "coalesce(sum(CASE WHEN event_type = 'FILL' THEN qty END), 0)"
+    priced = "sum(CASE WHEN event_type = 'FILL' AND exec_price IS NOT NULL THEN qty END)"
     total = "max(CASE WHEN event_type = 'NEW' THEN qty END)"
     turn = """max(CASE WHEN event_type IN ('CANCEL', 'REPLACE', 'REJECT')
         THEN lpad(ts_event::VARCHAR, 20, '0') || event_type END)"""
-    return f"""SELECT customer_order_id,
+    return f"""SELECT s.*, greatest(1, ceil((route_count + execution_count) / {part_rows}))::BIGINT
+        AS parts, coalesce(part_no, 0) AS part_no, coalesce(active_routes, '') AS active_routes,
+      coalesce(executions, '') AS executions FROM (SELECT customer_order_id,
       max(CASE WHEN event_type = 'NEW' THEN firm_order_id END) AS root_firm_order_id,
       arg_min(account_id, lpad(ts_event::VARCHAR, 20, '0') || event_id) AS account_id,
       max(symbol) AS symbol, max(side) AS side, {total} AS total_qty,
       ({filled})::BIGINT AS filled_qty,
-      CASE WHEN {filled} > 0 THEN round(sum(CASE WHEN event_type = 'FILL'
-        THEN qty * exec_price END) / {filled}, 6) END AS vwap,
+      CASE WHEN {priced} > 0 THEN round(sum(CASE WHEN event_type = 'FILL'
+        THEN qty * exec_price END) / {priced}, 6) END AS vwap,
       CASE WHEN {filled} >= {total} THEN 'FILLED' WHEN {filled} > 0 THEN 'PARTIALLY_FILLED'
         ELSE coalesce(CASE substr({turn}, 21) WHEN 'CANCEL' THEN 'CANCELED'
           WHEN 'REPLACE' THEN 'REPLACED' WHEN 'REJECT' THEN 'REJECTED' END, 'OPEN')
         END AS status,
       max(CASE WHEN event_type = 'REJECT' THEN reason END) AS reject_reason,
-      coalesce({routes}, '') AS active_routes, coalesce({execs}, '') AS executions,
       count(CASE WHEN event_type = 'ROUTE' THEN 1 END) AS route_count,
       count(CASE WHEN event_type = 'FILL' THEN 1 END) AS execution_count,
       min(ts_event) AS ts_first_event, max(ts_event) AS ts_last_event,
-      bool_or(is_late) AS is_provisional FROM {table} GROUP BY 1"""
+      bool_or(is_late) AS is_provisional FROM {table} GROUP BY 1) s
+    LEFT JOIN (SELECT customer_order_id, part_no, {routes} AS active_routes, {execs} AS executions
+      FROM (SELECT *, (row_number() OVER (PARTITION BY customer_order_id
+          ORDER BY ts_event, event_id) - 1) // {part_rows} AS part_no
+        FROM {table} WHERE event_type = 'FILL' OR (event_type = 'ROUTE' AND route_id <> ''))
+      GROUP BY 1, 2) l USING (customer_order_id)"""
 
 
 _RUN = """OVER (PARTITION BY customer_order_id ORDER BY ts_event, event_type, event_id
@@ -375,6 +393,45 @@ _WHOLE_LIFE = f"""SELECT customer_order_id, {DAY.format('ts_first_event')} AS fi
     ts_first_event, ts_last_event, total_qty, filled_qty, status, has_late_events FROM whole"""
 
 
+_NODES = {
+    "node": """SELECT DISTINCT customer_order_id, firm_order_id,
+      CASE WHEN event_type <> 'NEW' THEN parent_firm_order_id END AS parent_firm_order_id,
+      event_type = 'NEW' AS is_root FROM u WHERE event_type IN ('NEW', 'ROUTE', 'REPLACE')""",
+    "link": """SELECT customer_order_id, firm_order_id, parent_firm_order_id AS up FROM node
+      WHERE NOT is_root AND parent_firm_order_id IS NOT NULL""",
+}
+_WALKED = """, walk AS (SELECT DISTINCT customer_order_id, firm_order_id, 0 AS depth FROM node
+    WHERE {roots}
+  UNION SELECT l.customer_order_id, l.firm_order_id, w.depth + 1 FROM link l JOIN walk w
+    ON l.customer_order_id = w.customer_order_id AND l.up = w.firm_order_id
+  WHERE w.depth < 20),
+least AS (SELECT customer_order_id, firm_order_id, min(depth) AS depth FROM walk GROUP BY 1, 2)
+SELECT n.customer_order_id, n.firm_order_id, d.depth,
+  CASE WHEN d.depth IS NULL THEN min(l.up) WHEN d.depth > 0 THEN
+    min(CASE WHEN p.depth + 1 = d.depth THEN l.up END) END AS parent_firm_order_id
+FROM (SELECT DISTINCT customer_order_id, firm_order_id FROM node) n
+{how} JOIN least d USING (customer_order_id, firm_order_id)
+LEFT JOIN link l ON l.customer_order_id = n.customer_order_id
+  AND l.firm_order_id = n.firm_order_id
+LEFT JOIN least p ON p.customer_order_id = l.customer_order_id AND p.firm_order_id = l.up
+GROUP BY n.customer_order_id, n.firm_order_id, d.depth"""
+_NUMBER = "substr(customer_order_id, 4)::BIGINT"
+_RINGS = {
+    "links": f"""SELECT customer_order_id, source_id, target_id, ts_event FROM edge
+      UNION ALL SELECT customer_order_id, target_id, source_id, ts_event FROM edge
+      WHERE edge_type = 'REPLACE' AND {_NUMBER} % 13 = 0
+      UNION ALL SELECT customer_order_id, a, b, ts_event FROM edge, (VALUES ('a1', 'a2'),
+        ('a2', 'a3'), ('a3', 'a1'), ('s', 's'), ('a3', 'p'), ('p', 'b1'), ('b1', 'b2'),
+        ('b2', 'b1')) wrong(a, b) WHERE edge_type = 'ROOT' AND {_NUMBER} % 17 = 0""",
+    "reach": """SELECT DISTINCT customer_order_id, source_id AS start, target_id AS node
+      FROM links WHERE source_id IS NOT NULL AND target_id IS NOT NULL
+      UNION SELECT r.customer_order_id, r.start, l.target_id FROM reach r JOIN links l
+        ON l.customer_order_id = r.customer_order_id AND l.source_id = r.node
+      WHERE l.target_id IS NOT NULL""",
+    "cyclic": "SELECT customer_order_id, node AS node_id FROM reach WHERE start = node",
+}
+
+
 ORACLES = {
     "decode_events": sql(f"SELECT {FLAT} FROM raw"),
     "read_event_stream_files": sql(f"SELECT {FLAT} FROM raw"),
@@ -387,6 +444,9 @@ ORACLES = {
     "quarantine": """SELECT (event_id % 6)::INTEGER AS "partition", event_id AS "offset",
         props AS value, 'event_id,event_type,ts_event,ts_ingest,firm_id,account_id,customer_order_id,firm_order_id,symbol,qty,side'
         AS missing_fields FROM events""",
+    "quarantine_stream": """SELECT (event_id % 6)::INTEGER AS "partition", event_id AS "offset",
+        props AS value, 'event_id,event_type,ts_event,ts_ingest,firm_id,account_id,customer_order_id,firm_order_id,symbol,qty,side'
+        AS missing_fields FROM events""",
     "lifecycle_snapshot": sql("SELECT * FROM snap"),
     "lifecycle_as_of": sql("SELECT * FROM early_snap",
                            early=f"SELECT * FROM u WHERE ts_event <= {AS_OF_MS}",
@@ -394,6 +454,7 @@ ORACLES = {
     "lifecycle_multi_day": sql(_WHOLE_LIFE, whole=_multi_day("u")),
     "lifecycle_sessions": sql(_WHOLE_LIFE, whole=_multi_day("u")),
     "lifecycle_detail": sql(_detail("u")),
+    "lifecycle_detail_parts": sql(_detail("u", 3)),
     "lifecycle_detail_ext": sql(_detail("x")),
     "order_executions": sql("""SELECT customer_order_id, exec_id, qty, exec_price AS price,
         ts_event FROM u WHERE event_type = 'FILL'"""),
@@ -425,27 +486,21 @@ ORACLES = {
         {_json("'edge_id", "'edge_type", "'source_id", "'target_id", "'customer_order_id",
                "ts_event")} AS value FROM edge"""),
     "linkages_ext": sql("SELECT * FROM edge_x", edge_x=_edges("x")),
-    "execution_trace": sql("""SELECT f.exec_id, f.route_id,
-        coalesce(r.firm_order_id, f.firm_order_id) AS firm_order_id,
-        r.parent_firm_order_id, f.customer_order_id, r.event_id IS NOT NULL AS route_known
-        FROM u f LEFT JOIN (SELECT * FROM u WHERE event_type = 'ROUTE') r
-          ON r.customer_order_id = f.customer_order_id AND r.route_id = f.route_id
-        WHERE f.event_type = 'FILL'"""),
-    "descendants": sql(
-        "SELECT * FROM walk",
-        node="""SELECT DISTINCT customer_order_id, firm_order_id, parent_firm_order_id,
-          event_type = 'NEW' AS is_root FROM u WHERE event_type IN ('NEW', 'ROUTE', 'REPLACE')""",
-        walk="""SELECT customer_order_id, firm_order_id, NULL::VARCHAR AS parent_firm_order_id,
-            0 AS depth FROM node WHERE is_root
-          UNION ALL SELECT n.customer_order_id, n.firm_order_id, n.parent_firm_order_id,
-            w.depth + 1
-          FROM node n JOIN walk w ON n.customer_order_id = w.customer_order_id
-            AND n.parent_firm_order_id = w.firm_order_id WHERE NOT n.is_root"""),
-    "circular_linkage": sql(
-        """SELECT customer_order_id, source_id AS node_id FROM edge
-           WHERE edge_type = 'REPLACE' AND substr(customer_order_id, 4)::BIGINT % 13 = 0
-           UNION SELECT customer_order_id, target_id FROM edge
-           WHERE edge_type = 'REPLACE' AND substr(customer_order_id, 4)::BIGINT % 13 = 0"""),
+    "execution_trace": sql("""SELECT exec_id, route_id,
+        coalesce(route_firm, firm_order_id) AS firm_order_id,
+        route_parent AS parent_firm_order_id, customer_order_id,
+        route_known IS NOT NULL AS route_known FROM with_known WHERE event_type = 'FILL'"""),
+    "descendants": sql(_WALKED.format(how="LEFT", roots="is_root"), **_NODES),
+    "descendants_of": sql(_WALKED.format(
+        how="", roots="firm_order_id = (SELECT min(parent_firm_order_id) FROM node)"), **_NODES),
+    "circular_linkage": sql("SELECT DISTINCT customer_order_id, node_id FROM cyclic", **_RINGS),
+    "circular_exceptions": sql(_found(
+        "(SELECT customer_order_id, node_id AS firm_order_id, NULL::VARCHAR AS symbol, ts_event "
+        "FROM (SELECT DISTINCT customer_order_id, node_id FROM cyclic) JOIN (SELECT "
+        "customer_order_id, min(ts_event) AS ts_event FROM links GROUP BY 1) "
+        "USING (customer_order_id))",
+        [("CIRCULAR_LINKAGE", "ERROR", "Node lies on a cycle of links", "true", "firm_order_id",
+          _json("'firm_order_id"))], **_NO_EVENT), **_RINGS),
     "quality_exceptions": sql(_on_snapshots(detected=SNAPSHOT_MS)),
     "run_streaming_job": sql(_on_snapshots()),
     "overfill": sql(_on_snapshots("OVERFILL")),
@@ -472,13 +527,13 @@ ORACLES = {
           FROM x WHERE event_type IN ('FILL', 'ALLOCATE') GROUP BY 1, 2"""),
     "all_exceptions": sql("SELECT * FROM exc"),
     "reconcile_late": sql(
-        f"""SELECT s.*, (p.customer_order_id IS NULL OR {" OR ".join(
-            f"p.{c} IS DISTINCT FROM s.{c}" for c in _STATE_COLUMNS)}) AS is_corrected
+        f"""SELECT s.*, (p.customer_order_id IS NULL OR {_DIFFERS}) AS is_corrected
         FROM snap s JOIN hit h USING (customer_order_id, trade_date)
         LEFT JOIN pub p USING (customer_order_id, trade_date)
         UNION ALL SELECT p.*, false FROM pub p ANTI JOIN hit h USING
           (customer_order_id, trade_date)""",
         hit="""SELECT DISTINCT customer_order_id, day AS trade_date FROM raw WHERE is_late"""),
+    "reconcile_table": sql("SELECT * FROM snap"),
     "audit_late": sql(f"""SELECT substr(sha256('LATE_EVENT_RECEIVED|' || event_id || '|' ||
           ts_event), 1, 32) AS audit_id, 'LATE_EVENT_RECEIVED' AS action, customer_order_id,
         'Event arrived after watermark' AS reason, NULL::VARCHAR AS previous_state,
@@ -491,13 +546,19 @@ ORACLES = {
         'Late ' || coalesce(late_type, 'unknown') || ' event received' AS reason,
         before AS previous_state, after AS new_state, late_id AS triggering_event_id,
         {_AUDIT_TAIL} FROM pair LEFT JOIN late USING (customer_order_id, trade_date)
-        WHERE before IS DISTINCT FROM after""",
+        WHERE differs""",
         pair=f"""SELECT coalesce(p.customer_order_id, s.customer_order_id) AS customer_order_id,
           coalesce(p.trade_date, s.trade_date) AS trade_date,
-          CASE WHEN p.customer_order_id IS NOT NULL THEN {_state("p.")} END AS before,
-          CASE WHEN s.customer_order_id IS NOT NULL THEN {_state("s.")} END AS after
+          CASE WHEN p.customer_order_id IS NOT NULL THEN {_state("p.", "a.avg_exec_price")} END
+            AS before,
+          CASE WHEN s.customer_order_id IS NOT NULL THEN {_state("s.", "b.avg_exec_price")} END
+            AS after, {_DIFFERS} AS differs
           FROM pub p FULL JOIN snap s ON p.customer_order_id = s.customer_order_id
-            AND p.trade_date = s.trade_date""",
+            AND p.trade_date = s.trade_date,
+          LATERAL (SELECT CASE WHEN p.avg_exec_price IS DISTINCT FROM s.avg_exec_price
+            THEN p.avg_exec_price END AS avg_exec_price) a,
+          LATERAL (SELECT CASE WHEN p.avg_exec_price IS DISTINCT FROM s.avg_exec_price
+            THEN s.avg_exec_price END AS avg_exec_price) b""",
         late="""SELECT customer_order_id, day AS trade_date,
           arg_max(event_id, lpad(ts_ingest::VARCHAR, 20, '0') || event_id) AS late_id,
           arg_max(event_type, lpad(ts_ingest::VARCHAR, 20, '0') || event_id) AS late_type
@@ -586,6 +647,10 @@ ORACLES = {
         WHERE {_DAY_END} <= {_WATERMARK}"""),
     "lifecycle_multi_day_stream": sql(f"""{_WHOLE_LIFE}
         WHERE ts_last_event + {2 * DAY_MS} <= {_WATERMARK}""", whole=_multi_day("u")),
+    "progress_table": sql("SELECT 'linkages' AS query, count(*) AS input_rows FROM raw"),
+    "throughput_report": sql("SELECT 'linkages' AS query, count(*) AS input_rows FROM raw"),
+    "event_exceptions_stream": sql(f"""SELECT exception_type, count(DISTINCT exception_id) AS n
+        FROM ({_found("u", _MISSING_ID + _TEMPORAL + _AFTER_FINAL)}) GROUP BY 1"""),
     "read_state": sql(f"""SELECT event_id, ts_event AS event_ms FROM u
         WHERE ts_event > {_WATERMARK}"""),
 }

@@ -15,12 +15,14 @@ from orderloom.operators import reports as rp
 from orderloom.plans.workspace import AS_OF_MS, SNAPSHOT_MS, Workspace
 from orderloom.schema import ENVELOPE_FIELDS, EVENT_FIELDS
 from orderloom.sources import derived, tables
-from orderloom.sources.event_log import read_event_stream
+from orderloom.sources.event_log import read_event_stream, read_message_stream
 from orderloom.streaming import pipeline, progress, sinks
 
 ORDER = "customer_order_id"
 DELAY = "2 minutes"
 QUERIES = {}
+WRONG_LINKS = [("a1", "a2"), ("a2", "a3"), ("a3", "a1"), ("s", "s"), ("a3", "p"), ("p", "b1"),
+               ("b1", "b2"), ("b2", "b1")]
 
 
 def query(build):
@@ -104,7 +106,9 @@ def lifecycle_multi_day(w):
 
 @query
 def lifecycle_sessions(w):
-    return _flat_multi_day(lc.lifecycle_sessions(w.unique_events(), "2 days", SNAPSHOT_MS))
+    """A pause of a fifth of a second closes a session here, so that most orders have several."""
+    return _flat_multi_day(lc.merge_sessions(
+        lc.lifecycle_sessions(w.unique_events(), "200 milliseconds", SNAPSHOT_MS)))
 
 
 def _flat_detail(df):
@@ -115,7 +119,8 @@ def _flat_detail(df):
         F.round("vwap", 6).alias("vwap"), "status", "reject_reason",
         F.concat_ws(",", "active_routes").alias("active_routes"),
         F.concat_ws(",", execution).alias("executions"),
-        "route_count", "execution_count", "ts_first_event", "ts_last_event", "is_provisional")
+        "route_count", "execution_count", "ts_first_event", "ts_last_event", "is_provisional",
+        "parts", "part_no")
 
 
 @query
@@ -123,6 +128,12 @@ def lifecycle_detail(w):
     return _flat_detail(lc.lifecycle_detail(w.unique_events()))
 
 
+@query
+def lifecycle_detail_parts(w):
+    """Parts of three routes and executions, so that most orders have several."""
+    return _flat_detail(lc.lifecycle_detail(w.unique_events(), 3))
+
+
 @query
 def lifecycle_detail_ext(w):
     """With rejections and allocations among the events."""
@@ -182,14 +193,37 @@ def descendants(w):
 
 
 @query
-def circular_linkage(w):
-    """Every 13th urgent order's replacement is linked back to what it replaced."""
+def descendants_of(w):
+    """The node with the smallest id below which others are."""
+    events = w.unique_events()
+    root = lk.order_nodes(events).agg(F.min("parent_firm_order_id")).first()[0]
+    return lk.descendants_of(events, root)
+
+
+def _linked_back(w):
+    """The links, with wrong ones added: every 13th urgent order's replacement is linked back to
+    what it replaced; and in every 17th order a ring of three, a node linked to itself, and a
+    path from the ring to a pair that is linked both ways."""
     edges = lk.linkages(w.unique_events())
     number = F.substring(F.col(ORDER), 4, 20).cast("long")
     back = edges.where((F.col("edge_type") == "REPLACE") & (number % 13 == 0)).select(
         "edge_id", "edge_type", F.col("target_id").alias("source_id"),
         F.col("source_id").alias("target_id"), ORDER, "ts_event")
-    return lk.circular_linkage(edges.unionByName(back))
+    wrong = edges.where((F.col("edge_type") == "ROOT") & (number % 17 == 0)).select(
+        "edge_id", "edge_type", ORDER, "ts_event", F.explode(F.array(*[
+            F.struct(F.lit(a).alias("source_id"), F.lit(b).alias("target_id"))
+            for a, b in WRONG_LINKS])).alias("e")).select("*", "e.*").drop("e")
+    return edges.unionByName(back).unionByName(wrong)
+
+
+@query
+def circular_linkage(w):
+    return lk.circular_linkage(_linked_back(w))
+
+
+@query
+def circular_exceptions(w):
+    return lk.circular_exceptions(_linked_back(w))
 
 
 # --- quality ------------------------------------------------------------------------------
@@ -279,6 +313,15 @@ def reconcile_late(w):
         rc.reconcile_late(w.event_log(), _late(w), w.published(), SNAPSHOT_MS), "is_corrected")
 
 
+@query
+def reconcile_table(w):
+    """The published table by month, corrected in place from the log by month."""
+    path = w.fresh_folder("published")
+    tables.write_snapshot_table(tables.with_month(w.published()), path, ("trade_month",))
+    rc.correct_table(w.spark, w.monthly_log(), _late(w), path, ("trade_month",), SNAPSHOT_MS)
+    return _flat_snapshot(tables.read_snapshot_table(w.spark, path))
+
+
 @query
 def audit_late(w):
     return rc.audit_late(ev.dedup_events(_late(w)), SNAPSHOT_MS)
@@ -406,23 +449,23 @@ def slow_lifecycles(w):
 
 @query
 def lifecycle_lookup(w):
-    return _flat_snapshot(rp.lifecycle_lookup(w.snapshots(), symbol="SYM7", status="FILLED"))
+    return _flat_snapshot(rp.lifecycle_lookup(w.snapshot_table(), symbol="SYM7", status="FILLED"))
 
 
 @query
 def lifecycle_page(w):
     return _flat_snapshot(rp.lifecycle_page(
-        w.snapshots(), 50, after=("CO-2", "1995-01-01"), status="PARTIALLY_FILLED"))
+        w.snapshot_table(), 50, after=("CO-2", "1995-01-01"), status="PARTIALLY_FILLED"))
 
 
 @query
 def latest_snapshots(w):
-    return _flat_snapshot(rp.latest_snapshots(w.snapshots(), AS_OF_MS))
+    return _flat_snapshot(rp.latest_snapshots(w.snapshot_table(), AS_OF_MS))
 
 
 @query
 def expire(w):
-    return _flat_snapshot(rp.expire(w.snapshots(), AS_OF_MS, 30))
+    return _flat_snapshot(rp.expire(w.snapshot_table(), AS_OF_MS, 30))
 
 
 @query
@@ -438,15 +481,13 @@ def enrich_customer(w):
 def write_snapshot_table(w):
     """By month, as this log spans seven years; a second write replaces the months it holds."""
     path = w.fresh_folder("snapshot_table")
-    snapshots = w.snapshots().withColumn("trade_month", F.substring("trade_date", 1, 7))
-    tables.write_snapshot_table(w.published().withColumn(
-        "trade_month", F.substring("trade_date", 1, 7)), path, ("trade_month",))
-    tables.write_snapshot_table(snapshots, path, ("trade_month",))
+    tables.write_snapshot_table(tables.with_month(w.published()), path, ("trade_month",))
+    tables.write_snapshot_table(tables.with_month(w.snapshots()), path, ("trade_month",))
     return _flat_snapshot(tables.read_snapshot_table(w.spark, path))
 
 
-def _stream(w):
-    return read_event_stream(w.spark, "parquet", w.topic_path())
+def _stream(w, **options):
+    return read_event_stream(w.spark, "parquet", w.topic_path(), **options)
 
 
 def _unique_stream(w):
@@ -464,8 +505,10 @@ NOW = pipeline.AVAILABLE_NOW
 
 @query
 def read_event_stream_files(w):
+    """One file per micro-batch."""
     root = w.fresh_folder("stream")
-    _finish(sinks.write_batches(_stream(w), "events", root, trigger=NOW))
+    _finish(sinks.write_batches(
+        _stream(w, maxFilesPerTrigger=1), "events", root, trigger=NOW))
     return _flat_events(sinks.read_batches(w.spark, f"{root}/events"))
 
 
@@ -499,9 +542,10 @@ def run_streaming_job(w):
 
 @query
 def events_by_type_stream(w):
-    """Running counts in complete mode."""
+    """Running counts in complete mode, one file per micro-batch."""
     root = w.fresh_folder("stream")
-    _finish(sinks.write_batches(rp.events_by_type(_stream(w)), "counts", root, "complete", NOW))
+    counts = rp.events_by_type(_stream(w, maxFilesPerTrigger=1))
+    _finish(sinks.write_batches(counts, "counts", root, "complete", NOW))
     return sinks.read_newest(w.spark, f"{root}/counts", ["event_type"])
 
 
@@ -521,24 +565,56 @@ def lifecycle_multi_day_stream(w):
     _finish(sinks.write_batches(
         lc.lifecycle_sessions(_unique_stream(w), "2 days", SNAPSHOT_MS), "orders", root,
         trigger=NOW))
-    return _flat_multi_day(sinks.read_batches(w.spark, f"{root}/orders"))
+    return _flat_multi_day(lc.merge_sessions(sinks.read_batches(w.spark, f"{root}/orders")))
 
 
 def _measured(w):
+    """The streamed links, followed by a progress log."""
     root = w.fresh_folder("stream")
-    queries = _finish(sinks.write_append(
-        lk.linkages(_unique_stream(w)), "linkages", root, trigger=NOW))
-    return root, progress.progress_table(w.spark, queries)
+    log = progress.ProgressLog(w.spark, f"{root}/progress")
+    w.spark.streams.addListener(log)
+    try:
+        queries = _finish(sinks.write_append(
+            lk.linkages(_unique_stream(w)), "linkages", root, trigger=NOW))
+        log.wait_for(queries)
+    finally:
+        w.spark.streams.removeListener(log)
+    return root, progress.progress_table(w.spark, f"{root}/progress")
 
 
 @query
 def progress_table(w):
-    return _measured(w)[1]
+    return _measured(w)[1].groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
 
 
 @query
 def throughput_report(w):
-    return rp.throughput_report(_measured(w)[1])
+    """Without its measured rates."""
+    return rp.throughput_report(_measured(w)[1]).select("query", "input_rows")
+
+
+@query
+def quarantine_stream(w):
+    """The job on a topic with another producer's messages in it: what it put aside."""
+    root, mixed = w.fresh_folder("stream"), w.fresh_folder("topic")
+    w.topic().unionByName(derived.foreign_messages(w.spark, w.sf_dir)).write.parquet(mixed)
+    pipeline.run_pipeline(
+        w.spark, read_event_stream(w.spark, "parquet", mixed), root, delay=DELAY, trigger=NOW,
+        snapshot_ms=SNAPSHOT_MS, messages=read_message_stream(w.spark, "parquet", mixed))
+    return w.spark.read.parquet(f"{root}/quarantine").select(F.from_json(
+        "value", "`partition` int, offset long, value string, missing_fields string").alias("m")
+        ).select("m.*")
+
+
+@query
+def event_exceptions_stream(w):
+    """Rules on single events inside the job."""
+    root = w.fresh_folder("stream")
+    pipeline.run_pipeline(w.spark, _stream(w), root, delay=DELAY, trigger=NOW,
+                          snapshot_ms=SNAPSHOT_MS, as_of_ms=AS_OF_MS)
+    return w.spark.read.parquet(f"{root}/event_exceptions").groupBy(
+        F.get_json_object("value", "$.exception_type").alias("exception_type")).agg(
+        F.countDistinct("value").alias("n"))
 
 
 @query

@@ -4,16 +4,20 @@ Each is written once per session to the shared folder and then read like any tab
 queries prune columns, push filters down and start from real sizes.
 """
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from orderloom.functions.columns import trade_date
 from orderloom.operators.events import decode_events, dedup_events, tag_late
 from orderloom.operators.lifecycle import lifecycle_snapshot
 from orderloom.operators.quality import all_exceptions
 from orderloom.session import prepare, work_folder
 from orderloom.sources import derived
 from orderloom.sources.event_log import read_messages
+from orderloom.sources.tables import read_snapshot_table, with_month, write_snapshot_table
 
 SNAPSHOT_MS = 1_000_000_000_000   # fixed snapshot and audit time, so results repeat
 AS_OF_MS = 946_684_800_000        # 2000-01-01, the "now" of checks and retention
@@ -26,6 +30,7 @@ class Workspace:
         self.spark = prepare(spark)
         self.sf_dir = sf_dir.rstrip("/")
 
+    @functools.cached_property
     def _version(self):
         """Changes when a source file does."""
         files = (self.spark.read.format("binaryFile")
@@ -34,7 +39,7 @@ class Workspace:
         return str(files.first())
 
     def _key(self, name):
-        return self.spark.conf.get("spark.app.id"), self.sf_dir, self._version(), name
+        return self.spark.conf.get("spark.app.id"), self.sf_dir, self._version, name
 
     def _table(self, name, build) -> DataFrame:
         key = self._key(name)
@@ -82,6 +87,24 @@ class Workspace:
         return self._table("published", lambda: lifecycle_snapshot(
             self.unique_events().where("NOT is_late"), SNAPSHOT_MS))
 
+    def _monthly(self, name, snapshots) -> str:
+        """Folder of a snapshot table by month, as this log spans seven years."""
+        key = self._key(name)
+        if key not in _written:
+            path = work_folder(self.spark, name)
+            write_snapshot_table(with_month(snapshots()), path, ("trade_month",))
+            _written[key] = path, None
+        return _written[key][0]
+
+    def snapshot_table(self) -> DataFrame:
+        return read_snapshot_table(
+            self.spark, self._monthly("snapshot_table", self.snapshots))
+
+    def monthly_log(self) -> DataFrame:
+        """The raw log with trade_date, by month."""
+        return read_snapshot_table(self.spark, self._monthly("monthly_log", lambda: (
+            self.event_log().withColumn("trade_date", trade_date()))))
+
     def exceptions(self) -> DataFrame:
         return self._table("exceptions", lambda: all_exceptions(
             self.unique_events(), self.snapshots(), AS_OF_MS))

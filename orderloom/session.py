@@ -1,5 +1,6 @@
 """Session settings and the shared work folder."""
 
+import re
 import tempfile
 import uuid
 
@@ -56,25 +57,48 @@ def build_session(name="orderloom", master=None, **options) -> SparkSession:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings a session needs that was built elsewhere.
+    """A session of the same application with the settings the operators need.
 
-    Trading days are UTC days: the day window is aligned to UTC, so dates must be too.
+    The caller's session stays as it is; the new one starts with its settings. Trading days are
+    UTC days: the day window is aligned to UTC, so dates must be too.
     """
-    for key in ("spark.sql.session.timeZone", HUGE_METHOD, HASH_JOIN_LIMIT,
-                MERGE_SESSIONS):
-        spark.conf.set(key, session_conf()[key])
-    return spark
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    for key in ("spark.sql.session.timeZone", HUGE_METHOD, HASH_JOIN_LIMIT, MERGE_SESSIONS):
+        session.conf.set(key, session_conf()[key])
+    return session
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder all executors share (`spark.checkpoint.dir`)."""
+def _work_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _own_root.setdefault(
-            spark.conf.get("spark.app.id", ""), tempfile.mkdtemp(prefix="orderloom-"))
-    return f"{root.rstrip('/')}/orderloom/{name}-{uuid.uuid4().hex}"
+        app = spark.conf.get("spark.app.id")
+        if app not in _own_root:  # one machine is all there is
+            _own_root[app] = tempfile.mkdtemp(prefix="orderloom-")
+        root = _own_root[app]
+    return f"{root.rstrip('/')}/orderloom/{spark.conf.get('spark.app.id')}"
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder all executors share (`spark.checkpoint.dir`)."""
+    return f"{_work_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clean_work(spark: SparkSession) -> None:
+    """Deletes what this application left in the work folder: rounds, tables, stream output.
+    Frames that still read from it are lost, so this is the last thing a job does."""
+    delete_folder(spark, _work_root(spark))
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:

@@ -31,10 +31,22 @@ def read_messages(spark: SparkSession, path: str, fmt="parquet") -> DataFrame:
     return spark.read.schema(MESSAGE_SCHEMA).format(fmt).load(path)
 
 
-def read_event_stream(spark: SparkSession, fmt="kafka", path=None, schema=EVENT_SCHEMA,
-                      **options) -> DataFrame:
-    """Decoded events of a topic, from a broker (`subscription`) or from files of messages."""
-    reader = spark.readStream.format(fmt).options(**options)
+# How much one micro-batch takes unless the caller says otherwise, so that a backlog is worked off
+# in many batches.
+BATCH_LIMITS = {"kafka": {"maxOffsetsPerTrigger": 5_000_000}}
+FILE_LIMITS = {"maxFilesPerTrigger": 1_000}
+
+
+def read_message_stream(spark: SparkSession, fmt="kafka", path=None, **options) -> DataFrame:
+    """Messages of a topic, from a broker (`subscription`) or from files of messages."""
+    reader = spark.readStream.format(fmt).options(
+        **{**BATCH_LIMITS.get(fmt, FILE_LIMITS), **options})
     if fmt != "kafka":
         reader = reader.schema(MESSAGE_SCHEMA)
-    return decode_events(reader.load(path) if path else reader.load(), schema)
+    return reader.load(path) if path else reader.load()
+
+
+def read_event_stream(spark: SparkSession, fmt="kafka", path=None, schema=EVENT_SCHEMA,
+                      **options) -> DataFrame:
+    """Decoded events of a topic; see `read_message_stream`."""
+    return decode_events(read_message_stream(spark, fmt, path, **options), schema)

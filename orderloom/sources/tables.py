@@ -1,8 +1,16 @@
 """Snapshot tables on shared storage."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.session import delete_folder
+
+
+def with_month(snapshots: DataFrame) -> DataFrame:
+    """With `trade_month`, to partition logs of many years by."""
+    return snapshots.withColumn("trade_month", F.substring("trade_date", 1, 7))
+
 
 def write_snapshot_table(snapshots: DataFrame, path: str,
                          partition_by=("trade_date", "symbol")) -> None:
@@ -19,6 +27,22 @@ def write_snapshot_table(snapshots: DataFrame, path: str,
 def read_snapshot_table(spark: SparkSession, path: str) -> DataFrame:
     """The table with its dates as text, as written; Spark would infer dates from folder names."""
     found = spark.read.parquet(path).schema
-    fields = [T.StructField(f.name, T.StringType()) if f.name == "trade_date" else f
-              for f in found.fields]
+    fields = [T.StructField(f.name, T.StringType()) if f.name in ("trade_date", "trade_month")
+              else f for f in found.fields]
     return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def drop_expired(spark: SparkSession, path: str, first_kept: str, column="trade_date") -> list:
+    """Deletes the partitions of a table before `first_kept`, and returns their values.
+
+    Only folder names are read: `column` must be the first partition column. Rows of a month
+    that is kept in part stay; `reports.expire` hides them.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in store.listStatus(folder) if s.isDirectory()]
+    old = sorted(n.split("=", 1)[1] for n in names
+                 if n.startswith(f"{column}=") and n.split("=", 1)[1] < first_kept)
+    for value in old:
+        delete_folder(spark, f"{path.rstrip('/')}/{column}={value}")
+    return old

@@ -1,12 +1,25 @@
-"""The streaming job: one event stream in, links, snapshots, exceptions and late events out."""
+"""The streaming job: one event stream in; links, snapshots, exceptions, late events and audit
+records out."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.functions.columns import DEFAULT_DELAY
-from orderloom.operators.events import dedup_stream, late_events, with_lateness
+from orderloom.operators.events import (
+    decodable,
+    dedup_stream,
+    late_events,
+    quarantine,
+    with_lateness,
+)
 from orderloom.operators.lifecycle import lifecycle_snapshot
 from orderloom.operators.linkage import linkages
-from orderloom.operators.quality import snapshot_exceptions
+from orderloom.operators.quality import (
+    event_exceptions,
+    snapshot_exceptions,
+    split_by_severity,
+)
+from orderloom.operators.reconcile import audit_late
 from orderloom.streaming.sinks import write_append, write_console, write_snapshots
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -14,13 +27,17 @@ AVAILABLE_NOW = {"availableNow": True}
 
 def start_pipeline(events: DataFrame, root: str, delay=DEFAULT_DELAY, dedup="event_time",
                    trigger=None, snapshot_ms=None, fmt="parquet", publish=None, debug=False,
-                   topics=None, **sink_options):
+                   topics=None, messages=None, as_of_ms=None, **sink_options):
     """Start the queries on a stream of decoded events; the caller awaits them.
 
     The watermark comes first, so that the state of both stateful operators is bounded.
-    Late events leave before those operators, which drop rows behind the watermark.
+    Late events leave before those operators, which drop rows behind the watermark; each has an
+    audit record. Rules on single events run beside those on snapshots, against `as_of_ms` (now,
+    if None). With the stream of raw `messages`, those that are no event go to a quarantine
+    output. `publish=sinks.to_table(path)` keeps a table of the newest snapshots.
     """
-    tagged = with_lateness(events, delay)
+    tagged = with_lateness(decodable(events), delay)
+    now = F.unix_millis(F.current_timestamp()) if as_of_ms is None else as_of_ms
     unique = dedup_stream(tagged, dedup)
     snapshots = lifecycle_snapshot(unique, snapshot_ms)
 
@@ -32,7 +49,14 @@ def start_pipeline(events: DataFrame, root: str, delay=DEFAULT_DELAY, dedup="eve
         write_snapshots(snapshots, root, snapshot_exceptions, trigger, publish=publish),
         write_append(late_events(tagged), "late_events", root, fmt, trigger,
                      **options("late_events")),
+        write_append(audit_late(late_events(tagged), snapshot_ms), "audit", root, fmt, trigger,
+                     **options("audit")),
+        write_append(split_by_severity(event_exceptions(tagged, now))[0], "event_exceptions",
+                     root, fmt, trigger, **options("event_exceptions")),
     ]
+    if messages is not None:
+        queries.append(write_append(quarantine(messages), "quarantine", root, fmt, trigger,
+                                    key="key", **options("quarantine")))
     if debug:
         queries.append(write_console(snapshots, "lifecycle_console", trigger))
     return queries

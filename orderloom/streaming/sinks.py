@@ -3,7 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pyspark.sql.utils import AnalysisException
+
 from orderloom.operators.events import encode_json
+from orderloom.session import cut_lineage
+from orderloom.sources.tables import read_snapshot_table, write_snapshot_table
 
 ORDER = "customer_order_id"
 
@@ -49,6 +53,35 @@ def snapshot_batch_writer(root: str, checks, name="lifecycle", publish=None):
     return write_batch
 
 
+def merge_newest(batch: DataFrame, path: str, partition_by=("trade_date", "symbol"),
+                 key=(ORDER, "trade_date")) -> None:
+    """Puts the rows of a batch into a partitioned table, in place of those with their key.
+
+    Only the days that the batch names are read and written, from a staged copy. A repeated
+    batch leaves the same table.
+    """
+    spark = batch.sparkSession
+    staged = cut_lineage(batch, "merge")
+    first = partition_by[0]
+    days = [r[0] for r in staged.select(first).distinct().collect()]
+    if not days:
+        return
+    try:
+        old = read_snapshot_table(spark, path).where(F.col(first).isin(days))
+    except AnalysisException:  # the first batch makes the table
+        old = staged.where("false")
+    kept = old.join(staged.select(*key), list(key), "left_anti")
+    write_snapshot_table(cut_lineage(kept.unionByName(staged), "merge"), path, partition_by)
+
+
+def to_table(path: str, partition_by=("trade_date", "symbol")):
+    """A `publish` callback that keeps a partitioned table of the newest snapshots."""
+    def publish(df: DataFrame, kind: str):
+        if kind != "exceptions":
+            merge_newest(df, path, partition_by)
+    return publish
+
+
 def write_snapshots(snapshots: DataFrame, root: str, checks, trigger=None, name="lifecycle",
                     publish=None):
     """Update mode: each batch writes the changed snapshots and the exceptions in them.
