@@ -9,7 +9,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from orderloom.operators.events import tag_late  # noqa: E402
 from orderloom.schema import EVENT_SCHEMA  # noqa: E402
-from orderloom.session import build_session, prepare  # noqa: E402
+from orderloom.session import build_session, clean_work, prepare  # noqa: E402
 
 BASE_MS = 1_768_487_400_000  # 2026-01-15 14:30 UTC
 
@@ -20,6 +20,7 @@ def spark():
                                     **{"spark.driver.memory": "8g"}))
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clean_work(session)
     session.stop()
 
 

@@ -99,11 +99,48 @@ def test_detail_states_without_fills(log):
 
 def test_large_orders_list_their_parts_as_rows(log, one):
     rows = [event("NEW")] + [fill(i, 1, exec_id=f"X{i}") for i in range(1, 8)]
-    row = one(lc.lifecycle_detail(log(rows), inline_limit=3))
-    assert (row.is_inlined, row.executions, row.execution_count) == (False, None, 7)
+    parts = lc.lifecycle_detail(log(rows), part_rows=3).orderBy("part_no").collect()
+    assert [(p.part_no, p.parts, p.execution_count) for p in parts] == [
+        (0, 3, 7), (1, 3, 7), (2, 3, 7)]
+    assert [e.exec_id for p in parts for e in p.executions] == [f"X{i}" for i in range(1, 8)]
     assert lc.order_executions(log(rows)).count() == 7
 
 
+def test_an_order_of_twenty_thousand_parts(spark, log):
+    i = F.col("id")
+    fills = spark.range(20_000).select(
+        F.concat(F.lit("e"), i).alias("event_id"), F.lit("FILL").alias("event_type"),
+        F.lit(BASE_MS).alias("ts_event"), F.lit("O1").alias("customer_order_id"),
+        F.concat(F.lit("X"), i).alias("exec_id"), F.lit(1).alias("qty"),
+        F.lit(2.0).alias("exec_price"))
+    events = log([event("NEW", qty=20_000)]).unionByName(fills, allowMissingColumns=True)
+    parts = lc.lifecycle_detail(events).collect()
+    assert [len(p.executions) for p in sorted(parts, key=lambda p: p.part_no)] == [10_000] * 2
+    assert {e.exec_id for p in parts for e in p.executions} == {f"X{n}" for n in range(20_000)}
+    steps = lc.lifecycle_replay(events).where("event_type = 'FILL'")
+    assert steps.agg(F.count_distinct("filled_qty"), F.max("filled_qty")).first() == (
+        20_000, 20_000)
+
+
+def test_fills_without_price_are_not_in_vwap(log, one):
+    row = one(lc.lifecycle_detail(log([event("NEW"), fill(1, 30),
+                                       event("FILL", 2, qty=50, exec_id="X2")])))
+    assert (row.filled_qty, row.vwap) == (80, 10.0)
+
+
+def test_a_resting_order_is_one_lifecycle(log, one):
+    rows = log([event("NEW"), fill(5 * DAY, 100), event("ROUTE", 5 * DAY + 5)])
+    sessions = lc.lifecycle_sessions(rows)
+    assert sessions.count() == 2
+    whole, merged = lc.lifecycle_multi_day(rows, 0), lc.merge_sessions(sessions)
+    row = one(merged)
+    assert (row.status, row.total_qty, row.filled_qty, row.spans_days) == (
+        "FILLED", 100, 100, True)
+    shared = [c for c in whole.columns if c != "ts_snapshot"]
+    assert set(shared) <= set(merged.columns)
+    assert [row[c] for c in shared] == [one(whole)[c] for c in shared]
+
+
 def test_replay_and_history_cross_chunks(log):
     """Events seconds and minutes apart fall into different chunks of the running totals."""
     rows = [event("NEW"), event("ROUTE", 10), fill(900, 30), fill(1_100, 30), fill(2_500, 40),
@@ -113,9 +150,10 @@ def test_replay_and_history_cross_chunks(log):
     assert [s.status for s in steps] == [
         "OPEN", "ROUTED", "PARTIALLY_FILLED", "PARTIALLY_FILLED", "FILLED",
         "PARTIALLY_FILLED", "CANCELED"]
-    history = lc.order_history(log(rows), "O1").orderBy("seq").collect()
+    history = lc.order_history(log(rows)).orderBy("seq").collect()
     assert [h.seq for h in history] == list(range(1, 8))
-    assert [h.ts_event for h in history] == sorted(h.ts_event for h in history)
+    one_order = lc.order_history(log(rows), "O1").collect()
+    assert [h.event_id for h in one_order] == [h.event_id for h in history]
 
 
 def test_filled_before_cancel(log):

@@ -64,9 +64,10 @@ def test_salting_spreads_the_hot_key(spark):
 
 def test_running_totals_over_chunks(spark):
     found = skew.running(
-        rows(spark).where("customer_order_id IS NOT NULL").withColumn("one", F.lit(1)),
-        "customer_order_id", ["ts_event", "event_id"], F.floor(F.col("ts_event") / 700),
+        rows(spark).withColumn("one", F.lit(1)), "customer_order_id", ["ts_event", "event_id"],
         {"seq": ("sum", "one"), "top": ("max", "ts_event")})
+    lost = found.where("customer_order_id IS NULL")  # a key like any other
+    assert lost.agg(F.max("seq")).first()[0] == lost.count() > 0
     hot = found.where("customer_order_id = 'HOT'")
     assert hot.where("seq <> ts_event / 2 + 1 OR top <> ts_event").isEmpty()
     assert hot.count() == N // 2
@@ -109,10 +110,36 @@ def test_operators_with_a_hot_order(spark, log):
     assert missing_parent(events, hot=pair).count() == 215
     assert same(execution_trace(events, hot=[]),
                 execution_trace(events, hot=hashes(spark, "HOT", "R1")))
-    for limit in (10, 10_000):
-        assert same(*[lifecycle_detail(events, limit, h).drop("executions")
-                      for h in ([], hot)])
-    events.unpersist()
+    parts = lifecycle_detail(events, 10).where("customer_order_id = 'HOT'")
+    assert parts.select(F.size("active_routes") + F.size("executions")).distinct().collect() == [
+        (10,)]
+    assert parts.count() == 300
+
+
+def test_one_order_in_one_second_is_spread(spark):
+    """Many events of one order with the same time: no task sorts them all."""
+    events = spark.range(200_000).select(
+        F.lit("O1").alias("customer_order_id"), F.col("id").cast("string").alias("event_id"),
+        F.lit(7).alias("ts_event"), F.lit(1).alias("one"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = skew.running(events, "customer_order_id", ["ts_event", "event_id"],
+                             {"seq": ("sum", "one")})
+        per_task = found.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in per_task) < 150_000
+    assert found.agg(F.count_distinct("seq"), F.max("seq")).first() == (200_000, 200_000)
+
+
+def test_planning_starts_no_job(spark, log):
+    from orderloom.operators.lifecycle import lifecycle_snapshot
+    from orderloom.operators.quality import all_exceptions
+    events = hot_log(spark, log)
+    spark.sparkContext.setJobGroup("planning", "")
+    all_exceptions(events, lifecycle_snapshot(events, 0), 0)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("planning") == []
+
 
 
 def test_hot_event_is_deduplicated_map_side(spark, log):

@@ -1,5 +1,6 @@
 import json
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from conftest import BASE_MS, event
@@ -13,8 +14,10 @@ from orderloom.operators.linkage import linkages
 from orderloom.operators.quality import snapshot_exceptions
 from orderloom.operators.reconcile import reconcile_late
 from orderloom.schema import MESSAGE_SCHEMA
-from orderloom.sources.event_log import (read_event_stream, read_messages, source_options,
-                                         subscription)
+from orderloom.session import cut_lineage
+from orderloom.sources.event_log import (read_event_stream, read_message_stream, read_messages,
+                                         source_options, subscription)
+from orderloom.sources.tables import drop_expired, read_snapshot_table
 from orderloom.streaming import pipeline, progress, sinks
 
 NOW = pipeline.AVAILABLE_NOW
@@ -160,36 +163,79 @@ def test_orders_across_days_close_when_quiet(spark, topic, root):
     topic.send(event("NEW", 10 * day, customer_order_id="B"))
     stream = lc.lifecycle_sessions(dedup_stream(with_lateness(topic.stream())), "2 days", 0)
     sinks.write_batches(stream, "orders", root, trigger=NOW).awaitTermination()
-    (row,) = sinks.read_batches(spark, f"{root}/orders").collect()
+    topic.send(event("FILL", 12 * day, customer_order_id="A", event_id="later", qty=1,
+                     exec_price=1.0))
+    topic.send(event("NEW", 30 * day, customer_order_id="C"))
+    assert sinks.read_batches(spark, f"{root}/orders").count() == 1
+    sinks.write_batches(stream, "orders", root, trigger=NOW).awaitTermination()
+    closed = sinks.read_batches(spark, f"{root}/orders")
+    merged = {r.customer_order_id: r for r in lc.merge_sessions(closed).collect()}
+    assert (merged["A"].filled_qty, merged["A"].total_qty, merged["A"].status) == (
+        152, 100, "FILLED")
+    (row,) = closed.where("customer_order_id = 'A' AND filled_qty > 1").collect()
     assert (row.customer_order_id, row.spans_days, row.filled_qty) == ("A", True, 151)
 
 
 def test_progress_and_state(spark, topic, root):
     topic.send(*order("A"))
-    queries = run(spark, topic, root)
-    rows = progress.progress_table(spark, queries)
-    assert {r.query for r in rows.collect()} == {"linkages", "lifecycle", "late_events"}
-    assert rows.agg(F.sum("input_rows")).first()[0] == 9
-    state = progress.read_state(spark, sinks.checkpoint_path(root, "linkages"))
-    assert state.count() == 3
-
-
-def test_progress_log_appends(spark, topic, root, tmp_path):
-    log = progress.ProgressLog()
+    log = progress.ProgressLog(spark, f"{root}/progress")
     spark.streams.addListener(log)
     try:
-        topic.send(*order("A"))
-        sinks.write_append(topic.stream(), "raw", root, trigger=NOW).awaitTermination()
-        for _ in range(50):
-            if log.rows:
-                break
-            import time
-            time.sleep(0.1)
+        assert log.wait_for(run(spark, topic, root))
     finally:
         spark.streams.removeListener(log)
-    log.append_to(spark, str(tmp_path / "progress"))
-    assert log.rows == []
-    assert spark.read.parquet(str(tmp_path / "progress")).where("query = 'raw'").count() >= 1
+    rows = progress.progress_table(spark, f"{root}/progress")
+    assert {r.query for r in rows.collect()} == {
+        "linkages", "lifecycle", "late_events", "audit", "event_exceptions"}
+    assert rows.agg(F.sum("input_rows")).first()[0] == 15
+    state = progress.read_state(spark, sinks.checkpoint_path(root, "linkages"))
+    assert state.count() == 3
+
+
+def test_progress_of_every_batch_is_kept(spark, topic, root):
+    log = progress.ProgressLog(spark, f"{root}/progress", every=40)
+    for i in range(150):  # more batches than Spark remembers
+        fields = {"name": "many", "batchId": i, "timestamp": "t", "numInputRows": 2,
+                  "durationMs": {}}
+        log.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(json=json.dumps(fields))))
+    log.onQueryTerminated(SimpleNamespace(runId="r"))
+    assert log.wait_for([SimpleNamespace(runId="r")], 1)
+    rows = progress.progress_table(spark, f"{root}/progress")
+    assert rows.agg(F.count_distinct("batch_id"), F.sum("input_rows")).first() == (150, 300)
+
+
+def test_quarantine_audit_and_row_rules(spark, topic, root):
+    topic.send(*order("A"), "oops", '{"event_id": 5}', "[]")
+    topic.send(dict(event("FILL", 50, customer_order_id="A", event_id="late"),
+                    ts_ingest=BASE_MS + 900_000))
+    run(spark, topic, root, messages=read_message_stream(spark, "parquet", topic.path),
+        as_of_ms=BASE_MS + 86_400_000)
+    aside = spark.read.parquet(f"{root}/quarantine")
+    assert aside.count() == 3
+    audit = json_rows(spark, f"{root}/audit", "action string, triggering_event_id string")
+    assert [tuple(r) for r in audit.collect()] == [("LATE_EVENT_RECEIVED", "late")]
+    found = json_rows(spark, f"{root}/event_exceptions", "exception_type string, event_id string")
+    assert [tuple(r) for r in found.collect()] == [("MISSING_REQUIRED_ID", "late")]
+
+
+def test_newest_snapshots_are_merged_into_a_table(spark, topic, root):
+    path = f"{root}/table"
+    for rows in (order("A"), order("B"), [event("CANCEL", 60, customer_order_id="B")]):
+        topic.send(*rows)
+        run(spark, topic, root, publish=sinks.to_table(path))
+    table = read_snapshot_table(spark, path)
+    assert {r.customer_order_id: r.status for r in table.collect()} == {
+        "A": "FILLED", "B": "CANCELED"}
+    before = sorted(map(str, table.collect()))
+    sinks.merge_newest(cut_lineage(table, "copy"), path)  # a repeated batch
+    assert sorted(map(str, read_snapshot_table(spark, path).collect())) == before
+
+
+def test_expired_partitions_are_deleted(spark, topic, root):
+    rows = spark.createDataFrame([("a", "2026-01-01"), ("b", "2026-02-01")], "v string, day string")
+    rows.write.partitionBy("day").parquet(f"{root}/dated")
+    assert drop_expired(spark, f"{root}/dated", "2026-01-15", "day") == ["2026-01-01"]
+    assert [r.v for r in spark.read.parquet(f"{root}/dated").collect()] == ["b"]
 
 
 def test_console_and_counts(spark, topic, root, capfd):
