@@ -60,7 +60,7 @@ def corrections(raw: DataFrame, late: DataFrame, published: DataFrame, snapshot_
     new = recompute_affected(raw, late, snapshot_ms, hot).select(
         *DAY_KEY, F.struct(*columns).alias("new"))
     affected = _dated(late).select(*DAY_KEY).distinct()
-    old = join_facts(published, affected, DAY_KEY, "left_semi", hot).select(
+    old = published.join(affected, DAY_KEY, "left_semi").select(  # a row per order and day
         *DAY_KEY, F.struct(*columns).alias("old"))
     return new.join(old, DAY_KEY, "left").where(
         F.col("old").isNull() | _differs(columns))
