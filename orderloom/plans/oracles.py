@@ -448,6 +448,7 @@ ORACLES = {
         props AS value, 'event_id,event_type,ts_event,ts_ingest,firm_id,account_id,customer_order_id,firm_order_id,symbol,qty,side'
         AS missing_fields FROM events""",
     "lifecycle_snapshot": sql("SELECT * FROM snap"),
+    "lifecycle_from_messages": sql("SELECT * FROM snap"),
     "lifecycle_as_of": sql("SELECT * FROM early_snap",
                            early=f"SELECT * FROM u WHERE ts_event <= {AS_OF_MS}",
                            early_snap=_snapshot("early")),

@@ -88,6 +88,13 @@ def lifecycle_snapshot(w):
     return _flat_snapshot(lc.lifecycle_snapshot(ev.dedup_events(w.event_log()), SNAPSHOT_MS))
 
 
+@query
+def lifecycle_from_messages(w):
+    """The whole chain from the stored JSON messages: decode, tag, deduplicate, aggregate."""
+    events = ev.decodable(w.decoded())
+    return _flat_snapshot(lc.lifecycle_snapshot(ev.dedup_events(events), SNAPSHOT_MS))
+
+
 @query
 def lifecycle_as_of(w):
     return _flat_snapshot(lc.lifecycle_as_of(w.unique_events(), AS_OF_MS, SNAPSHOT_MS))
