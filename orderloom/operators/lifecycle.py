@@ -16,7 +16,10 @@ def _latest():
 
 
 def _state_columns():
-    """Aggregates that need constant memory per order, so a hot order is combined map-side."""
+    """Aggregates that need constant memory per order, so a hot order is combined map-side.
+
+    Names and order are those of the published snapshot (fixed values).
+    """
     return [
         F.max(_latest()).alias("last_event"),
         F.min("ts_event").alias("ts_first_event"),
@@ -151,6 +154,8 @@ def lifecycle_detail(events: DataFrame, part_rows=PART_ROWS) -> DataFrame:
         F.sum(on_type("FILL", F.col("qty") * F.col("exec_price"))).alias("value"),
         F.count(F.when(is_route, 1)).alias("route_count"),
         F.count(on_type("FILL")).alias("execution_count"),
+        F.coalesce(F.sum(on_type("ALLOCATE", F.col("qty").cast("long"))), F.lit(0))
+        .alias("allocated_qty"),
         F.min("ts_event").alias("ts_first_event"),
         F.max("ts_event").alias("ts_last_event"),
         F.max("is_late").alias("is_provisional"))
@@ -168,8 +173,8 @@ def lifecycle_detail(events: DataFrame, part_rows=PART_ROWS) -> DataFrame:
         .when(F.col("turn.event_type") == "REJECT", "REJECTED")
         .otherwise("OPEN").alias("status"),
         F.col("reject.reject_reason").alias("reject_reason"),
-        "route_count", "execution_count", "ts_first_event", "ts_last_event", "is_provisional",
-        F.greatest(F.lit(1).cast("long"), F.ceil(listed / part_rows)).alias("parts"))
+        "route_count", "execution_count", "allocated_qty", "ts_first_event", "ts_last_event",
+        "is_provisional", F.greatest(F.lit(1).cast("long"), F.ceil(listed / part_rows)).alias("parts"))
 
     rows = events.where(is_route | (F.col("event_type") == "FILL")).select(
         ORDER, "event_id", "event_type", "ts_event", "route_id", "exec_id", "qty",

@@ -1,4 +1,7 @@
-"""Late events, corrections with an audit trail, and review against other records."""
+"""Late events, corrections with an audit trail, and review against other records.
+
+The names of actions and discrepancies and the reasons in audit records are fixed values.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -253,6 +256,21 @@ def comparative_review(events: DataFrame, internal_orders: DataFrame,
     return by_order.where("discrepancy IS NOT NULL").unionByName(execs)
 
 
+def review_exceptions(review: DataFrame, detected_ms=None) -> DataFrame:
+    """The differences of a comparative review as exceptions, one each."""
+    subject = F.coalesce("exec_id", ORDER)
+    empty = F.lit(None).cast("string")
+    out = review.select(
+        content_id(F.col(ORDER), empty, F.col("discrepancy"), subject).alias("exception_id"),
+        F.col("discrepancy").alias("exception_type"), F.lit("ERROR").alias("severity"), ORDER,
+        empty.alias("firm_order_id"), empty.alias("event_id"), empty.alias("symbol"),
+        F.lit(None).cast("long").alias("ts_event"),
+        F.lit("Event log and internal records differ").alias("description"),
+        F.to_json(F.struct("exec_id", "log_value", "internal_value")).alias("metadata"))
+    return out if detected_ms is None else out.withColumn(
+        "ts_detected", F.lit(detected_ms).cast("long"))
+
+
 def match_rate(events: DataFrame, internal_orders: DataFrame,
                internal_executions: DataFrame) -> DataFrame:
     """One row: orders on either side, orders without any discrepancy, and their share."""

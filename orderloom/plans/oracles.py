@@ -367,6 +367,7 @@ def _detail(table, part_rows=10_000):
       max(CASE WHEN event_type = 'REJECT' THEN reason END) AS reject_reason,
       count(CASE WHEN event_type = 'ROUTE' THEN 1 END) AS route_count,
       count(CASE WHEN event_type = 'FILL' THEN 1 END) AS execution_count,
+      coalesce(sum(CASE WHEN event_type = 'ALLOCATE' THEN qty END), 0)::BIGINT AS allocated_qty,
       min(ts_event) AS ts_first_event, max(ts_event) AS ts_last_event,
       bool_or(is_late) AS is_provisional FROM {table} GROUP BY 1) s
     LEFT JOIN (SELECT customer_order_id, part_no, {routes} AS active_routes, {execs} AS executions
@@ -577,6 +578,12 @@ ORACLES = {
         day AS trade_date FROM u
         WHERE ts_ingest > (ts_event // {DAY_MS} + 1) * {DAY_MS} + 120000"""),
     "comparative_review": sql("SELECT * FROM diff"),
+    "review_exceptions": sql(f"""SELECT substr(sha256(customer_order_id || '||' || discrepancy
+          || '|' || coalesce(exec_id, customer_order_id)), 1, 32) AS exception_id,
+        discrepancy AS exception_type, 'ERROR' AS severity, customer_order_id,
+        NULL::VARCHAR AS firm_order_id, NULL::VARCHAR AS event_id, NULL::VARCHAR AS symbol,
+        NULL::BIGINT AS ts_event, 'Event log and internal records differ' AS description,
+        {_json("'exec_id", "log_value", "internal_value")} AS metadata FROM diff"""),
     "match_rate": sql(
         """SELECT count(*) AS orders, count(*) FILTER (WHERE d.customer_order_id IS NULL)
           AS matched, round(count(*) FILTER (WHERE d.customer_order_id IS NULL) / count(*), 6)

@@ -126,8 +126,8 @@ def _flat_detail(df):
         F.round("vwap", 6).alias("vwap"), "status", "reject_reason",
         F.concat_ws(",", "active_routes").alias("active_routes"),
         F.concat_ws(",", execution).alias("executions"),
-        "route_count", "execution_count", "ts_first_event", "ts_last_event", "is_provisional",
-        "parts", "part_no")
+        "route_count", "execution_count", "allocated_qty", "ts_first_event", "ts_last_event",
+        "is_provisional", "parts", "part_no")
 
 
 @query
@@ -355,6 +355,13 @@ def comparative_review(w):
         w.unique_events(), *derived.internal_records(w.spark, w.sf_dir))
 
 
+@query
+def review_exceptions(w):
+    """The review's differences in the layout of exceptions."""
+    return rc.review_exceptions(rc.comparative_review(
+        w.unique_events(), *derived.internal_records(w.spark, w.sf_dir)))
+
+
 @query
 def match_rate(w):
     return rc.match_rate(

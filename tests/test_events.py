@@ -51,7 +51,7 @@ def test_dedup_keeps_the_earliest_arrival(log):
 
 def test_dedup_reduces_copies_before_the_shuffle(log):
     plan = dedup_events(log([event("NEW")]))._jdf.queryExecution().executedPlan().toString()
-    shuffle = plan.index("Exchange hashpartitioning(event_id")
+    shuffle = plan.index("Exchange hashpartitioning(")
     assert "Partial" in plan[shuffle:]
 
 
@@ -74,3 +74,13 @@ def test_encode_leaves_out_nulls_and_adds_key(log, one):
 def test_tag_late_needs_no_event_time_column(log):
     frame = log([event("NEW")]).drop("event_time", "is_late")
     assert "is_late" in tag_late(frame, "10 seconds").columns
+
+
+def test_reject_reason_is_decoded(spark):
+    from orderloom.schema import EVENT_SCHEMA_WITH_REJECT
+    body = '{"event_id": "E", "event_type": "REJECT", "ts_event": 5, "reject_reason": "closed"}'
+    messages = spark.createDataFrame([("k", body, 0, 0, 0)], "key string, value string, ms long, "
+                                     "partition int, offset long").withColumn(
+        "timestamp", F.timestamp_millis("ms"))
+    (row,) = decode_events(messages, EVENT_SCHEMA_WITH_REJECT).collect()
+    assert (row.event_type, row.reject_reason) == ("REJECT", "closed")
