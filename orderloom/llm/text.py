@@ -25,6 +25,14 @@ def held_out(doc_id: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == 0, F.lit(True))
 
 
+def smallest_hashes(df: DataFrame, count: int, name="hash") -> DataFrame:
+    """The rows of `df` whose hash in column `name` (a long) is among about the 2 `count` smallest
+    different ones: what a sample of `count` is taken from, without sending more from each task."""
+    share = df.select((2.0 * count / F.greatest(F.approx_count_distinct(name), F.lit(1)))
+                      .alias("share")).first()[0]
+    return df.where(F.col(name) / 2.0**64 + 0.5 <= share)
+
+
 def reachable(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver did, if it is there too."""
     root = str(pathlib.Path(__file__).parents[2])

@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm.text import parts, reachable
+from orderloom.llm.text import parts, reachable, smallest_hashes
 from orderloom.session import cut_lineage, work_folder
 
 #: Payloads shorter than this are always stored.
@@ -113,9 +113,11 @@ def train_dictionary(pages: DataFrame, records=SAMPLE_RECORDS, size=DICTIONARY_B
     """A dictionary from the records of the pages with the smallest hashes, of each at most
     `SAMPLE_BYTES`; empty if they are too few or too small to train on."""
     body = F.coalesce(F.col(payload), F.lit(""))
-    chosen = (pages.select(F.xxhash64(body).alias("hash"), F.col(key).alias("page_id"), "url",
-                           F.substring(body.cast("binary"), 1, SAMPLE_BYTES).alias("body"))
-              .orderBy("hash", "page_id", "url").limit(records).collect())
+    hashed = pages.select(F.xxhash64(body).alias("hash"), F.col(key).alias("page_id"), "url",
+                          F.substring(body.cast("binary"), 1, SAMPLE_BYTES).alias("body"))
+    chosen = (smallest_hashes(hashed, records).groupBy("hash")
+              .agg(F.min(F.struct("page_id", "url", "body")).alias("first"))
+              .select("hash", "first.*").orderBy("hash").limit(records).collect())
     samples = [build_record("response", r.page_id, r.url, bytes(r.body), len(r.body),
                             hashlib.sha1(r.body).hexdigest(), None) for r in chosen]
     try:
