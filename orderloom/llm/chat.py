@@ -62,8 +62,8 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Every call with its result, and every result without a call.
 
     `calls` has conversation, call_id, place, name, arguments, depends_on, and `results` has
-    conversation, call_id, place, content; other columns are ignored. The result adds content,
-    answers (number of results) and status: linked, unanswered, repeated_id (an earlier call has
+    conversation, call_id, place, content; other columns are ignored. The result adds row (a
+    number of its own for each row), content, answers (number of results) and status: linked, unanswered, repeated_id (an earlier call has
     the identifier, and gets the result), no_id (identifier or conversation is null), or
     orphan_result. Of several results the one with the smallest place counts, and of equal ones
     the smallest text. A null place comes last.
@@ -94,7 +94,8 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
         *ID, place, "content", F.lit(1).cast("long").alias("answers"),
         F.lit("orphan_result").alias("status"))
     return cut_lineage(
-        of_calls.unionByName(orphans.unionByName(unnamed), allowMissingColumns=True), "chat")
+        of_calls.unionByName(orphans.unionByName(unnamed), allowMissingColumns=True)
+        .drop("row").withColumn("row", F.monotonically_increasing_id()), "chat")
 
 
 def order(linked: DataFrame) -> DataFrame:
@@ -266,7 +267,10 @@ def format_calls(calls: DataFrame, results: DataFrame, tools: dict) -> DataFrame
     See `link` for null identifiers, repeated rows and ties, `order` for cycles. Empty tables
     give no rows. Rows without conversation are numbered together.
     """
-    rows = number(order(link(calls, results))).select(
+    linked = link(calls, results)
+    # order and numbers are found without the texts, which move once more to meet them
+    numbered = number(order(linked.select("row", *ID, "place", "status", "depends_on")))
+    rows = linked.join(numbered.select("row", "position", "unknown_needs", "cyclic"), "row").select(
         "conversation", "position", "call_id", "status", F.coalesce("answers", F.lit(0))
         .alias("answers"), "unknown_needs", "cyclic", "name", "content", "arguments")
     reachable(rows.sparkSession)
