@@ -466,6 +466,11 @@ def lifecycle_lookup(w):
     return _flat_snapshot(rp.lifecycle_lookup(w.snapshot_table(), symbol="SYM7", status="FILLED"))
 
 
+@query
+def lifecycle_lookup_day(w):
+    return _flat_snapshot(rp.lifecycle_lookup(w.snapshot_table(), trade_date="1995-06-01"))
+
+
 @query
 def lifecycle_page(w):
     return _flat_snapshot(rp.lifecycle_page(

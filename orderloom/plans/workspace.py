@@ -7,7 +7,6 @@ queries prune columns, push filters down and start from real sizes.
 import functools
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from orderloom.functions.columns import trade_date
@@ -33,10 +32,13 @@ class Workspace:
     @functools.cached_property
     def _version(self):
         """Changes when a source file does."""
-        files = (self.spark.read.format("binaryFile")
-                 .load([f"{self.sf_dir}/{t}.parquet" for t in ("orders", "lineitem")])
-                 .agg(F.count("*"), F.max("modificationTime"), F.sum("length")))
-        return str(files.first())
+        found = []
+        for name in ("orders", "lineitem"):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{name}.parquet")
+            store = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            found += [store.getFileStatus(path).getModificationTime(),
+                      store.getContentSummary(path).getLength()]
+        return tuple(found)
 
     def _key(self, name):
         return self.spark.conf.get("spark.app.id"), self.sf_dir, self._version, name
@@ -87,23 +89,23 @@ class Workspace:
         return self._table("published", lambda: lifecycle_snapshot(
             self.unique_events().where("NOT is_late"), SNAPSHOT_MS))
 
-    def _monthly(self, name, snapshots) -> str:
-        """Folder of a snapshot table by month, as this log spans seven years."""
+    def _monthly(self, name, rows) -> DataFrame:
+        """A table by month, as this log spans seven years."""
         key = self._key(name)
         if key not in _written:
-            path = work_folder(self.spark, name)
-            write_snapshot_table(with_month(snapshots()), path, ("trade_month",))
-            _written[key] = path, None
-        return _written[key][0]
+            path, dated = work_folder(self.spark, name), with_month(rows())
+            write_snapshot_table(dated, path, ("trade_month",))
+            _written[key] = path, dated.schema
+        path, schema = _written[key]
+        return read_snapshot_table(self.spark, path, schema)
 
     def snapshot_table(self) -> DataFrame:
-        return read_snapshot_table(
-            self.spark, self._monthly("snapshot_table", self.snapshots))
+        return self._monthly("snapshot_table", self.snapshots)
 
     def monthly_log(self) -> DataFrame:
         """The raw log with trade_date, by month."""
-        return read_snapshot_table(self.spark, self._monthly("monthly_log", lambda: (
-            self.event_log().withColumn("trade_date", trade_date()))))
+        return self._monthly("monthly_log", lambda: self.event_log().withColumn(
+            "trade_date", trade_date()))
 
     def exceptions(self) -> DataFrame:
         return self._table("exceptions", lambda: all_exceptions(

@@ -63,8 +63,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     UTC days: the day window is aligned to UTC, so dates must be too.
     """
     session = spark.newSession()
+    known = session.conf.getAll
     for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key):
+        if known.get(key) != value and spark.conf.isModifiable(key):
             session.conf.set(key, value)
     for key in ("spark.sql.session.timeZone", HUGE_METHOD, HASH_JOIN_LIMIT, MERGE_SESSIONS):
         session.conf.set(key, session_conf()[key])

@@ -24,8 +24,11 @@ def write_snapshot_table(snapshots: DataFrame, path: str,
      .partitionBy(*partition_by).parquet(path))
 
 
-def read_snapshot_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table with its dates as text, as written; Spark would infer dates from folder names."""
+def read_snapshot_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The table with its dates as text, as written; Spark would infer dates from folder names.
+    With its `schema` no file is opened to find it out."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     found = spark.read.parquet(path).schema
     fields = [T.StructField(f.name, T.StringType()) if f.name in ("trade_date", "trade_month")
               else f for f in found.fields]

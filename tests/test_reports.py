@@ -68,3 +68,16 @@ def test_table_replaces_only_written_partitions(spark, log, tmp_path):
     plan = rp.lifecycle_lookup(table, symbol="XYZ", trade_date="2026-01-16")
     assert "PartitionFilters: [isnotnull(symbol" in (
         plan._jdf.queryExecution().executedPlan().toString())
+
+
+def test_lookups_prune_a_table_by_month(spark, log, tmp_path):
+    from orderloom.sources import tables
+    path = str(tmp_path / "table")
+    snapshots = lifecycle_snapshot(log([event("NEW")]), 0)
+    tables.write_snapshot_table(tables.with_month(snapshots), path, ("trade_month",))
+    table = tables.read_snapshot_table(spark, path)
+    for found in (rp.lifecycle_lookup(table, trade_date="2026-01-15"),
+                  rp.latest_snapshots(table, BASE_MS), rp.expire(table, BASE_MS, 30)):
+        assert found.count() == 1
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(trade_month" in plan
