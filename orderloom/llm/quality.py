@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.text import held_out, map_texts, parts, reachable
+from orderloom.llm.text import held_out, map_texts, parts, reachable, smallest_hashes
 
 #: Words share this many context vectors, by hash.
 BUCKETS = 1 << 14
@@ -189,7 +189,8 @@ def fit(df: DataFrame, labels: DataFrame, vectors: np.ndarray, texts=SAMPLE_TEXT
     same label. A document with several labels has the largest; null labels don't count."""
     known = (labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key, 5))
              .groupBy(key).agg(F.max(label).alias("answer")))
-    chosen = known.orderBy(F.xxhash64(key), key).limit(texts)
+    hashed = known.withColumn("hash", F.xxhash64(key))
+    chosen = smallest_hashes(hashed, texts).orderBy("hash", key).limit(texts).drop("hash")
     rows = df.select(key, F.coalesce(text, F.lit("")).alias("text")).join(
         F.broadcast(chosen), key)
     found = map_texts(rows, lambda bodies: [pooled(vectors, bodies).tolist()],
