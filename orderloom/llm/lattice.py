@@ -13,6 +13,9 @@ _CELLS = 1 << 21  # word bytes times piece lengths that are handled at a time
 _SLOT_BITS = 20
 _WRAP = (1 << 64) - 1
 
+#: A longer word is read in stretches of so many bytes.
+LONG = 1 << 16
+
 BEGIN = b" "  # stands before a word, as words hold no white space
 
 
@@ -81,10 +84,12 @@ class Lattice:
             found.append(self._find(keys.ravel()).reshape(keys.shape))
         return found
 
-    def _forward(self, places, count, size):
+    def _forward(self, places, count, size, start=None):
+        """Log probability of all ways to each place; `start` holds those to the first ones."""
         ways = np.empty((count, size + 1))
-        ways[:, 0] = 0
-        for j in range(1, size + 1):
+        start = np.zeros((count, 1)) if start is None else start
+        ways[:, :start.shape[1]] = start
+        for j in range(start.shape[1], size + 1):
             terms = np.stack([ways[:, j - length] + self.log_p[places[length - 1][:, j - length]]
                               for length in range(1, min(len(places), j) + 1)])
             ways[:, j] = _log_sum(terms)
@@ -117,13 +122,35 @@ class Lattice:
         """Natural logarithm of each word's probability, summed over all segmentations."""
         out = np.empty(len(words))
         for part, codes in self._groups(words):
+            if codes.shape[1] > LONG:
+                out[part] = self._stretches(codes)
+                continue
             places = self._places(codes)
             out[part] = self._forward(places, *codes.shape)[:, -1]
         return out
 
+    def _stretches(self, codes) -> np.ndarray:
+        """The same for long words: a stretch needs the ways to as many places before it as the
+        longest piece has bytes."""
+        done, ways = 0, np.zeros((len(codes), 1))  # ways to the last places up to `done`
+        while done < codes.shape[1]:
+            high = min(done + LONG, codes.shape[1])
+            part = codes[:, done + 1 - ways.shape[1]:high]
+            ways = self._forward(self._places(part), *part.shape, start=ways)[:, -self.longest:]
+            done = high
+        return ways[:, -1]
+
     def expected_counts(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """How often each piece is expected in the words, repeated `counts` times."""
+        """How often each piece is expected in the words, repeated `counts` times. Long words are
+        taken stretch by stretch."""
         out = np.zeros(len(self.log_p))
+        long = [i for i, w in enumerate(words) if len(w) >= LONG]
+        if long:
+            short = np.array([len(w) < LONG for w in words])
+            cut = [(words[i][j:j + LONG - 1], counts[i]) for i in long
+                   for j in range(0, len(words[i]), LONG - 1)]
+            counts = np.append(counts[short], [c for _, c in cut])
+            words = [w for w in words if len(w) < LONG] + [w for w, _ in cut]
         for part, codes in self._groups(words):
             count, size = codes.shape
             places = self._places(codes)

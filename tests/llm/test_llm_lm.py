@@ -51,6 +51,18 @@ def test_expected_counts_by_enumeration(vocabulary):
     assert all(math.isclose(found[pieces.index(p)], v) for p, v in expected.items())
 
 
+def test_stretches_of_long_words(vocabulary, monkeypatch):
+    model = lattice.Lattice(*vocabulary)
+    words = [(w * 40).encode() for w in ("thenation", "été", "x")]
+    whole = model.log_probabilities(words)
+    for size in (1, 7, 30, 64):
+        monkeypatch.setattr(lattice, "LONG", size)
+        assert np.allclose(model.log_probabilities(words), whole)
+    counted = model.expected_counts(words, np.ones(3))
+    lengths = np.array([len(p) for p in vocabulary[0]])
+    assert counted @ lengths >= sum(map(len, words))
+
+
 def test_long_word_is_finite(vocabulary):
     assert np.isfinite(lattice.Lattice(*vocabulary).log_probabilities([b"q" * 20_000])).all()
 
