@@ -174,7 +174,8 @@ def lifecycle_detail(events: DataFrame, part_rows=PART_ROWS) -> DataFrame:
         .otherwise("OPEN").alias("status"),
         F.col("reject.reject_reason").alias("reject_reason"),
         "route_count", "execution_count", "allocated_qty", "ts_first_event", "ts_last_event",
-        "is_provisional", F.greatest(F.lit(1).cast("long"), F.ceil(listed / part_rows)).alias("parts"))
+        "is_provisional",
+        F.greatest(F.lit(1).cast("long"), F.ceil(listed / part_rows)).alias("parts"))
 
     rows = events.where(is_route | (F.col("event_type") == "FILL")).select(
         ORDER, "event_id", "event_type", "ts_event", "route_id", "exec_id", "qty",

@@ -13,7 +13,7 @@ from orderloom.operators import quality as dq
 from orderloom.operators import reconcile as rc
 from orderloom.operators import reports as rp
 from orderloom.plans.workspace import AS_OF_MS, SNAPSHOT_MS, Workspace
-from orderloom.schema import ENVELOPE_FIELDS, EVENT_FIELDS
+from orderloom.schema import EVENT_FIELDS
 from orderloom.sources import derived, tables
 from orderloom.sources.event_log import read_event_stream, read_message_stream
 from orderloom.streaming import pipeline, progress, sinks
