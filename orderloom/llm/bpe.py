@@ -27,7 +27,7 @@ PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: A chunk ends where this many low bits of the rolling hash are zero: 2 KiB on average.
 CUT_BITS = 11
 #: Bytes of chunks and their tokens that a task keeps before it starts anew.
-KEPT_BYTES = 64 << 20
+KEPT_BYTES = 16 << 20
 
 
 class Codec:

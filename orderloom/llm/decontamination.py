@@ -213,22 +213,31 @@ def find_hits(df: DataFrame, items: DataFrame, window=WINDOW, block_words=BLOCK_
     An empty table of items hits nothing. Null texts have no words. Rows are independent, and
     all columns of `df` stay. Only one block of items at a time is in the driver and the tasks.
     """
-    spark = df.sparkSession
-    reachable(spark)
+    return _passes(df, items, window, block_words, text, item_key, item_text)
+
+
+def _passes(df, items, window=WINDOW, block_words=BLOCK_WORDS, text="text", item_key="item_id",
+            item_text="text", finish=None, schema=None):
+    """`df` with its hits; or what `finish` makes of each batch in the last pass, in `schema`."""
+    reachable(df.sparkSession)
     found = df.select("*", *(F.array().cast(f"array<{kind}>").alias(name) for name, kind in (
         ("hit_starts", "int"), ("hit_ends", "int"), ("hit_items", "string"))),
         F.lit(0).cast("long").alias("hit_of"))
     blocks = itertools.chain(_blocks(items, block_words, item_key, item_text), [None])
     block = next(blocks) or ()
     while block is not None:
-        found = _pass(found, block, window, df.columns.index(text), len(df.columns))
-        block = next(blocks, None)
-        if block:
+        after = next(blocks, None)
+        last = after is None
+        run = _hits_of(block, window, df.columns.index(text), len(df.columns),
+                       finish if last else None)
+        found = found.mapInArrow(run, schema if last and finish else found.schema)
+        if not last:
             found = cut_lineage(found, "decontamination")
+        block = after
     return found
 
 
-def _pass(found, block, window, text_at, first_at):
+def _hits_of(block, window, text_at, first_at, finish):
     def run(batches):
         automaton = _automaton(block, window)
         for batch in batches:
@@ -243,12 +252,15 @@ def _pass(found, block, window, text_at, first_at):
                         spans = united([*zip(earlier[0], earlier[1], strict=True), *spans])
                     rows.append(([a for a, _ in spans], [b for _, b in spans],
                                  sorted({*earlier[2], *names}), len(words)))
+                if finish:
+                    yield finish(part.select(range(first_at)), rows)
+                    continue
                 made = [pa.array([r[i] for r in rows], type=columns[first_at + i].type)
                         for i in range(4)]
                 yield pa.RecordBatch.from_arrays(
                     [*columns[:first_at], *made], schema=part.schema)
 
-    return found.mapInArrow(run, found.schema)
+    return run
 
 
 def contamination(df: DataFrame, items: DataFrame, keep=("doc_id",), text="text",
@@ -268,34 +280,25 @@ def contamination(df: DataFrame, items: DataFrame, keep=("doc_id",), text="text"
 def clean(df: DataFrame, items: DataFrame, text="text", count="n_chars", **options) -> DataFrame:
     """`df` without contaminated rows; in the others the hit spans are cut out of the text, and
     `count`, if there is such a column, is its new number of characters."""
-    names = df.columns
-    hits = find_hits(df, items, text=text, **options)
-    text_at = names.index(text)
-    count_at = names.index(count) if count in names else None
-
-    def run(batches):
-        for batch in batches:
-            for part in parts(batch, text_at):
-                keep, texts, counts = [], part.column(text_at).to_pylist(), None
-                if count_at is not None:
-                    counts = part.column(count_at).to_pylist()
-                starts = part.column(len(names)).to_pylist()
-                ends = part.column(len(names) + 1).to_pylist()
-                sizes = part.column(len(names) + 3).to_pylist()
-                for i, body in enumerate(texts):
-                    spans = list(zip(starts[i], ends[i], strict=True))
-                    n_hit = sum(b - a for a, b in spans)
-                    keep.append(not spans or not contaminated(n_hit, sizes[i]))
-                    if spans and keep[-1]:
-                        texts[i] = without(body, spans)
-                        if counts:
-                            counts[i] = len(texts[i])
-                columns = part.columns[:len(names)]
-                columns[text_at] = pa.array(texts, type=columns[text_at].type)
+    text_at = df.columns.index(text)
+    count_at = df.columns.index(count) if count in df.columns else None
+
+    def cut(part, rows):
+        texts, keep, counts = part.column(text_at).to_pylist(), [], None
+        if count_at is not None:
+            counts = part.column(count_at).to_pylist()
+        for i, (starts, ends, _, n_words) in enumerate(rows):
+            n_hit = sum(ends) - sum(starts)
+            keep.append(not contaminated(n_hit, n_words))
+            if n_hit and keep[-1]:
+                texts[i] = without(texts[i], zip(starts, ends, strict=True))
                 if counts:
-                    columns[count_at] = pa.array(counts, type=columns[count_at].type)
-                schema = pa.schema(list(part.schema)[:len(names)])
-                yield pa.RecordBatch.from_arrays(columns, schema=schema).filter(
-                    pa.array(keep, type=pa.bool_()))
-
-    return hits.mapInArrow(run, df.schema)
+                    counts[i] = len(texts[i])
+        columns = part.columns
+        columns[text_at] = pa.array(texts, type=columns[text_at].type)
+        if counts:
+            columns[count_at] = pa.array(counts, type=columns[count_at].type)
+        return pa.RecordBatch.from_arrays(columns, schema=part.schema).filter(
+            pa.array(keep, type=pa.bool_()))
+
+    return _passes(df, items, text=text, finish=cut, schema=df.schema, **options)

@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Bytes of text that one call of a text function gets; a longer text is a call of its own.
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,19 +55,20 @@ def parts(batch: pa.RecordBatch, column: str, limit: int = PART_BYTES):
 def map_texts(df: DataFrame, function, added: str, keep=("doc_id",), text="text") -> DataFrame:
     """One row per row of `df`: the columns `keep`, and the columns `added` (DDL), which
     `function` returns as a list of arrays for a list of texts (None for null)."""
-    schema = StructType([df.schema[c] for c in keep] + StructType.fromDDL(added).fields)
-    arrow = to_arrow_schema(schema)
-    kept = list(keep)
+    more = StructType.fromDDL(added)
+    fields, kept = list(to_arrow_schema(more)), list(keep)
 
     def run(batches):
         for batch in batches:
             for part in parts(batch, text):
                 made = function(part.column(text).to_pylist())
                 columns = [part.column(c) for c in kept] + [
-                    pa.array(values, type=arrow.field(len(kept) + i).type)
-                    for i, values in enumerate(made)]
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                    pa.array(values, type=field.type)
+                    for values, field in zip(made, fields, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(
+                    [part.schema.field(c) for c in kept] + fields))
 
+    schema = StructType([df.schema[c] for c in keep] + more.fields)
     reachable(df.sparkSession)
     return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
