@@ -63,10 +63,10 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
 
     `calls` has conversation, call_id, place, name, arguments, depends_on, and `results` has
     conversation, call_id, place, content; other columns are ignored. The result adds row (a
-    number of its own for each row), content, answers (number of results) and status: linked, unanswered, repeated_id (an earlier call has
-    the identifier, and gets the result), no_id (identifier or conversation is null), or
-    orphan_result. Of several results the one with the smallest place counts, and of equal ones
-    the smallest text. A null place comes last.
+    number of its own for each row), content, answers (number of results) and status: linked,
+    unanswered, repeated_id (an earlier call has the identifier, and gets the result), no_id
+    (identifier or conversation is null), or orphan_result. Of several results the one with the
+    smallest place counts, and of equal ones the smallest text. A null place comes last.
     """
     place = F.coalesce("place", F.lit(_LAST)).alias("place")
     calls = cut_lineage(

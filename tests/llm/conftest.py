@@ -9,7 +9,8 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 def docs(spark):
     """Builds a documents table from (doc_id, text) or (doc_id, text, lang)."""
     def build(rows):
-        full = [(i, t, lang[0] if lang else "en", "s", None if t is None else len(t)) for i, t, *lang in rows]
+        full = [(i, t, lang[0] if lang else "en", "s", None if t is None else len(t))
+                for i, t, *lang in rows]
         return spark.createDataFrame(full, SCHEMA)
     return build
 

@@ -91,3 +91,10 @@ def test_one_of_each_component_stays(docs):
     kept = simhash.keep_one(rows).collect()
     assert sorted((r.doc_id or 0, r.text) for r in kept) == [
         (0, "x y z"), (3, "a b c d"), (4, "p q r")]
+
+
+def test_other_columns_keep_their_types(spark):
+    rows = spark.sql("SELECT 1L AS doc_id, 'a b' AS text, TIMESTAMP '2026-01-01 00:00:00' AS at, "
+                     "DATE '2026-01-02' AS day, 1.50BD AS price, array(1, 2) AS list")
+    (kept,) = simhash.keep_one(rows).collect()
+    assert kept == rows.first()
