@@ -17,8 +17,9 @@ from orderloom.llm.text import filter_texts, map_texts
 
 #: Repeats of fewer words are how language works.
 MIN_REPEAT_WORDS = 8
-#: A text goes if such repeats cover more than this share of its words ...
-MAX_COVERED = 0.5
+#: A text goes if such repeats cover more than this share of its words (clearly below the half
+#: of `base_failed`, which no text with more than a half in such repeats gets past) ...
+MAX_COVERED = 0.3
 #: ... or if one repeat is longer than this.
 MAX_REPEAT_WORDS = 100
 

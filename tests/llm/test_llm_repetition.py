@@ -1,6 +1,9 @@
 from collections import Counter
 
-from orderloom.llm import repetition
+import duckdb
+from oracle import differences
+
+from orderloom.llm import queries, repetition
 
 
 def _windows(words, size):
@@ -54,6 +57,31 @@ def test_measures_and_verdicts(docs):
     assert (rows[6].n_symbols, rows[6].n_dup_lines, rows[6].n_words) == (3, 1, 10)
 
 
+def _numbered(letter, numbers):
+    return " ".join(f"{letter}{i}" for i in numbers)
+
+
+def test_covered_share_decides_alone(spark, docs, tmp_path):
+    passages = [_numbered(letter, range(90)) for letter in "pqrst"]
+    first, turned = passages[0], _numbered("p", [*range(45, 90), *range(45)])
+    table = docs([
+        (1, " ".join(f"s{n} {passages[n % 5]}" for n in range(10)) + " "
+         + _numbered("f", range(1001))),
+        (2, f"{first} {_numbered('f', range(420))} {turned}"),
+        (3, f"{first} {_numbered('f', range(419))} {turned}")])
+    rows = {r.doc_id: r for r in repetition.repetition(table).collect()}
+    assert [(rows[i].n_words, rows[i].n_covered_words, rows[i].longest_repeat)
+            for i in (1, 2, 3)] == [(1911, 900, 90), (600, 180, 45), (599, 180, 45)]
+    assert not any(r.base_failed for r in rows.values())
+    assert [rows[i].kept for i in (1, 2, 3)] == [False, True, False]
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+    name = "op4_suffix_repetition"
+    found = queries.QUERIES[name](spark, str(tmp_path))
+    assert differences(con, queries.ORACLES[name], found) is None
+
+
 def test_repeats_as_rows(docs):
     found = repetition.maximal_repeats(docs([(1, "x a b c y a b c z"), (2, None)]), least=2)
     assert [tuple(r) for r in found.collect()] == [(1, 3, 2, 1, "a b c")]
