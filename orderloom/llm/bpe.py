@@ -14,6 +14,7 @@ with that of the whole.
 import functools
 import hashlib
 import json
+import re
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,6 +29,12 @@ PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 CUT_BITS = 11
 #: Bytes of chunks and their tokens that a task keeps before it starts anew.
 KEPT_BYTES = 16 << 20
+#: White-space runs of more characters do not go through the pattern, on which the engine's stack
+#: for backtracking overflows at about a million.
+LONG_RUN = 100_000
+
+#: What the pattern calls white space; Python's own \s holds U+001C to U+001F too.
+_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 class Codec:
@@ -44,6 +51,9 @@ class Codec:
                  for token, i in stored["model"]["vocab"].items() if token not in special}
         self._bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks,
                                       special_tokens=special)
+        self._special = tuple(special)
+        self._one_piece = functools.cache(lambda: tiktoken.Encoding(
+            "piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}))
         self.bytes_of = [b""] * (max([*ranks.values(), *special.values()]) + 1)
         for token, i in ranks.items():
             self.bytes_of[i] = token
@@ -53,8 +63,26 @@ class Codec:
         self._chunks, self._chunk_bytes = {}, 0
 
     def plain(self, data: bytes) -> np.ndarray:
-        """Ids of a text that is encoded in one go."""
-        return self._bpe.encode_to_numpy(data.decode(), allowed_special="all")
+        """Ids of a text that is encoded in one go.
+
+        The pattern makes one piece of a white-space run up to its last character, and of the
+        whole run where the text ends or a special token follows: long runs are taken out so.
+        """
+        text, out, done = data.decode(), [], 0
+        for run in _WHITE.finditer(text) if len(data) > LONG_RUN else ():
+            low, high = run.span()
+            if high - low > LONG_RUN:
+                high -= high < len(text) and not text.startswith(self._special, high)
+                out.append(self._split(text[done:low]))
+                out.append(np.array(self._one_piece().encode_ordinary(text[low:high]),
+                                    dtype=np.uint32))
+                done = high
+        if not out:
+            return self._split(text)
+        return np.concatenate([*out, self._split(text[done:])])
+
+    def _split(self, text: str) -> np.ndarray:
+        return self._bpe.encode_to_numpy(text, allowed_special="all")
 
     def chunk(self, data: bytes) -> np.ndarray:
         """Ids of a chunk, encoded at its first appearance."""

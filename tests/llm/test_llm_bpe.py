@@ -29,6 +29,29 @@ def test_equals_the_library(library, rng, monkeypatch):
         assert bpe.codec(PATH).decode(ids) == library.decode(expected, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, " \n" * 1_000_000])
+def test_very_long_white_space(library, run):
+    for text in (f"a{run}b", f"a{run}<|endoftext|>{run}"):
+        ids = bpe.codec(PATH).encode(text).tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        assert bpe.codec(PATH).decode(ids) == text
+
+
+WHITE = ["\t", "\v", "\f", "\r", "\xa0", "\u1680", "\u2000", "\u200a", "\u2028", "\u2029",
+         "\u202f", "\u205f", "\u3000", "\x1f", "\u180e", "\u200b", "\ufeff"]
+
+
+def test_long_runs_split_like_the_library(library, rng, monkeypatch):
+    ends = bpe.chunk_ends
+    for _ in range(1500):
+        pieces = rng.choice([PIECES, PIECES + WHITE, [" ", "\n", "a", "<|endoftext|>"]])
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 120)))
+        monkeypatch.setattr(bpe, "chunk_ends", functools.partial(ends, bits=rng.randint(1, 4)))
+        monkeypatch.setattr(bpe, "LONG_RUN", rng.randint(1, 4))
+        ids = bpe.codec(PATH).encode(text).tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
 def test_chunks_are_cut_by_content():
     tail = bytes(range(97, 123)) * 400
     ends = [len(d) - e for d in (tail, b"something else " + tail) for e in bpe.chunk_ends(d)]
