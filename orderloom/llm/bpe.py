@@ -1,9 +1,10 @@
 """Byte-level BPE by content-defined chunks.
 
 A rolling hash cuts a text where its content says so, so passages that documents share fall into
-the same chunks. Each distinct chunk is encoded once per task and kept. Where two chunks meet, the
-tokens near the cut may differ from those of the whole text: there the stretch between the
-nearest positions at which any encoding must break is encoded again.
+the same chunks. A Python worker keeps the encoded chunks that it used last, up to a number of
+bytes, and encodes a chunk again that is no longer among them. Where two chunks meet, the tokens
+near the cut may differ from those of the whole text: there the stretch between the nearest
+positions at which any encoding must break is encoded again.
 
 Such a position lies before a space that follows a printing ASCII character or one of U+00C0 to
 U+00FF. The pre-tokenizer's pattern never puts a space behind such a character into one piece, and
@@ -11,6 +12,7 @@ no special token holds a space, so whatever stands on the two sides, encodings o
 with that of the whole.
 """
 
+import collections
 import functools
 import hashlib
 import json
@@ -27,7 +29,7 @@ PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 
 #: A chunk ends where this many low bits of the rolling hash are zero: 2 KiB on average.
 CUT_BITS = 11
-#: Bytes of chunks and their tokens that a task keeps before it starts anew.
+#: Bytes of chunks and their tokens that a worker keeps; those not used for longest go first.
 KEPT_BYTES = 16 << 20
 #: White-space runs of more characters do not go through the pattern, on which the engine's stack
 #: for backtracking overflows at about a million.
@@ -60,7 +62,7 @@ class Codec:
         for token, i in special.items():
             self.bytes_of[i] = token.encode()
         self._lengths = [len(b) for b in self.bytes_of]
-        self._chunks, self._chunk_bytes = {}, 0
+        self._chunks, self._chunk_bytes = collections.OrderedDict(), 0
 
     def plain(self, data: bytes) -> np.ndarray:
         """Ids of a text that is encoded in one go.
@@ -85,15 +87,15 @@ class Codec:
         return self._bpe.encode_to_numpy(text, allowed_special="all")
 
     def chunk(self, data: bytes) -> np.ndarray:
-        """Ids of a chunk, encoded at its first appearance."""
+        """Ids of a chunk, from the store if it is there."""
         ids = self._chunks.get(data)
-        if ids is None:
-            ids = self.plain(data)
-            if self._chunk_bytes > KEPT_BYTES:
-                self._chunks.clear()
-                self._chunk_bytes = 0
-            self._chunks[data] = ids
-            self._chunk_bytes += len(data) + ids.nbytes + 200
+        if ids is not None:
+            self._chunks.move_to_end(data)
+            return ids
+        ids = self._chunks[data] = self.plain(data)
+        self._chunk_bytes += _kept_bytes(data, ids)
+        while self._chunk_bytes > KEPT_BYTES and len(self._chunks) > 1:
+            self._chunk_bytes -= _kept_bytes(*self._chunks.popitem(last=False))
         return ids
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -135,6 +137,10 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _kept_bytes(data: bytes, ids: np.ndarray) -> int:
+    return len(data) + ids.nbytes + 200
+
+
 def _printable():
     """The character that stands for each byte in such a vocabulary: itself if printable,
     else the next one from U+0100 on."""

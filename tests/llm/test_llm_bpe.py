@@ -69,6 +69,20 @@ def test_shared_chunks_are_encoded_once(monkeypatch):
     assert sum(calls) < len(text) / 2
 
 
+def test_chunks_used_last_are_kept(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 3000)
+    codec, calls = bpe.Codec(PATH), []
+    plain = codec.plain
+    monkeypatch.setattr(codec, "plain", lambda data: calls.append(data) or plain(data))
+    for n in range(100):
+        codec.chunk(b"shared by all")
+        codec.chunk(b"of one text %d" % n)
+    assert calls.count(b"shared by all") == 1
+    assert codec._chunk_bytes <= 3000 and len(codec._chunks) > 10
+    codec.chunk(b"long " * 3000)
+    assert len(codec._chunks) == 1
+
+
 def test_round_trip_as_rows(docs):
     rows = docs([(1, "Hello  there\n"), (2, None), (3, ""), (4, "<|endoftext|> été")])
     ids = bpe.encode_documents(rows, PATH)
