@@ -9,6 +9,7 @@ from orderloom.llm import (
     decontamination,
     language,
     lm,
+    merkle,
     quality,
     repetition,
     sharding,
@@ -200,3 +201,62 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
     coalesce(n_hit, 0) > 0 AND {decontamination.ONE_IN} * coalesce(n_hit, 0) >= len(ws)
         AS contaminated
 FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+@query
+def op12_time_forward_merkle(spark, sf_dir):
+    leaves = merkle.document_leaves(table(spark, sf_dir, "documents"))
+    return merkle.manifest(leaves).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest("proof").alias("proof_sha256"),
+        "folded_root", "verified")
+
+
+def _field(column):
+    return f"coalesce(strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+
+def _leaf(n_chars):
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    return f"sha256({' || '.join(map(_field, fields))})"
+
+
+def _rising(source):
+    """SQL for the levels above the nodes `source` (tree, place, n, value)."""
+    return f"""SELECT tree, 0 AS level, place, n, value FROM {source} UNION ALL
+        SELECT tree, level + 1, place // 2, (any_value(n) + 1) // 2,
+            sha256(string_agg(value, '' ORDER BY place)) FROM {{up}} WHERE n > 1
+        GROUP BY tree, level, place // 2"""
+
+
+# The CRC-32 of a short text, bit by bit.
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(name) + 1),
+    lambda i: ascii(name[i])::BIGINT)), lambda crc, byte: list_reduce(list_prepend(
+        xor(crc, byte), range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)))"""
+ORACLES["op12_time_forward_merkle"] = f"""
+WITH RECURSIVE d AS (SELECT *, xor({_CRC}, 4294967295) % 7 = 0 AS hit FROM (
+    SELECT *, doc_id::VARCHAR AS name FROM documents)),
+leaves AS (SELECT doc_id, lang, {_leaf("n_chars")} AS value,
+    {_leaf("CASE WHEN hit THEN n_chars + 1 ELSE n_chars END")} AS claimed FROM d),
+nodes AS (SELECT doc_id, value, claimed, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place,
+    count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+up AS ({_rising("nodes").format(up="up")}),
+subroots AS (SELECT 0 AS tree, tree AS place, count(*) OVER () AS n, value FROM up WHERE n = 1),
+top AS ({_rising("subroots").format(up="top")}),
+path AS (SELECT doc_id, claimed AS value, tree, 0 AS stage, 0 AS level, place, n, '' AS proof
+    FROM nodes UNION ALL
+  SELECT * FROM (
+    SELECT p.doc_id, sha256(CASE WHEN s.value IS NULL THEN p.value WHEN p.place % 2 = 0
+            THEN p.value || s.value ELSE s.value || p.value END), p.tree, p.stage, p.level + 1,
+        p.place // 2, (p.n + 1) // 2, p.proof || coalesce(s.value, '')
+    FROM path p LEFT JOIN (SELECT 0 AS stage, * FROM up UNION ALL SELECT 1, * FROM top) s
+      ON s.stage = p.stage AND s.tree = p.tree AND s.level = p.level
+        AND s.place = xor(p.place, 1)
+    WHERE p.n > 1 UNION ALL
+    SELECT doc_id, value, 0, 1, 0, tree, (SELECT count(*) FROM subroots), proof
+    FROM path WHERE n = 1 AND stage = 0)),
+folded AS (SELECT doc_id, value AS folded_root, proof FROM path WHERE stage = 1 AND n = 1)
+SELECT doc_id, nodes.value AS leaf, s.value AS subroot, r.value AS root,
+    sha256(proof) AS proof_sha256, folded_root, folded_root = r.value AS verified
+FROM nodes JOIN folded USING (doc_id) JOIN subroots s ON s.place = nodes.tree
+CROSS JOIN (SELECT value FROM top WHERE n = 1) r"""
