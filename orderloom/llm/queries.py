@@ -14,6 +14,7 @@ from orderloom.llm import (
     repetition,
     sharding,
     simhash,
+    vector_codes,
     warc,
 )
 from orderloom.llm.text import held_out, table
@@ -260,3 +261,47 @@ SELECT doc_id, nodes.value AS leaf, s.value AS subroot, r.value AS root,
     sha256(proof) AS proof_sha256, folded_root, folded_root = r.value AS verified
 FROM nodes JOIN folded USING (doc_id) JOIN subroots s ON s.place = nodes.tree
 CROSS JOIN (SELECT value FROM top WHERE n = 1) r"""
+
+
+@query
+def op11_gnat_codes(spark, sf_dir):
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _assigning(books):
+    """SQL for the nearest entry and the squared distance of every part to it."""
+    return f"""SELECT vec_id, part, v, a.entry, a.error FROM (
+        SELECT vec_id, part, v, min(struct_pack(error := list_sum(list_transform(
+            list_zip(v, b), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), entry := entry)) AS a
+        FROM parts JOIN {books} USING (part) GROUP BY vec_id, part, v)"""
+
+
+def _refining(assigned, books):
+    """SQL for the codebooks after a round."""
+    return f"""SELECT part, entry, coalesce(m, b) AS b FROM {books} LEFT JOIN (
+        SELECT part, entry, list(mean ORDER BY i) AS m FROM (
+            SELECT part, entry, i, floor(sum(v[i])::DOUBLE / count(*))::BIGINT AS mean
+            FROM {assigned}, (SELECT unnest(range(1, 5)) AS i) GROUP BY part, entry, i)
+        GROUP BY part, entry) USING (part, entry)"""
+
+
+ORACLES["op11_gnat_codes"] = f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding,
+        lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, part, v[4 * part + 1:4 * part + 4] AS v
+    FROM kept, (SELECT unnest(range({vector_codes.PARTS})) AS part)),
+b0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v AS b
+    FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id
+        LIMIT {vector_codes.ENTRIES})),
+a0 AS ({_assigning("b0")}), b1 AS ({_refining("a0", "b0")}),
+a1 AS ({_assigning("b1")}), b2 AS ({_refining("a1", "b1")}),
+a2 AS ({_assigning("b2")}),
+coded AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+    sum(error)::BIGINT AS error FROM a2 GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(list_aggregate(b, 'string_agg', ','), ','
+    ORDER BY part, entry)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+    codebooks_sha256
+FROM coded JOIN kept USING (vec_id) CROSS JOIN books"""
