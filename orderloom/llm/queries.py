@@ -7,6 +7,7 @@ from orderloom.llm import (
     bpe,
     chat,
     decontamination,
+    jaccard,
     language,
     lm,
     merkle,
@@ -305,3 +306,31 @@ books AS (SELECT sha256(string_agg(list_aggregate(b, 'string_agg', ','), ','
 SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
     codebooks_sha256
 FROM coded JOIN kept USING (vec_id) CROSS JOIN books"""
+
+
+@query
+def op13_light_heavy_jaccard(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+_LOWER = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+ORACLES["op13_light_heavy_jaccard"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_LOWER} AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {jaccard.SHINGLE}
+        THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(
+            range(1, len(ws) - {jaccard.SHINGLE - 2}),
+            lambda p: array_to_string(ws[p:p + {jaccard.SHINGLE - 1}], ' '))) END AS shingles
+    FROM w),
+sizes AS (SELECT doc_id, len(shingles)::BIGINT AS n FROM s),
+each AS (SELECT doc_id, n, unnest(shingles) AS shingle FROM s JOIN sizes USING (doc_id)),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS c
+    FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+        AND 100 * a.n >= {jaccard.PERCENT} * b.n AND 100 * b.n >= {jaccard.PERCENT} * a.n
+    GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * c >= {jaccard.PERCENT} * (n + m - c)),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM sizes UNION
+    SELECT r.doc_id, e.b FROM reach r JOIN ends e ON e.a = r.other)
+SELECT doc_id, n AS n_shingles, min(other) AS component_id
+FROM sizes JOIN reach USING (doc_id) GROUP BY doc_id, n"""
