@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderloom.llm.graph import components
-from orderloom.llm.text import map_texts, parts, reachable
+from orderloom.llm.text import parts, reachable
 from orderloom.session import cut_lineage
 
 SHINGLE = 3
@@ -42,6 +42,8 @@ SEED = 42
 BUCKETS = 1 << 16
 #: Sets beyond this size are never enumerated: their subsets would be too many at any frequency.
 LARGEST_LIGHT = 40
+#: Size of the filter that tells which texts to read again: half a megabyte.
+FILTER_BITS = 1 << 22
 #: Centers of a list in the first round, in the second, and the factor from then on.
 CENTERS, MORE_CENTERS, GROWTH = 1, 16, 2
 
@@ -220,6 +222,39 @@ def _lists(members: DataFrame, roots: DataFrame, degree: DataFrame, centers: int
     return left, cut_lineage(chosen.drop("rank", "links"), "jaccard-centers")
 
 
+def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle, seed) -> DataFrame:
+    """(set, tokens) of the sets in `pairs`, and of a few others.
+
+    Texts are read again, not shuffled. A filter of `FILTER_BITS` bits tells each task which keys
+    are asked for; a key it lets through in error costs its text's hashing.
+    """
+    asked = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "set",
+                         "left_semi").select(_bit("least").alias("bit"))
+    words = asked.groupBy(F.expr("bit div 64").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS INT))")).alias("bits")).collect()
+    wanted = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words:  # one per 64 bits at most
+        wanted[r.word] = r.bits
+    wanted = np.unpackbits(wanted.view(np.uint8), bitorder="little").astype(bool)
+
+    def again(batches):
+        for batch in batches:
+            passed = wanted[batch.column("bit").to_numpy(zero_copy_only=False)]
+            for part in parts(batch.filter(pa.array(passed)), "text"):
+                found = [tokens(t, shingle, seed) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([set_hash(v, seed) for v in found], pa.int64()),
+                     pa.array([v.view(np.int64) for v in found], pa.list_(pa.int64()))],
+                    names=["set", "tokens"])
+
+    return cut_lineage(docs.select(_bit("key").alias("bit"), "text").mapInArrow(
+        again, "`set` long, tokens array<long>").dropDuplicates(["set"]), "jaccard-sets")
+
+
+def _bit(key):
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent) -> DataFrame:
     """The pairs (a, b) whose sets link, by exact intersection."""
     def side(name):
@@ -243,19 +278,6 @@ def linked_sets(docs: DataFrame, classes: DataFrame, counts, met, percent=PERCEN
         boundary = choose_boundary({r.n: r["count"] for r in small}, met, percent)
     index = cut_lineage(_index(docs, counts, boundary, percent, shingle, seed), "jaccard-index")
     members = cut_lineage(_members(index, classes), "jaccard-members")
-    asked = cut_lineage(classes.join(members.select("set").distinct(), "set", "left_semi"),
-                        "jaccard-asked")
-    needed_docs = docs.join(asked.select(F.col("least").alias("of")).distinct(),
-                            F.col("key").eqNullSafe(F.col("of")), "left_semi")
-
-    def again(texts):
-        found = [tokens(t, shingle, seed) for t in texts]
-        return [[set_hash(v, seed) for v in found], [v.view(np.int64) for v in found]]
-
-    sets = cut_lineage(
-        map_texts(needed_docs, again, "`set` long, tokens array<long>", ["key"])
-        .select("set", "tokens").join(asked.select("set"), "set", "left_semi")
-        .dropDuplicates(["set"]), "jaccard-sets")
 
     spark, centers = docs.sparkSession, CENTERS
     links = spark.createDataFrame([], "a long, b long")
@@ -272,7 +294,9 @@ def linked_sets(docs: DataFrame, classes: DataFrame, counts, met, percent=PERCEN
             (F.col("root") != F.col("c_root"))
             & ((100 + percent) * overlap >= percent * (F.col("n") + F.col("c_n")))).select(
             F.least("set", "c_set").alias("a"), F.greatest("set", "c_set").alias("b")).distinct()
-        found = cut_lineage(_linked(pairs, sets, percent), "jaccard-links")
+        pairs = cut_lineage(pairs, "jaccard-pairs")
+        found = cut_lineage(_linked(pairs, _sets(docs, classes, pairs, shingle, seed), percent),
+                            "jaccard-links")
         members = cut_lineage(left.join(chosen.select("token", "set"), ["token", "set"],
                                         "left_anti").select("token", "set", "at", "n"),
                               "jaccard-members")
