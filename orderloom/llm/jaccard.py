@@ -14,8 +14,9 @@ frequencies of all tokens.
 Lists are scanned in rounds. In every round a few sets of each list, its centers, are compared with
 the others in it and then leave it; a list whose members are all connected already is done. So a
 list of near-copies is done once one center links them, and a list of any length costs a row per
-member and center. What two positions in a list allow as the largest overlap leaves out most other
-pairs; the rest is decided by exact intersections.
+member and center. Two bounds that never exclude a link leave out most other pairs: the largest overlap
+that the positions in the list allow, and the least difference that parity sketches show (every
+token in one set only flips one bit). The rest is decided by exact intersections.
 
 Shingles and sets stand as 64-bit hashes. Two different sets with one hash are found by a second
 hash and end the run with an error; another seed then helps.
@@ -42,6 +43,8 @@ SEED = 42
 BUCKETS = 1 << 16
 #: Sets beyond this size are never enumerated: their subsets would be too many at any frequency.
 LARGEST_LIGHT = 40
+#: Longs of a set's parity sketch.
+SKETCH = 4
 #: Size of the filter that tells which texts to read again: half a megabyte.
 FILTER_BITS = 1 << 22
 #: Centers of a list in the first round, in the second, and the factor from then on.
@@ -71,6 +74,13 @@ def set_hash(values: np.ndarray, seed=SEED) -> int:
     return xxhash.xxh3_64_intdigest(values.tobytes(), seed) - (1 << 63)
 
 
+def parities(values: np.ndarray) -> np.ndarray:
+    """`SKETCH` longs with a bit for each of as many groups of tokens: whether its number is odd."""
+    bits = 64 * SKETCH
+    odd = np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def needed(size: int, percent=PERCENT) -> int:
     """Tokens of a set of `size` that any partner of no larger size must share."""
     return -(-percent * size // 100)
@@ -136,7 +146,8 @@ def _bucket(values):
 
 
 def _read(docs: DataFrame, shingle, seed) -> DataFrame:
-    """(key, n, set, check) of every row, and (bucket, hits) of every task."""
+    """(key, n, set, check, sketch) of every row, and (bucket, hits) of every task."""
+    sketch = [f"p{i}" for i in range(SKETCH)]
 
     def run(batches):
         hits = np.zeros(BUCKETS, np.int64)
@@ -145,27 +156,30 @@ def _read(docs: DataFrame, shingle, seed) -> DataFrame:
             schema = batch.schema.field("key")
             for part in parts(batch, "text"):
                 sizes, sets, checks = [], [], []
-                for text in part.column("text").to_pylist():
+                odd = np.empty((part.num_rows, SKETCH), np.int64)
+                for i, text in enumerate(part.column("text").to_pylist()):
                     values = tokens(text, shingle, seed)
                     np.add.at(hits, _bucket(values), 1)
+                    odd[i] = parities(values)
                     sizes.append(len(values))
                     sets.append(set_hash(values, seed))
                     checks.append(set_hash(values, seed + 1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()),
-                     pa.array(checks, pa.int64()), pa.nulls(len(sizes), pa.int32()),
-                     pa.nulls(len(sizes), pa.int64())], names=names)
+                     pa.array(checks, pa.int64()), *map(pa.array, odd.T.copy()),
+                     pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int64())],
+                    names=names)
         used = np.flatnonzero(hits)
         if len(used):
             none = pa.nulls(len(used), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(used), schema.type), none, none, none,
+                [pa.nulls(len(used), schema.type), none, none, none, *[none] * SKETCH,
                  pa.array(used.astype(np.int32)), pa.array(hits[used])], names=names)
 
-    names = ["key", "n", "set", "check", "bucket", "hits"]
+    names = ["key", "n", "set", "check", *sketch, "bucket", "hits"]
     kind = dict(docs.dtypes)["key"]
-    return docs.mapInArrow(run, f"key {kind}, n long, `set` long, `check` long, bucket int, "
-                                "hits long")
+    longs = ", ".join(f"`{name}` long" for name in names[1:-2])
+    return docs.mapInArrow(run, f"key {kind}, {longs}, bucket int, hits long")
 
 
 def _index(docs: DataFrame, counts: np.ndarray, boundary, percent, shingle, seed) -> DataFrame:
@@ -202,11 +216,11 @@ def _frequencies(read: DataFrame):
 
 
 def _members(index: DataFrame, classes: DataFrame) -> DataFrame:
-    """(token, set, at, n) of the tokens that two sets or more have."""
+    """(token, set, at, n, sketch) of the tokens that two sets or more have."""
     shared = index.groupBy("token").agg(F.min("set").alias("a"), F.max("set").alias("b")).where(
         "a < b").select("token")
     met = index.join(cut_lineage(shared, "jaccard-shared"), "token", "left_semi").distinct()
-    return met.join(classes.select("set", "n"), "set")
+    return met.join(classes.drop("least", "clash"), "set")
 
 
 def _lists(members: DataFrame, roots: DataFrame, degree: DataFrame, centers: int):
@@ -279,6 +293,7 @@ def linked_sets(docs: DataFrame, classes: DataFrame, counts, met, percent=PERCEN
     index = cut_lineage(_index(docs, counts, boundary, percent, shingle, seed), "jaccard-index")
     members = cut_lineage(_members(index, classes), "jaccard-members")
 
+    columns, sketch = members.columns, [f"p{i}" for i in range(SKETCH)]
     spark, centers = docs.sparkSession, CENTERS
     links = spark.createDataFrame([], "a long, b long")
     roots = spark.createDataFrame([], "`set` long, root long")
@@ -287,18 +302,20 @@ def linked_sets(docs: DataFrame, classes: DataFrame, counts, met, percent=PERCEN
             F.count("*").alias("links"))
         left, chosen = _lists(members, roots, degree, centers)
         center = chosen.select("token", *[F.col(c).alias(f"c_{c}")
-                                          for c in ("set", "at", "n", "root")])
+                                          for c in ("set", "at", "n", "root", *sketch)])
         # what lies before the first token in common is not shared
         overlap = F.least(F.col("n") - F.col("at"), F.col("c_n") - F.col("c_at"))
+        apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"c_{c}"))) for c in sketch), F.lit(0))
+        both = F.col("n") + F.col("c_n")
         pairs = left.join(center, "token").where(
-            (F.col("root") != F.col("c_root"))
-            & ((100 + percent) * overlap >= percent * (F.col("n") + F.col("c_n")))).select(
+            (F.col("root") != F.col("c_root")) & ((100 + percent) * overlap >= percent * both)
+            & (2 * percent * both <= (100 + percent) * (both - apart))).select(
             F.least("set", "c_set").alias("a"), F.greatest("set", "c_set").alias("b")).distinct()
         pairs = cut_lineage(pairs, "jaccard-pairs")
         found = cut_lineage(_linked(pairs, _sets(docs, classes, pairs, shingle, seed), percent),
                             "jaccard-links")
         members = cut_lineage(left.join(chosen.select("token", "set"), ["token", "set"],
-                                        "left_anti").select("token", "set", "at", "n"),
+                                        "left_anti").select(*columns),
                               "jaccard-members")
         if not found.isEmpty():
             links = links.unionByName(found)
@@ -322,10 +339,11 @@ def join(df: DataFrame, key="doc_id", text="text", percent=PERCENT, shingle=SHIN
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     reachable(df.sparkSession)
     read = cut_lineage(_read(docs, shingle, seed), "jaccard-read")
-    rows = read.where("bucket IS NULL").select("key", "n", "set", "check")
+    rows = read.where("bucket IS NULL")
     counts, met = _frequencies(read)
     classes = cut_lineage(rows.where("n > 0").groupBy("set").agg(
         F.min("key").alias("least"), F.min("n").alias("n"),
+        *[F.min(f"p{i}").alias(f"p{i}") for i in range(SKETCH)],
         (F.min("check") < F.max("check")).alias("clash")), "jaccard-classes")
     if not classes.where("clash").isEmpty():
         raise ValueError("two different sets have one hash: choose another seed")
