@@ -48,7 +48,7 @@ SKETCH = 4
 #: Size of the filter that tells which texts to read again: half a megabyte.
 FILTER_BITS = 1 << 22
 #: Centers of a list in the first round, in the second, and the factor from then on.
-CENTERS, MORE_CENTERS, GROWTH = 1, 16, 2
+CENTERS, MORE_CENTERS, GROWTH = 1, 16, 8
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
