@@ -27,12 +27,12 @@ class Rule:
     explain: tuple
 
 
-def apply_rules(df: DataFrame, rules, only=None, detected_ms=None) -> DataFrame:
+def apply_rules(df: DataFrame, rules, only=None, detected_ms=None, keep=()) -> DataFrame:
     """All violations in `df`, one row each.
 
     Clean rows are filtered out before the rules are spread into rows. The id of an
     exception depends on its content, so a repeated run repeats it. `detected_ms`
-    adds the detection time.
+    adds the detection time; columns in `keep` stay beside those of the exception.
     """
     rules = [r for r in rules if only is None or r.kind in only]
     any_hit = rules[0].holds
@@ -46,13 +46,13 @@ def apply_rules(df: DataFrame, rules, only=None, detected_ms=None) -> DataFrame:
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
     found = (df.where(any_hit)
-             .select(ORDER, "firm_order_id", "event_id", "symbol", "ts_event", "day",
+             .select(ORDER, "firm_order_id", "event_id", "symbol", "ts_event", "day", *keep,
                      F.explode(hits).alias("hit"))
              .where("hit IS NOT NULL")
              .select("*", "hit.*"))
     out = found.withColumn(
         "exception_id", content_id(F.col(ORDER), F.col("day"), F.col("exception_type"),
-                                   F.col("subject"))).select(*EXCEPTION_FIELDS)
+                                   F.col("subject"))).select(*EXCEPTION_FIELDS, *keep)
     return out if detected_ms is None else out.withColumn(
         "ts_detected", F.lit(detected_ms).cast("long"))
 

@@ -87,40 +87,51 @@ def reconcile_late(raw: DataFrame, late: DataFrame, published: DataFrame, snapsh
     """The published snapshots with the corrections of late events in them, marked
     `is_corrected`."""
     columns = published.columns
-    found = corrections(raw, late, published, snapshot_ms, hot).select(
-        "new.*", F.lit(True).alias("is_corrected"))
+    found = cut_lineage(corrections(raw, late, published, snapshot_ms, hot).select("new.*"),
+                        "corrections").withColumn("is_corrected", F.lit(True))
     kept = published.join(found.select(*DAY_KEY), DAY_KEY, "left_anti").withColumn(
         "is_corrected", F.lit(False))
     return kept.unionByName(found, allowMissingColumns=True).select(*columns, "is_corrected")
 
 
-def correct_table(spark: SparkSession, raw: DataFrame, late: DataFrame, path: str,
-                  partition_by=("trade_date",), snapshot_ms=None, audited_ms=None) -> DataFrame:
-    """Writes the corrections of late events into the published table in `path`, and returns an
-    audit record for each.
-
-    `raw` and the table are partitioned by the first column of `partition_by`: trade_date, or
-    trade_month. Only partitions that late events name are read, and only those with a
-    correction are replaced, from a staged copy. A repeated run finds nothing to correct.
-    """
-    first = partition_by[0]
+def _placed(df: DataFrame, first: str) -> DataFrame:
+    df = _dated(df)
+    return with_month(df) if first == "trade_month" and first not in df.columns else df
 
-    def placed(df):
-        df = _dated(df)
-        return with_month(df) if first == "trade_month" and first not in df.columns else df
 
-    late = cut_lineage(placed(late), "late")
+def plan_corrections(spark: SparkSession, raw: DataFrame, late: DataFrame, path: str,
+                     partition_by=("trade_date",), snapshot_ms=None) -> DataFrame:
+    """`corrections` of the table in `path`: only partitions that late events name are read, of the
+    table and of `raw`, which is partitioned by the same first column (trade_date or trade_month)."""
+    first = partition_by[0]
+    late = cut_lineage(_placed(late, first), "late")
     values = [r[0] for r in late.select(first).distinct().collect()]  # days of the retention
     published = read_snapshot_table(spark, path).where(F.col(first).isin(values))
-    found = cut_lineage(corrections(placed(raw).where(F.col(first).isin(values)), late, published,
-                                    snapshot_ms), "corrections")
-    new = placed(found.select("new.*"))
+    return corrections(_placed(raw, first).where(F.col(first).isin(values)), late, published,
+                       snapshot_ms)
+
+
+def apply_corrections(spark: SparkSession, found: DataFrame, path: str,
+                      partition_by=("trade_date",)) -> None:
+    """Puts the new snapshots of stored `corrections` into the table in `path`. Only partitions with
+    a correction are replaced, from a staged copy; applying them again changes nothing."""
+    first = partition_by[0]
+    new = _placed(found.select("new.*"), first)
     touched = [r[0] for r in new.select(first).distinct().collect()]
     if touched:
-        kept = published.where(F.col(first).isin(touched)).join(
+        kept = read_snapshot_table(spark, path).where(F.col(first).isin(touched)).join(
             found.select(*DAY_KEY), DAY_KEY, "left_anti")
         staged = cut_lineage(kept.unionByName(new), "staged")
         write_snapshot_table(staged, path, partition_by)
+
+
+def correct_table(spark: SparkSession, raw: DataFrame, late: DataFrame, path: str,
+                  partition_by=("trade_date",), snapshot_ms=None, audited_ms=None) -> DataFrame:
+    """Writes the corrections of late events into the published table in `path`, and returns an
+    audit record for each. A repeated run finds nothing to correct."""
+    found = cut_lineage(plan_corrections(spark, raw, late, path, partition_by, snapshot_ms),
+                        "corrections")
+    apply_corrections(spark, found, path, partition_by)
     return audit_of(found, late, audited_ms)
 
 

@@ -380,6 +380,14 @@ def _detail(table, part_rows=10_000):
 _RUN = """OVER (PARTITION BY customer_order_id ORDER BY ts_event, event_type, event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 _WATERMARK = "(SELECT max(ts_event) - 120000 FROM u)"
+# What a stream has settled: events in time, ten minutes before its last watermark.
+_SETTLED = "ts_event + 600000 < (SELECT max(ts_event) - 120000 FROM u WHERE NOT is_late)"
+_LIVE = " UNION ALL ".join([
+    f"SELECT * FROM ({_PARENT}) WHERE {_SETTLED}", f"SELECT * FROM ({_ORPHAN}) WHERE {_SETTLED}",
+    _found("with_new", _SEQUENCE), _found("per_route_t", _ROUTE_SEQUENCE, **_NO_EVENT),
+    _found("(SELECT * EXCLUDE (ts_event), route_ts AS ts_event FROM per_route_t)",
+           [(*_NO_OUTCOME[0][:3], f"{_NO_OUTCOME[0][3]} AND {_SETTLED}", *_NO_OUTCOME[0][4:])],
+           **_NO_EVENT)])
 _DAY_END = f"(epoch_ms(strptime(trade_date, '%Y-%m-%d')) + {DAY_MS})"
 _AUDIT_TAIL = f"{SNAPSHOT_MS}::BIGINT AS ts_audit"
 
@@ -401,7 +409,7 @@ _NODES = {
     "link": """SELECT customer_order_id, firm_order_id, parent_firm_order_id AS up FROM node
       WHERE NOT is_root AND parent_firm_order_id IS NOT NULL""",
 }
-_WALKED = """, walk AS (SELECT DISTINCT customer_order_id, firm_order_id, 0 AS depth FROM node
+_WALKED = """, walk AS (SELECT DISTINCT customer_order_id, firm_order_id, 0 AS depth FROM {named}
     WHERE {roots}
   UNION SELECT l.customer_order_id, l.firm_order_id, w.depth + 1 FROM link l JOIN walk w
     ON l.customer_order_id = w.customer_order_id AND l.up = w.firm_order_id
@@ -410,7 +418,7 @@ least AS (SELECT customer_order_id, firm_order_id, min(depth) AS depth FROM walk
 SELECT n.customer_order_id, n.firm_order_id, d.depth,
   CASE WHEN d.depth IS NULL THEN min(l.up) WHEN d.depth > 0 THEN
     min(CASE WHEN p.depth + 1 = d.depth THEN l.up END) END AS parent_firm_order_id
-FROM (SELECT DISTINCT customer_order_id, firm_order_id FROM node) n
+FROM (SELECT DISTINCT customer_order_id, firm_order_id FROM {named}) n
 {how} JOIN least d USING (customer_order_id, firm_order_id)
 LEFT JOIN link l ON l.customer_order_id = n.customer_order_id
   AND l.firm_order_id = n.firm_order_id
@@ -492,9 +500,14 @@ ORACLES = {
         coalesce(route_firm, firm_order_id) AS firm_order_id,
         route_parent AS parent_firm_order_id, customer_order_id,
         route_known IS NOT NULL AS route_known FROM with_known WHERE event_type = 'FILL'"""),
-    "descendants": sql(_WALKED.format(how="LEFT", roots="is_root"), **_NODES),
-    "descendants_of": sql(_WALKED.format(
-        how="", roots="firm_order_id = (SELECT min(parent_firm_order_id) FROM node)"), **_NODES),
+    "descendants": sql(_WALKED.format(how="LEFT", roots="is_root", named="node"), **_NODES),
+    "descendants_of": sql(_WALKED.format(how="", named="named", roots=f"""firm_order_id = (
+        SELECT min(parent_firm_order_id) FROM u WHERE event_type = 'REPLACE'
+        AND {_NUMBER} % 101 = 0)"""),
+        node=f"""{_NODES["node"]} UNION SELECT customer_order_id, firm_order_id || '-r',
+          firm_order_id, false FROM u WHERE event_type = 'REPLACE'""", link=_NODES["link"],
+        named="""SELECT customer_order_id, firm_order_id FROM node UNION
+          SELECT customer_order_id, parent_firm_order_id FROM node"""),
     "circular_linkage": sql("SELECT DISTINCT customer_order_id, node_id FROM cyclic", **_RINGS),
     "circular_exceptions": sql(_found(
         "(SELECT customer_order_id, node_id AS firm_order_id, NULL::VARCHAR AS symbol, ts_event "
@@ -504,6 +517,8 @@ ORACLES = {
         [("CIRCULAR_LINKAGE", "ERROR", "Node lies on a cycle of links", "true", "firm_order_id",
           _json("'firm_order_id"))], **_NO_EVENT), **_RINGS),
     "quality_exceptions": sql(_on_snapshots(detected=SNAPSHOT_MS)),
+    "live_link_checks": sql(f"SELECT * EXCLUDE (event_id, ts_event) FROM ({_LIVE})",
+                            t="SELECT * FROM u WHERE NOT is_late", per_route_t=_per_route("t")),
     "run_streaming_job": sql(_on_snapshots()),
     "overfill": sql(_on_snapshots("OVERFILL")),
     "negative_fill": sql(_on_snapshots("NEGATIVE_FILL")),
@@ -663,3 +678,5 @@ ORACLES = {
     "read_state": sql(f"""SELECT event_id, ts_event AS event_ms FROM u
         WHERE ts_event > {_WATERMARK}"""),
 }
+ORACLES["corrected_table_stream"] = ORACLES["reconcile_table"]
+ORACLES["correction_audit_stream"] = ORACLES["audit_corrections"]

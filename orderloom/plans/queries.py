@@ -13,10 +13,10 @@ from orderloom.operators import quality as dq
 from orderloom.operators import reconcile as rc
 from orderloom.operators import reports as rp
 from orderloom.plans.workspace import AS_OF_MS, SNAPSHOT_MS, Workspace
-from orderloom.schema import EVENT_FIELDS
+from orderloom.schema import EVENT_FIELDS, EXCEPTION_FIELDS
 from orderloom.sources import derived, tables
 from orderloom.sources.event_log import read_event_stream, read_message_stream
-from orderloom.streaming import pipeline, progress, sinks
+from orderloom.streaming import corrections, pipeline, progress, sinks
 
 ORDER = "customer_order_id"
 DELAY = "2 minutes"
@@ -201,9 +201,11 @@ def descendants(w):
 
 @query
 def descendants_of(w):
-    """The node with the smallest id below which others are."""
-    events = w.unique_events()
-    root = lk.order_nodes(events).agg(F.min("parent_firm_order_id")).first()[0]
+    """A node whose NEW event is lost, with chains of replacements and routes below it."""
+    events = w.unique_events().unionByName(derived.replaced_again(w.unique_events()))
+    lost = F.substring(F.col(ORDER), 4, 20).cast("long") % 101 == 0
+    root = events.where((F.col("event_type") == "REPLACE") & lost).agg(
+        F.min("parent_firm_order_id")).first()[0]
     return lk.descendants_of(events, root)
 
 
@@ -522,6 +524,19 @@ def _finish(*queries):
 NOW = pipeline.AVAILABLE_NOW
 
 
+def _as_it_arrives(w, run, parts=3):
+    """`run(path)` on a topic that grows by a stretch of arrival time before each run, so that every
+    run is a micro-batch (or more) and goes on from the checkpoint of the one before."""
+    path, topic = w.fresh_folder("topic"), w.topic()
+    first, last = topic.agg(F.unix_millis(F.min("timestamp")),
+                            F.unix_millis(F.max("timestamp"))).first()
+    stretch = (last - first) // parts + 1
+    for i in range(parts):
+        topic.where(F.expr(f"(unix_millis(timestamp) - {first}) div {stretch} = {i}")).write.mode(
+            "append").parquet(path)
+        _finish(run(path))
+
+
 @query
 def read_event_stream_files(w):
     """One file per micro-batch."""
@@ -642,3 +657,35 @@ def read_state(w):
     root, _ = _measured(w)
     state = progress.read_state(w.spark, sinks.checkpoint_path(root, "linkages"))
     return state.select("key.event_id", F.unix_millis("key.event_time").alias("event_ms"))
+
+
+@query
+def live_link_checks(w):
+    """The checks between events of the running stream, over several micro-batches and restarts."""
+    root = w.fresh_folder("stream")
+    _as_it_arrives(w, lambda path: pipeline.start_link_checks(
+        ev.with_lateness(read_event_stream(w.spark, "parquet", path), DELAY), root, trigger=NOW))
+    return w.spark.read.parquet(f"{root}/link_exceptions").select(F.from_json("value", ", ".join(
+        f"{c} string" for c in EXCEPTION_FIELDS)).alias("e")).select(
+        *[f"e.{c}" for c in EXCEPTION_FIELDS if c not in ("event_id", "ts_event")])
+
+
+def _corrected(w):
+    """A published table that lacks the late events, corrected as they arrive."""
+    root, table = w.fresh_folder("stream"), w.fresh_folder("published")
+    tables.write_snapshot_table(tables.with_month(w.published()), table, ("trade_month",))
+    w.monthly_log()  # written before the stream starts
+    _as_it_arrives(w, lambda path: corrections.start_corrections(
+        ev.late_events(ev.with_lateness(read_event_stream(w.spark, "parquet", path), DELAY)),
+        w.monthly_log, table, root, ("trade_month",), SNAPSHOT_MS, SNAPSHOT_MS, NOW))
+    return root, table
+
+
+@query
+def corrected_table_stream(w):
+    return _flat_snapshot(tables.read_snapshot_table(w.spark, _corrected(w)[1]))
+
+
+@query
+def correction_audit_stream(w):
+    return sinks.read_batches(w.spark, f"{_corrected(w)[0]}/audit")

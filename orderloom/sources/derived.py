@@ -181,6 +181,15 @@ def extended_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         reason=F.when(rejected, "venue rejected")))
 
 
+def replaced_again(events: DataFrame) -> DataFrame:
+    """A replacement of every replacement, so that orders have chains of three nodes."""
+    return events.where("event_type = 'REPLACE'").withColumns({
+        "event_id": F.concat(F.lit("RP2-"), F.col("event_id")),
+        "ts_event": F.col("ts_event") + 500, "ts_ingest": F.col("ts_ingest") + 500,
+        "parent_firm_order_id": F.col("firm_order_id"),
+        "firm_order_id": F.concat("firm_order_id", F.lit("-r"))})
+
+
 def messages(events: DataFrame) -> DataFrame:
     """The log as it lies in a topic: JSON payload, key and envelope."""
     return events.select(

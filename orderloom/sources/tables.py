@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from orderloom.session import delete_folder
 
@@ -24,6 +25,17 @@ def write_snapshot_table(snapshots: DataFrame, path: str,
      .partitionBy(*partition_by).parquet(path))
 
 
+def read_if_there(spark: SparkSession, path: str, schema=None):
+    """The Parquet table in `path`, or None if nothing has been written there yet; any other
+    failure is raised."""
+    try:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_snapshot_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """The table with its dates as text, as written; Spark would infer dates from folder names.
     With its `schema` no file is opened to find it out."""

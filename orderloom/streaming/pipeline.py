@@ -20,6 +20,8 @@ from orderloom.operators.quality import (
     split_by_severity,
 )
 from orderloom.operators.reconcile import audit_late
+from orderloom.streaming.corrections import start_corrections
+from orderloom.streaming.live_checks import SPAN, WAIT, link_exceptions
 from orderloom.streaming.sinks import write_append, write_console, write_snapshots
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -27,7 +29,8 @@ AVAILABLE_NOW = {"availableNow": True}
 
 def start_pipeline(events: DataFrame, root: str, delay=DEFAULT_DELAY, dedup="event_time",
                    trigger=None, snapshot_ms=None, fmt="parquet", publish=None, debug=False,
-                   topics=None, messages=None, as_of_ms=None, **sink_options):
+                   topics=None, messages=None, as_of_ms=None, link_checks=False,
+                   corrected=None, **sink_options):
     """Start the queries on a stream of decoded events; the caller awaits them.
 
     The watermark comes first, so that the state of both stateful operators is bounded.
@@ -35,6 +38,9 @@ def start_pipeline(events: DataFrame, root: str, delay=DEFAULT_DELAY, dedup="eve
     audit record. Rules on single events run beside those on snapshots, against `as_of_ms` (now,
     if None). With the stream of raw `messages`, those that are no event go to a quarantine
     output. `publish=sinks.to_table(path)` keeps a table of the newest snapshots.
+    `link_checks=True` adds the checks between events (`live_checks`), `corrected`, a dict with the
+    `log`, `table` and `partition_by` of `corrections.start_corrections`, the feedback of late events
+    to a published table.
     """
     tagged = with_lateness(decodable(events), delay)
     now = F.unix_millis(F.current_timestamp()) if as_of_ms is None else as_of_ms
@@ -57,11 +63,25 @@ def start_pipeline(events: DataFrame, root: str, delay=DEFAULT_DELAY, dedup="eve
     if messages is not None:
         queries.append(write_append(quarantine(messages), "quarantine", root, fmt, trigger,
                                     key="key", **options("quarantine")))
+    if link_checks:
+        queries.append(start_link_checks(tagged, root, fmt=fmt, trigger=trigger,
+                                         **options("link_exceptions")))
+    if corrected is not None:
+        queries.append(start_corrections(late_events(tagged), root=f"{root.rstrip('/')}/corrected",
+                                         snapshot_ms=snapshot_ms, audited_ms=snapshot_ms,
+                                         trigger=trigger, **corrected))
     if debug:
         queries.append(write_console(snapshots, "lifecycle_console", trigger))
     return queries
 
 
+def start_link_checks(tagged: DataFrame, root: str, wait=WAIT, span=SPAN, fmt="parquet",
+                      trigger=None, **options):
+    """The checks between events as a query of its own, on a stream of tagged events."""
+    return write_append(link_exceptions(tagged, wait, span), "link_exceptions", root, fmt, trigger,
+                        **options)
+
+
 def run_pipeline(spark: SparkSession, events: DataFrame, root: str, **options):
     """Start the pipeline and wait: for all input with `availableNow`, else until a query ends."""
     queries = start_pipeline(events, root, **options)

@@ -3,11 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pyspark.sql.utils import AnalysisException
-
 from orderloom.operators.events import encode_json
 from orderloom.session import cut_lineage
-from orderloom.sources.tables import read_snapshot_table, write_snapshot_table
+from orderloom.sources.tables import read_if_there, read_snapshot_table, write_snapshot_table
 
 ORDER = "customer_order_id"
 
@@ -21,6 +19,12 @@ def _start(writer, trigger):
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def start_query(writer, root: str, name: str, mode="append", trigger=None):
+    """Starts a writer with a checkpoint of its own below `root`."""
+    return _start(writer.option("checkpointLocation", checkpoint_path(root, name))
+                  .outputMode(mode), trigger)
+
+
 def write_append(df: DataFrame, name: str, root: str, fmt="parquet", trigger=None, key=ORDER,
                  **options):
     """Append rows as JSON messages keyed by order: to files, or to a broker topic."""
@@ -32,7 +36,7 @@ def write_append(df: DataFrame, name: str, root: str, fmt="parquet", trigger=Non
         trigger)
 
 
-def _batch_path(path, batch_id):
+def batch_path(path, batch_id):
     return f"{path.rstrip('/')}/batch_id={batch_id}"
 
 
@@ -41,11 +45,11 @@ def snapshot_batch_writer(root: str, checks, name="lifecycle", publish=None):
     lifecycles, exceptions = f"{root.rstrip('/')}/{name}", f"{root.rstrip('/')}/exceptions"
 
     def write_batch(batch: DataFrame, batch_id: int):
-        here = _batch_path(lifecycles, batch_id)
+        here = batch_path(lifecycles, batch_id)
         batch.write.mode("overwrite").parquet(here)
         written = batch.sparkSession.read.schema(batch.schema).parquet(here)
         found = checks(written)
-        found.write.mode("overwrite").parquet(_batch_path(exceptions, batch_id))
+        found.write.mode("overwrite").parquet(batch_path(exceptions, batch_id))
         if publish is not None:
             publish(written, name)
             publish(found, "exceptions")
@@ -66,10 +70,10 @@ def merge_newest(batch: DataFrame, path: str, partition_by=("trade_date", "symbo
     days = [r[0] for r in staged.select(first).distinct().collect()]
     if not days:
         return
-    try:
-        old = read_snapshot_table(spark, path).where(F.col(first).isin(days))
-    except AnalysisException:  # the first batch makes the table
+    if read_if_there(spark, path) is None:  # the first batch makes the table
         old = staged.where("false")
+    else:
+        old = read_snapshot_table(spark, path).where(F.col(first).isin(days))
     kept = old.join(staged.select(*key), list(key), "left_anti")
     write_snapshot_table(cut_lineage(kept.unionByName(staged), "merge"), path, partition_by)
 
@@ -112,7 +116,7 @@ def write_batches(df: DataFrame, name: str, root: str, mode="append", trigger=No
     return _start(
         df.writeStream.queryName(name)
         .foreachBatch(lambda batch, i: batch.write.mode("overwrite")
-                      .parquet(_batch_path(path, i)))
+                      .parquet(batch_path(path, i)))
         .option("checkpointLocation", checkpoint_path(root, name)).outputMode(mode), trigger)
 
 
