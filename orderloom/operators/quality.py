@@ -46,7 +46,8 @@ def apply_rules(df: DataFrame, rules, only=None, detected_ms=None, keep=()) -> D
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
     found = (df.where(any_hit)
-             .select(ORDER, "firm_order_id", "event_id", "symbol", "ts_event", "day", *keep,
+             .select(ORDER, "firm_order_id", "event_id", "symbol", "ts_event", "day",
+                     *[c for c in keep if c != "day"],
                      F.explode(hits).alias("hit"))
              .where("hit IS NOT NULL")
              .select("*", "hit.*"))
@@ -57,8 +58,9 @@ def apply_rules(df: DataFrame, rules, only=None, detected_ms=None, keep=()) -> D
         "ts_detected", F.lit(detected_ms).cast("long"))
 
 
-def snapshot_exceptions(snapshots: DataFrame, only=None, detected_ms=None) -> DataFrame:
-    """Rules on the totals of a lifecycle snapshot."""
+def snapshot_exceptions(snapshots: DataFrame, only=None, detected_ms=None,
+                        keep=()) -> DataFrame:
+    """Rules on the totals of a lifecycle snapshot. `keep` may name `day`, the trading day."""
     totals = ("total_qty", "filled_qty")
     rules = [
         Rule("OVERFILL", "ERROR", "Filled quantity exceeds total quantity",
@@ -72,7 +74,7 @@ def snapshot_exceptions(snapshots: DataFrame, only=None, detected_ms=None) -> Da
         snapshots.select(
             ORDER, F.col("root_firm_order_id").alias("firm_order_id"), "symbol",
             F.col("ts_last_event").alias("ts_event"), F.col("trade_date").alias("day"),
-            "status", "fill_count", *totals), rules, only, detected_ms)
+            "status", "fill_count", *totals), rules, only, detected_ms, keep)
 
 
 def event_exceptions(events: DataFrame, as_of_ms, only=None, detected_ms=None,

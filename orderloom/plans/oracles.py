@@ -590,7 +590,10 @@ ORACLES = {
     "updates_after_final": sql(f"""SELECT substr(sha256('UPDATE_AFTER_FINAL|' || event_id ||
           '|' || ts_event), 1, 32) AS exception_id, 'UPDATE_AFTER_FINAL' AS exception_type,
         'ERROR' AS severity, customer_order_id, firm_order_id, event_id, ts_event,
-        day AS trade_date FROM u
+        day AS trade_date FROM (SELECT event_id, ts_event, ts_ingest, customer_order_id,
+            firm_order_id, day FROM u UNION ALL
+          SELECT 'BS3-' || event_id, ts_event, ts_event + {3 * DAY_MS}, customer_order_id,
+            firm_order_id, day FROM u WHERE event_type = 'FILL' AND {_NUMBER} % 13 = 0)
         WHERE ts_ingest > (ts_event // {DAY_MS} + 1) * {DAY_MS} + 120000"""),
     "comparative_review": sql("SELECT * FROM diff"),
     "review_exceptions": sql(f"""SELECT substr(sha256(customer_order_id || '||' || discrepancy
@@ -680,3 +683,7 @@ ORACLES = {
 }
 ORACLES["corrected_table_stream"] = ORACLES["reconcile_table"]
 ORACLES["correction_audit_stream"] = ORACLES["audit_corrections"]
+ORACLES["open_exceptions_stream"] = ORACLES["run_streaming_job"]
+ORACLES["finalization_stream"] = sql(f"""SELECT 'LIFECYCLE_FINALIZED' AS action,
+    customer_order_id, 'Watermark passed the trading day' AS reason, status, filled_qty
+    FROM snap WHERE {_DAY_END} <= {_WATERMARK}""")

@@ -13,7 +13,7 @@ from orderloom.operators import quality as dq
 from orderloom.operators import reconcile as rc
 from orderloom.operators import reports as rp
 from orderloom.plans.workspace import AS_OF_MS, SNAPSHOT_MS, Workspace
-from orderloom.schema import EVENT_FIELDS, EXCEPTION_FIELDS
+from orderloom.schema import AUDIT_FIELDS, EVENT_FIELDS, EXCEPTION_FIELDS
 from orderloom.sources import derived, tables
 from orderloom.sources.event_log import read_event_stream, read_message_stream
 from orderloom.streaming import corrections, pipeline, progress, sinks
@@ -348,7 +348,9 @@ def audit_finalization(w):
 
 @query
 def updates_after_final(w):
-    return rc.updates_after_final(w.unique_events(), 120_000)
+    """With busts that come three days late."""
+    events = w.unique_events()
+    return rc.updates_after_final(events.unionByName(derived.after_final(events)), 120_000)
 
 
 @query
@@ -689,3 +691,31 @@ def corrected_table_stream(w):
 @query
 def correction_audit_stream(w):
     return sinks.read_batches(w.spark, f"{_corrected(w)[0]}/audit")
+
+
+def _arriving(w, path):
+    return ev.dedup_stream(ev.with_lateness(read_event_stream(w.spark, "parquet", path), DELAY))
+
+
+@query
+def open_exceptions_stream(w):
+    """Exceptions of the streamed snapshots by id, as they stand after several micro-batches."""
+    root = w.fresh_folder("stream")
+    _as_it_arrives(w, lambda path: sinks.write_snapshots(
+        lc.lifecycle_snapshot(_arriving(w, path), SNAPSHOT_MS), root, dq.snapshot_exceptions, NOW,
+        exceptions_table=f"{root}/exceptions_by_id"))
+    return sinks.read_exceptions(w.spark, f"{root}/exceptions_by_id").select(*EXCEPTION_FIELDS)
+
+
+@query
+def finalization_stream(w):
+    """Audit records of the days that the stream has closed. Without the states, which lack the late
+    events that deduplication drops."""
+    root = w.fresh_folder("stream")
+    _as_it_arrives(w, lambda path: pipeline.start_finalization(
+        _arriving(w, path), root, SNAPSHOT_MS, trigger=NOW))
+    return w.spark.read.parquet(f"{root}/finalized").select(F.from_json("value", ", ".join(
+        f"{c} string" for c in AUDIT_FIELDS)).alias("a")).select(
+        "a.action", f"a.{ORDER}", "a.reason",
+        F.get_json_object("a.new_state", "$.status").alias("status"),
+        F.get_json_object("a.new_state", "$.filled_qty").cast("long").alias("filled_qty"))

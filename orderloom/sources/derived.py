@@ -190,6 +190,18 @@ def replaced_again(events: DataFrame) -> DataFrame:
         "firm_order_id": F.concat("firm_order_id", F.lit("-r"))})
 
 
+def after_final(events: DataFrame) -> DataFrame:
+    """Corrections of executions that arrive three days after they happened: busts of every 13th
+    order's fills."""
+    number = F.substring("customer_order_id", 4, 20).cast("long")
+    return events.where((F.col("event_type") == "FILL") & (number % 13 == 0)).withColumns({
+        "event_id": F.concat(F.lit("BS3-"), F.col("event_id")), "event_type": F.lit("BUST"),
+        "exec_price": F.lit(None).cast("double"),
+        "ts_ingest": F.col("ts_event") + 3 * DAY_MS,
+        "kafka_timestamp": F.timestamp_millis(F.col("ts_event") + 3 * DAY_MS),
+        "is_late": F.lit(True)})
+
+
 def messages(events: DataFrame) -> DataFrame:
     """The log as it lies in a topic: JSON payload, key and envelope."""
     return events.select(

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.operators.events import encode_json
+from orderloom.operators.quality import snapshot_exceptions
 from orderloom.session import cut_lineage
 from orderloom.sources.tables import read_if_there, read_snapshot_table, write_snapshot_table
 
@@ -40,7 +41,38 @@ def batch_path(path, batch_id):
     return f"{path.rstrip('/')}/batch_id={batch_id}"
 
 
-def snapshot_batch_writer(root: str, checks, name="lifecycle", publish=None):
+def merge_exceptions(snapshots: DataFrame, path: str) -> None:
+    """Keeps a table of exceptions by id, each OPEN or RESOLVED, up to date with a batch of changed
+    snapshots.
+
+    What the rules find in the batch is open. What the table holds open for an order-day of the
+    batch and they no longer find, is resolved; if it comes back, it is open again. Only the days
+    that the batch names are read and written. A repeated batch leaves the same table.
+    """
+    spark, key = snapshots.sparkSession, [ORDER, "trade_date"]
+    staged = cut_lineage(snapshots, "exceptions")
+    days = [r[0] for r in staged.select("trade_date").distinct().collect()]
+    if not days:
+        return
+    found = snapshot_exceptions(staged, keep=("day",)).withColumnRenamed(
+        "day", "trade_date").withColumn("state", F.lit("OPEN"))
+    if read_if_there(spark, path) is not None:
+        old = read_snapshot_table(spark, path).where(F.col("trade_date").isin(days)).select(
+            *found.columns)
+        gone = old.join(found.select("exception_id"), "exception_id", "left_anti")
+        touched = staged.select(*key, F.lit(True).alias("touched"))
+        found = found.unionByName(gone.join(touched, key, "left").withColumn(
+            "state", F.when(F.col("touched"), "RESOLVED").otherwise(F.col("state")))
+            .drop("touched"))
+    write_snapshot_table(cut_lineage(found, "exceptions"), path, ("trade_date",))
+
+
+def read_exceptions(spark: SparkSession, path: str, state="OPEN") -> DataFrame:
+    """The exceptions in that state, in the table that `merge_exceptions` keeps."""
+    return read_snapshot_table(spark, path).where(F.col("state") == state)
+
+
+def snapshot_batch_writer(root: str, checks, name="lifecycle", publish=None, exceptions_table=None):
     """What `write_snapshots` does with each batch: `(frame, batch id) -> None`."""
     lifecycles, exceptions = f"{root.rstrip('/')}/{name}", f"{root.rstrip('/')}/exceptions"
 
@@ -53,6 +85,8 @@ def snapshot_batch_writer(root: str, checks, name="lifecycle", publish=None):
         if publish is not None:
             publish(written, name)
             publish(found, "exceptions")
+        if exceptions_table is not None:
+            merge_exceptions(written, exceptions_table)
 
     return write_batch
 
@@ -87,17 +121,18 @@ def to_table(path: str, partition_by=("trade_date", "symbol")):
 
 
 def write_snapshots(snapshots: DataFrame, root: str, checks, trigger=None, name="lifecycle",
-                    publish=None):
+                    publish=None, exceptions_table=None):
     """Update mode: each batch writes the changed snapshots and the exceptions in them.
 
     The exceptions are found in the files just written, so the stateful plan runs once
     and nothing needs to stay cached. A repeated batch overwrites its own folders.
     `checks` maps snapshots to exceptions; `publish(df, kind)`, if given, also receives
-    both frames, for instance to send them to a broker.
+    both frames, for instance to send them to a broker. `exceptions_table` is the path of a table
+    by exception id, which tells open ones from resolved ones (`merge_exceptions`).
     """
     return _start(
         snapshots.writeStream.queryName(name)
-        .foreachBatch(snapshot_batch_writer(root, checks, name, publish))
+        .foreachBatch(snapshot_batch_writer(root, checks, name, publish, exceptions_table))
         .option("checkpointLocation", checkpoint_path(root, name)).outputMode("update"),
         trigger)
 

@@ -30,13 +30,15 @@ def _bag(columns, rows):
 
 
 def differences(con, sql, df):
-    """None if equal, else a short account of what differs."""
+    """None if equal and not empty, else a short account of what differs."""
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     expected = _bag(names, result.fetchall())
     found = _bag(df.columns, [tuple(r) for r in df.collect()])
+    if not expected and not found:
+        return "no rows on either side: the comparison proves nothing"
     if expected == found:
         return None
     return (f"{sum(found.values())} rows, expected {sum(expected.values())}; "

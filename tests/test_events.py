@@ -4,10 +4,11 @@ import random
 from conftest import BASE_MS, event
 from pyspark.sql import functions as F
 
-from orderloom.operators.events import (decode_events, dedup_events, encode_json, late_events,
-                                        quarantine, tag_late)
+from orderloom.operators.events import (decodable, decode_events, dedup_events, encode_json,
+                                        late_events, quarantine, tag_late, with_lateness)
 from orderloom.operators.lifecycle import lifecycle_snapshot
 from orderloom.schema import EVENT_FIELDS, MESSAGE_SCHEMA
+from orderloom.sources.event_log import read_event_stream, read_messages
 
 
 def messages(spark, payloads):
@@ -84,3 +85,27 @@ def test_reject_reason_is_decoded(spark):
         "timestamp", F.timestamp_millis("ms"))
     (row,) = decode_events(messages, EVENT_SCHEMA_WITH_REJECT).collect()
     assert (row.event_type, row.reject_reason) == ("REJECT", "closed")
+
+
+def test_a_message_is_parsed_once(spark, tmp_path, capsys):
+    """However many checks and fields follow, the plan holds one parser, in batch and stream."""
+    path = str(tmp_path / "topic")
+    messages(spark, [json.dumps(event("NEW", 7))]).write.parquet(path)
+
+    def parsers():
+        plan = capsys.readouterr().out.lower()
+        assert "generate" in plan
+        return plan.count("from_json") + plan.count("jsontostructs")
+
+    events = decodable(tag_late(decode_events(read_messages(spark, path))))
+    capsys.readouterr()
+    lifecycle_snapshot(dedup_events(events)).explain()
+    assert parsers() == 1
+
+    stream = decodable(with_lateness(read_event_stream(spark, "parquet", path)))
+    query = stream.writeStream.format("noop").trigger(availableNow=True).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).start()
+    query.awaitTermination()
+    capsys.readouterr()
+    query.explain()
+    assert parsers() == 1

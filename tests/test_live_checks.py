@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from test_streaming import NOW, Topic
 
 from orderloom.operators import quality as dq
-from orderloom.operators.events import dedup_events, late_events, tag_late, with_lateness
+from orderloom.operators.events import (dedup_events, dedup_stream, late_events, tag_late,
+                                        with_lateness)
 from orderloom.operators.lifecycle import lifecycle_snapshot
 from orderloom.sources.tables import read_snapshot_table, write_snapshot_table
 from orderloom.streaming import corrections, pipeline, sinks
@@ -184,3 +185,56 @@ def test_the_pipeline_can_run_both(spark, topic, root, published):
 def test_arrival_tags(topic):
     topic.send(late(1, "FILL"), order(1)[0])
     assert sorted(r.is_late for r in tag_late(topic.batch()).collect()) == [False, True]
+
+
+# --- exceptions by id, finalisation -------------------------------------------------------
+
+def test_an_undone_violation_is_resolved(spark, topic, root):
+    table = f"{root}/open"
+
+    def run():
+        sinks.write_snapshots(
+            lifecycle_snapshot(dedup_stream(with_lateness(topic.stream())), 1), root,
+            dq.snapshot_exceptions, NOW, exceptions_table=table).awaitTermination()
+
+    def held(state):
+        return sorted((r.customer_order_id, r.exception_type)
+                      for r in sinks.read_exceptions(spark, table, state).collect())
+
+    topic.send(*order(1), {**order(1)[3], "event_id": "again", "exec_id": "Y1"}, *order(2),
+               {**order(2)[3], "event_id": "again2", "exec_id": "Y2"})
+    run()
+    assert held("OPEN") == [("O1", "OVERFILL"), ("O2", "OVERFILL")]
+    bust = {**order(1, 1000)[3], "event_id": "bust", "event_type": "BUST", "exec_id": "Y1"}
+    topic.send(bust)
+    run()
+    assert held("OPEN") == [("O2", "OVERFILL")] and held("RESOLVED") == [("O1", "OVERFILL")]
+    batch = dq.snapshot_exceptions(lifecycle_snapshot(dedup_events(topic.batch()), 1))
+    assert [r.exception_id for r in batch.collect()] == [
+        r.exception_id for r in sinks.read_exceptions(spark, table).collect()]
+    topic.send({**bust, "event_id": "fill", "event_type": "FILL", "ts_event": bust["ts_event"] + 1})
+    run()
+    assert held("OPEN") == [("O1", "OVERFILL"), ("O2", "OVERFILL")] and held("RESOLVED") == []
+
+
+def test_a_repeated_batch_leaves_the_same_exceptions(spark, topic, root):
+    topic.send(*order(1), {**order(1)[3], "event_id": "again", "exec_id": "Y1"})
+    snapshots = lifecycle_snapshot(dedup_events(topic.batch()), 1)
+    for _ in range(2):
+        sinks.merge_exceptions(snapshots, f"{root}/open")
+    assert sinks.read_exceptions(spark, f"{root}/open").count() == 1
+
+
+def test_a_day_is_final_once_the_watermark_has_passed_it(spark, topic, root):
+    def run():
+        pipeline.start_finalization(dedup_stream(with_lateness(topic.stream())), root, 1,
+                                    trigger=NOW).awaitTermination()
+        return sorted(r[0] for r in spark.read.parquet(f"{root}/finalized").select(
+            F.get_json_object("value", "$.customer_order_id")).collect())
+
+    topic.send(*order(1), *order(2))
+    assert run() == []
+    topic.send(*order(3, 24 * HOUR))  # the next day, after a restart from the checkpoint
+    assert run() == ["O1", "O2"]
+    topic.send(*order(4, 48 * HOUR))
+    assert run() == ["O1", "O2", "O3"]
