@@ -61,9 +61,9 @@ def tokens(text: str | None, shingle=SHINGLE, seed=SEED) -> np.ndarray:
     if len(words) < shingle:
         joined = b" ".join(words)
         return np.array([xxhash.xxh64_intdigest(joined, seed + 1)] if words else [], np.uint64)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     count = len(words) - shingle + 1
-    mixed = np.zeros(count, np.uint64)
+    mixed = np.full(count, seed, np.uint64)
     for i in range(shingle):
         mixed = (mixed ^ hashes[i:i + count]) * _MIX[i % len(_MIX)]
         mixed ^= mixed >> np.uint64(29)
