@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 
 from orderloom.llm.graph import components
 from orderloom.llm.text import parts, reachable
-from orderloom.session import cut_lineage
+from orderloom.session import cut_lineage, delete_folder, work_folder
 
 SHINGLE = 3
 PERCENT = 90
@@ -145,6 +145,27 @@ def _bucket(values):
     return (values >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
+class _Scratch:
+    """Tables in the shared folder that are deleted as soon as nothing reads them any more."""
+
+    def __init__(self, spark):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = work_folder(self.spark, name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def empty(self, but=()):
+        """Deletes all tables but those of `but` (numbers from the end)."""
+        last = [self.paths[-i] for i in but]
+        for path in self.paths:
+            if path not in last:
+                delete_folder(self.spark, path)
+        self.paths = last
+
+
 def _read(docs: DataFrame, shingle, seed) -> DataFrame:
     """(key, n, set, check, sketch) of every row, and (bucket, hits) of every task."""
     sketch = [f"p{i}" for i in range(SKETCH)]
@@ -215,31 +236,31 @@ def _frequencies(read: DataFrame):
     return counts, float(((counts - total / BUCKETS) ** 2).sum()) / total
 
 
-def _members(index: DataFrame, classes: DataFrame) -> DataFrame:
+def _members(index: DataFrame, classes: DataFrame, scratch) -> DataFrame:
     """(token, set, at, n, sketch) of the tokens that two sets or more have."""
     shared = index.groupBy("token").agg(F.min("set").alias("a"), F.max("set").alias("b")).where(
         "a < b").select("token")
-    met = index.join(cut_lineage(shared, "jaccard-shared"), "token", "left_semi").distinct()
+    met = index.join(scratch.keep(shared, "jaccard-shared"), "token", "left_semi").distinct()
     return met.join(classes.drop("least", "clash"), "set")
 
 
-def _lists(members: DataFrame, roots: DataFrame, degree: DataFrame, centers: int):
+def _lists(members: DataFrame, roots: DataFrame, degree: DataFrame, centers: int, scratch):
     """(members of the lists that hold unconnected sets, their centers): of each list the `centers`
     sets with the most links so far."""
     known = members.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     apart = known.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where(
         "a < b").select("token")
-    left = cut_lineage(known.join(apart, "token", "left_semi").join(degree, "set", "left")
-                       .fillna(0, ["links"]), "jaccard-lists")
+    left = scratch.keep(known.join(apart, "token", "left_semi").join(degree, "set", "left")
+                        .fillna(0, ["links"]), "jaccard-lists")
     first = Window.partitionBy("token").orderBy(F.desc("links"), F.xxhash64("token", "set"), "set")
     chosen = left.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= centers)
-    return left, cut_lineage(chosen.drop("rank", "links"), "jaccard-centers")
+    return left, scratch.keep(chosen.drop("rank", "links"), "jaccard-centers")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle, seed) -> DataFrame:
     """(set, tokens) of the sets in `pairs`, and of a few others.
 
-    Texts are read again, not shuffled. A filter of `FILTER_BITS` bits tells each task which keys
+    Texts are read again, not shuffled; both sides of a pair share one exchange of these sets. A filter of `FILTER_BITS` bits tells each task which keys
     are asked for; a key it lets through in error costs its text's hashing.
     """
     asked = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "set",
@@ -261,8 +282,8 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle, seed)
                      pa.array([v.view(np.int64) for v in found], pa.list_(pa.int64()))],
                     names=["set", "tokens"])
 
-    return cut_lineage(docs.select(_bit("key").alias("bit"), "text").mapInArrow(
-        again, "`set` long, tokens array<long>").dropDuplicates(["set"]), "jaccard-sets")
+    return docs.select(_bit("key").alias("bit"), "text").mapInArrow(
+        again, "`set` long, tokens array<long>").dropDuplicates(["set"])
 
 
 def _bit(key):
@@ -290,8 +311,10 @@ def linked_sets(docs: DataFrame, classes: DataFrame, counts, met, percent=PERCEN
         small = classes.where(F.col("n") <= largest_partner(LARGEST_LIGHT, percent)).groupBy(
             "n").count().collect()
         boundary = choose_boundary({r.n: r["count"] for r in small}, met, percent)
-    index = cut_lineage(_index(docs, counts, boundary, percent, shingle, seed), "jaccard-index")
-    members = cut_lineage(_members(index, classes), "jaccard-members")
+    scratch = _Scratch(docs.sparkSession)
+    index = scratch.keep(_index(docs, counts, boundary, percent, shingle, seed), "jaccard-index")
+    members = scratch.keep(_members(index, classes, scratch), "jaccard-members")
+    scratch.empty(but=[1])
 
     columns, sketch = members.columns, [f"p{i}" for i in range(SKETCH)]
     spark, centers = docs.sparkSession, CENTERS
@@ -300,7 +323,7 @@ def linked_sets(docs: DataFrame, classes: DataFrame, counts, met, percent=PERCEN
     while True:
         degree = links.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").agg(
             F.count("*").alias("links"))
-        left, chosen = _lists(members, roots, degree, centers)
+        left, chosen = _lists(members, roots, degree, centers, scratch)
         center = chosen.select("token", *[F.col(c).alias(f"c_{c}")
                                           for c in ("set", "at", "n", "root", *sketch)])
         # what lies before the first token in common is not shared
@@ -311,12 +334,12 @@ def linked_sets(docs: DataFrame, classes: DataFrame, counts, met, percent=PERCEN
             (F.col("root") != F.col("c_root")) & ((100 + percent) * overlap >= percent * both)
             & (2 * percent * both <= (100 + percent) * (both - apart))).select(
             F.least("set", "c_set").alias("a"), F.greatest("set", "c_set").alias("b")).distinct()
-        pairs = cut_lineage(pairs, "jaccard-pairs")
+        pairs = scratch.keep(pairs, "jaccard-pairs")
         found = cut_lineage(_linked(pairs, _sets(docs, classes, pairs, shingle, seed), percent),
                             "jaccard-links")
-        members = cut_lineage(left.join(chosen.select("token", "set"), ["token", "set"],
-                                        "left_anti").select(*columns),
-                              "jaccard-members")
+        members = scratch.keep(left.join(chosen.select("token", "set"), ["token", "set"],
+                                         "left_anti").select(*columns), "jaccard-members")
+        scratch.empty(but=[1])
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = components(links).withColumnRenamed("node", "set")
