@@ -656,7 +656,7 @@ ORACLES = {
         ORDER BY duration_seconds DESC, customer_order_id, trade_date"""),
     "lifecycle_lookup": sql(
         "SELECT * FROM snap WHERE symbol = 'SYM7' AND status = 'FILLED'"),
-    "lifecycle_lookup_day": sql("SELECT * FROM snap WHERE trade_date = '1995-06-01'"),
+    "lifecycle_lookup_day": sql("SELECT * FROM snap WHERE trade_date = '1995-06-02'"),
     "lifecycle_page": sql("""SELECT * FROM snap WHERE status = 'PARTIALLY_FILLED'
         AND (customer_order_id > 'CO-2'
           OR (customer_order_id = 'CO-2' AND trade_date > '1995-01-01'))

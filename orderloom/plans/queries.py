@@ -472,7 +472,7 @@ def lifecycle_lookup(w):
 
 @query
 def lifecycle_lookup_day(w):
-    return _flat_snapshot(rp.lifecycle_lookup(w.snapshot_table(), trade_date="1995-06-01"))
+    return _flat_snapshot(rp.lifecycle_lookup(w.snapshot_table(), trade_date="1995-06-02"))
 
 
 @query
