@@ -37,6 +37,7 @@ def test_against_brute_force(rng):
         found = repetition.Repeats(texts)
         for i, words in enumerate(texts):
             assert found.longest_of_each()[i] == _longest(words)
+            assert found.in_windows(3)[i] == len(_windows(words, 3))
             for least in (1, 3, 5):
                 assert found.covered(least)[i] == len(_windows(words, least))
             assert {m[1:] for m in found.maximal(2) if m[0] == i} == _maximal(words, 2)
@@ -85,3 +86,20 @@ def test_covered_share_decides_alone(spark, docs, tmp_path):
 def test_repeats_as_rows(docs):
     found = repetition.maximal_repeats(docs([(1, "x a b c y a b c z"), (2, None)]), least=2)
     assert [tuple(r) for r in found.collect()] == [(1, 3, 2, 1, "a b c")]
+
+
+def test_nested_and_long_repeats():
+    found = repetition.Repeats([["a"] * 300_000, ["b", "c"] * 1_000, []])
+    assert found.covered(8).tolist() == [300_000, 2_000, 0]
+    assert found.longest_of_each().tolist() == [299_999, 1_998, 0]
+    assert len(repetition.Repeats([["a"] * 50]).maximal(8)) == 42
+
+
+def test_pieces_of_a_long_text(monkeypatch):
+    text = "one  two\u00a0three\n" * 50
+    whole = list(repetition.words_of(text))
+    monkeypatch.setattr(repetition, "PIECE", 3)
+    assert list(repetition.words_of(text)) == whole == ["one", "two\u00a0three"] * 50
+    assert list(repetition.words_of(None)) == []
+    assert repetition.Repeats([whole]).covered(8).tolist() == [100]
+    assert repetition.word_chars(text) == sum(map(len, whole))
