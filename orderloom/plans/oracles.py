@@ -657,6 +657,7 @@ ORACLES = {
     "lifecycle_lookup": sql(
         "SELECT * FROM snap WHERE symbol = 'SYM7' AND status = 'FILLED'"),
     "lifecycle_lookup_day": sql("SELECT * FROM snap WHERE trade_date = '1995-06-02'"),
+    "lifecycle_lookup_order": sql("SELECT * FROM snap WHERE customer_order_id = 'CO-33'"),
     "lifecycle_page": sql("""SELECT * FROM snap WHERE status = 'PARTIALLY_FILLED'
         AND (customer_order_id > 'CO-2'
           OR (customer_order_id = 'CO-2' AND trade_date > '1995-01-01'))
@@ -668,6 +669,11 @@ ORACLES = {
     "enrich_customer": sql("""SELECT customer_order_id, trade_date, account_id, status,
         c_name AS customer_name, c_mktsegment AS segment, c_nationkey AS nation_key
         FROM snap LEFT JOIN customer ON account_id = 'A' || c_custkey"""),
+    "enrich_customer_stream": sql("""SELECT event_id, "partition", "offset", customer_order_id,
+        account_id, c_name AS customer_name, c_mktsegment || ' v' ||
+          ((ts_ingest - lo) // ((hi - lo) // 3 + 1)) AS segment, c_nationkey AS nation_key
+        FROM raw CROSS JOIN (SELECT min(ts_ingest) AS lo, max(ts_ingest) AS hi FROM raw)
+        LEFT JOIN customer ON account_id = 'A' || c_custkey WHERE event_type = 'NEW'"""),
     "write_snapshot_table": sql("SELECT * FROM snap"),
     "write_snapshots": sql("SELECT * FROM snap"),
     "finalized_lifecycles": sql(f"""SELECT *, true AS is_finalized FROM snap

@@ -4,6 +4,8 @@ Structs are flattened, arrays joined to text and doubles rounded, so that a resu
 compared with SQL by value.
 """
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from orderloom.operators import events as ev
@@ -12,11 +14,11 @@ from orderloom.operators import linkage as lk
 from orderloom.operators import quality as dq
 from orderloom.operators import reconcile as rc
 from orderloom.operators import reports as rp
-from orderloom.plans.workspace import AS_OF_MS, SNAPSHOT_MS, Workspace
+from orderloom.plans.workspace import AS_OF_MS, INDEX_SLOTS, SNAPSHOT_MS, Workspace
 from orderloom.schema import AUDIT_FIELDS, EVENT_FIELDS, EXCEPTION_FIELDS
 from orderloom.sources import derived, tables
 from orderloom.sources.event_log import read_event_stream, read_message_stream
-from orderloom.streaming import corrections, pipeline, progress, sinks
+from orderloom.streaming import corrections, enrichment, pipeline, progress, sinks
 
 ORDER = "customer_order_id"
 DELAY = "2 minutes"
@@ -475,6 +477,13 @@ def lifecycle_lookup_day(w):
     return _flat_snapshot(rp.lifecycle_lookup(w.snapshot_table(), trade_date="1995-06-02"))
 
 
+@query
+def lifecycle_lookup_order(w):
+    """By order id, through the index."""
+    return _flat_snapshot(tables.find(
+        w.snapshot_table(), w.order_index(), "CO-33", ["trade_month"], slots=INDEX_SLOTS))
+
+
 @query
 def lifecycle_page(w):
     return _flat_snapshot(rp.lifecycle_page(
@@ -604,6 +613,25 @@ def lifecycle_multi_day_stream(w):
     return _flat_multi_day(lc.merge_sessions(sinks.read_batches(w.spark, f"{root}/orders")))
 
 
+@query
+def enrich_customer_stream(w):
+    """New orders of a growing topic with the reference data valid when they were processed: the
+    accounts change before each of three stretches of arrival time."""
+    root, accounts = w.fresh_folder("stream"), w.fresh_folder("accounts")
+    base, version = derived.customer_accounts(w.spark, w.sf_dir), itertools.count()
+
+    def run(path):
+        base.withColumn("segment", F.concat("segment", F.lit(f" v{next(version)}"))).write.mode(
+            "overwrite").parquet(accounts)
+        created = read_event_stream(w.spark, "parquet", path).where("event_type = 'NEW'").select(
+            "event_id", "partition", "offset", ORDER, "account_id")
+        return enrichment.start_enrichment(
+            created, lambda spark: spark.read.schema(base.schema).parquet(accounts), root, NOW)
+
+    _as_it_arrives(w, run)
+    return sinks.read_batches(w.spark, f"{root}/enriched")
+
+
 def _measured(w):
     """The streamed links, followed by a progress log."""
     root = w.fresh_folder("stream")

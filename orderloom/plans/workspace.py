@@ -16,10 +16,16 @@ from orderloom.operators.quality import all_exceptions
 from orderloom.session import prepare, work_folder
 from orderloom.sources import derived
 from orderloom.sources.event_log import read_messages
-from orderloom.sources.tables import read_snapshot_table, with_month, write_snapshot_table
+from orderloom.sources.tables import (
+    read_snapshot_table,
+    with_month,
+    write_lookup_index,
+    write_snapshot_table,
+)
 
 SNAPSHOT_MS = 1_000_000_000_000   # fixed snapshot and audit time, so results repeat
 AS_OF_MS = 946_684_800_000        # 2000-01-01, the "now" of checks and retention
+INDEX_SLOTS = 64
 
 _written = {}
 
@@ -102,6 +108,15 @@ class Workspace:
     def snapshot_table(self) -> DataFrame:
         return self._monthly("snapshot_table", self.snapshots)
 
+    def order_index(self) -> str:
+        """Folder of the index from orders to the months of the snapshot table that hold them."""
+        key = self._key("order_index")
+        if key not in _written:
+            path = work_folder(self.spark, "order_index")
+            write_lookup_index(self.snapshot_table(), path, ["trade_month"], slots=INDEX_SLOTS)
+            _written[key] = path, None
+        return _written[key][0]
+
     def monthly_log(self) -> DataFrame:
         """The raw log with trade_date, by month."""
         return self._monthly("monthly_log", lambda: self.event_log().withColumn(

@@ -81,3 +81,44 @@ def test_lookups_prune_a_table_by_month(spark, log, tmp_path):
         assert found.count() == 1
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(trade_month" in plan
+
+
+def _scans(df):
+    """(files, rows) that the scans of a collected frame read."""
+    df.collect()
+    nodes, found = [df._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            read = node.metrics()
+            found.append((read.apply("numFiles").value(), read.apply("numOutputRows").value()))
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+    return found
+
+
+def test_lookup_by_order_reads_its_partitions_only(spark, log, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "TABLE_BLOCK", 1 << 10)
+    both = snaps(log, range(1, 400))
+    for day in range(1, 6):
+        both = both.unionByName(snaps(log, range(1, 400 - day), day=day))
+    table, index = f"{tmp_path}/table", f"{tmp_path}/index"
+    tables.write_snapshot_table(both, table, ("trade_date",))
+    read = tables.read_snapshot_table(spark, table)
+    tables.write_lookup_index(read, index, ["trade_date"], slots=4)
+    for order in ("O000", "O007", "O396", "O398", "none", ""):
+        found = tables.find(read, index, order, ["trade_date"], slots=4)
+        rows = read.where(read.customer_order_id == order)
+        assert sorted(map(str, found.collect())) == sorted(map(str, rows.collect()))
+    assert rows.count() == 0
+    (files, rows), = _scans(tables.find(read, index, "O398", ["trade_date"], slots=4))
+    assert files == 1 and rows < 399  # of six days, and not the whole file
+    assert tables.find(read, index, "O396", ["trade_date"], slots=4).count() == 3
+
+
+def test_index_of_a_table_without_rows(spark, log, tmp_path):
+    empty, index = snaps(log, [1]).where("false"), f"{tmp_path}/index"
+    tables.write_lookup_index(empty, index, ["trade_date"])
+    assert tables.find(empty, index, "O000", ["trade_date"]).count() == 0
