@@ -35,8 +35,12 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(calls, results) of plain conversations (conv_id, turn, role, text).
 
     A user's turn calls `ask`, a system's turn `instruct`; an assistant's turn is the result of
-    the turn before it. A call depends on the call before it: two turns back, or one if it is
-    the second turn. Turns of other roles are ignored.
+    the turn before it. The call before a call is two turns back, or one if it is the second
+    turn. Of two such calls the longer one depends on the shorter one: a follow-up in fewer words
+    (characters; a null text has none) says what the request before it is about. If they are
+    equally long, or the call before is missing, the later one depends on the earlier. So calls
+    depend on later as well as on earlier ones, never in a cycle. Turns of other roles are
+    ignored; of repeated turns the shortest text counts here.
     """
     def name(turn):
         return F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"),
@@ -45,13 +49,24 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     turn, role = F.col("turn"), F.col("role")
     body = F.when(role == "system", F.to_json(F.struct(F.col("text").alias("instruction"), turn))
                   ).otherwise(F.to_json(F.struct(F.col("text").alias("prompt"), turn)))
-    calls = turns.where(role.isin("user", "system")).select(
+    calling = turns.where(role.isin("user", "system"))
+    sizes = calling.groupBy("conv_id", "turn").agg(
+        F.min(F.coalesce(F.length("text"), F.lit(0))).alias("size"))
+    before = F.when(turn == 1, 0).when(turn > 0, turn - 2)
+    pairs = sizes.withColumn("before", before).where("before IS NOT NULL").join(
+        sizes.select("conv_id", turn.alias("before"), F.col("size").alias("size_before")),
+        ["conv_id", "before"], "left")
+    waits = F.col("size") < F.col("size_before")
+    needs = pairs.select(
+        "conv_id", F.when(waits, F.col("before")).otherwise(turn).alias("turn"),
+        name(F.when(waits, turn).otherwise(F.col("before"))).alias("needs")).groupBy(
+        "conv_id", "turn").agg(F.sort_array(F.collect_set("needs")).alias("depends_on"))
+    calls = calling.join(needs, ["conv_id", "turn"], "left").select(
         F.col("conv_id").cast("string").alias("conversation"), name(turn).alias("call_id"),
         turn.cast("long").alias("place"),
         F.when(role == "system", "instruct").otherwise("ask").alias("name"),
         body.alias("arguments"),
-        F.when(turn > 0, F.array(name(F.when(turn == 1, 0).otherwise(turn - 2))))
-        .otherwise(F.array().cast("array<string>")).alias("depends_on"))
+        F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on"))
     results = turns.where(role == "assistant").select(
         F.col("conv_id").cast("string").alias("conversation"), name(turn - 1).alias("call_id"),
         turn.cast("long").alias("place"), F.col("text").alias("content"))
@@ -146,20 +161,22 @@ def _delays(state: DataFrame, edges: DataFrame) -> DataFrame:
             state.join(pushed, ID, "left").select(
                 *ID, "place", (F.col("cyclic") | F.coalesce("behind", F.lit(False)))
                 .alias("cyclic"),
+                F.struct("order_at", "order_step", "cyclic").alias("was"),
                 F.greatest(own, F.coalesce("after", own)).alias("due")),
             "chat-order")
         limit = moved.groupBy("conversation").agg(
             F.count_if(F.col("due.order_step") > 0).alias("delayed"))
-        before = state
         state = cut_lineage(
             moved.join(limit, "conversation").select(
-                *ID, "place", F.when(F.col("cyclic"), F.col("place")).otherwise(
+                *ID, "place", "was", F.when(F.col("cyclic"), F.col("place")).otherwise(
                     F.col("due.order_at")).alias("order_at"),
                 F.when(F.col("cyclic"), 0).otherwise(F.col("due.order_step"))
                 .alias("order_step"),
                 (F.col("cyclic") | (F.col("due.order_step") > F.col("delayed"))).alias("cyclic")),
             "chat-order")
-        if state.exceptAll(before).isEmpty():
+        moving = state.where("struct(order_at, order_step, cyclic) != was")
+        state = state.drop("was")
+        if moving.isEmpty():
             return state.where("cyclic OR order_step > 0")
 
 

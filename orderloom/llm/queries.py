@@ -72,18 +72,26 @@ def op9_tool_call_links(spark, sf_dir):
 
 _CALL = "'call_' || conv_id || '_' || "
 ORACLES["op9_tool_call_links"] = f"""
-WITH calls AS (SELECT conv_id::VARCHAR AS conversation, {_CALL} turn AS call_id, turn,
+WITH RECURSIVE calls AS (SELECT conv_id::VARCHAR AS conversation, {_CALL} turn AS call_id, turn,
     role, text, CASE WHEN turn = 1 THEN {_CALL} 0 WHEN turn > 1 THEN {_CALL} (turn - 2) END
         AS needs FROM conversations WHERE role IN ('user', 'system')),
 results AS (SELECT conv_id::VARCHAR AS conversation, {_CALL} (turn - 1) AS call_id, turn, text
     FROM conversations WHERE role = 'assistant'),
+pairs AS (SELECT c.call_id AS later, c.needs AS earlier, p.call_id IS NOT NULL AS known,
+    coalesce(length(c.text), 0) < coalesce(length(p.text), 0) AND known AS waits
+  FROM calls c LEFT JOIN calls p ON p.call_id = c.needs WHERE c.needs IS NOT NULL),
+edges AS (SELECT CASE WHEN waits THEN earlier ELSE later END AS holder,
+    CASE WHEN waits THEN later ELSE earlier END AS need FROM pairs WHERE known),
+behind AS (SELECT call_id AS holder, call_id AS need, 0 AS steps FROM calls
+  UNION ALL SELECT b.holder, e.need, steps + 1 FROM behind b JOIN edges e ON e.holder = b.need),
+due AS (SELECT holder AS call_id, max({{'place': turn, 'step': steps}}) AS due
+  FROM behind JOIN calls ON call_id = need GROUP BY holder),
 rows AS (SELECT coalesce(c.conversation, r.conversation) AS conversation,
     coalesce(c.call_id, r.call_id) AS call_id, coalesce(c.turn, r.turn) AS place,
     CASE WHEN c.call_id IS NULL THEN 'orphan_result' WHEN r.call_id IS NULL THEN 'unanswered'
         ELSE 'linked' END AS status,
     (r.call_id IS NOT NULL)::BIGINT AS answers,
-    (c.needs IS NOT NULL AND c.needs NOT IN (SELECT call_id FROM calls))::BIGINT
-        AS unknown_needs,
+    (SELECT count(*) FROM pairs WHERE later = c.call_id AND NOT known) AS unknown_needs,
     CASE WHEN c.call_id IS NULL THEN 'no call has this identifier'
         WHEN c.text = '' THEN CASE c.role WHEN 'system' THEN 'arguments.instruction: too short'
             ELSE 'arguments.prompt: too short' END ELSE '' END AS errors,
@@ -95,8 +103,9 @@ rows AS (SELECT coalesce(c.conversation, r.conversation) AS conversation,
             'id', c.call_id, 'name', 'ask', 'result', r.text) END::VARCHAR AS message
   FROM calls c FULL JOIN results r USING (call_id))
 SELECT conversation, row_number() OVER (PARTITION BY conversation
-        ORDER BY place, call_id, status) - 1 AS position, call_id, status, answers,
-    unknown_needs, false AS cyclic, errors = '' AS valid, errors, message FROM rows"""
+        ORDER BY coalesce(due.place, place), coalesce(due.step, 0), place, call_id, status) - 1 AS position, call_id, status, answers,
+    unknown_needs, false AS cyclic, errors = '' AS valid, errors, message
+FROM rows LEFT JOIN due USING (call_id)"""
 
 
 @query

@@ -80,3 +80,19 @@ def test_one_long_conversation_is_numbered_over_many_tasks(spark):
     rows = _run(spark, [_call(f"i{n}", n, [f"i{n - 1}"] if n else []) for n in range(500)], [])
     assert [r.call_id for r in rows] == [f"i{n}" for n in range(500)]
     assert [r.position for r in rows] == list(range(500))
+
+
+def test_derived_calls_wait_for_shorter_follow_ups(spark):
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "aaaa"), (1, 1, "assistant", "r"), (1, 2, "user", "bbb"),
+         (1, 4, "user", "cc"), (1, 6, "user", "dd"), (1, 6, "user", "dd"), (1, 8, "user", None),
+         (2, 0, "system", "s"), (2, 1, "user", "uu"), (2, 5, "user", ""), (2, 7, "tool", "t"),
+         (None, 0, "user", "x")], "conv_id int, turn int, role string, text string")
+    found = chat.format_calls(*chat.conversation_calls(turns), chat.TURN_TOOLS).collect()
+    rows = sorted((r for r in found if r.conversation), key=lambda r: (r.conversation, r.position))
+    assert [r.call_id[5:] for r in rows if r.status != "repeated_id"] == [
+        "1_4", "1_2", "1_0", "1_8", "1_6", "2_0", "2_1", "2_5"]
+    assert [r.status for r in rows].count("repeated_id") == 1
+    assert not any(r.cyclic for r in rows)
+    assert {r.call_id: r.unknown_needs for r in rows}["call_2_5"] == 1
+    assert [r.status for r in found if r.conversation is None] == ["no_id"]
