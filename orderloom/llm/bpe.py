@@ -3,20 +3,26 @@
 A rolling hash cuts a text where its content says so, so passages that documents share fall into
 the same chunks. A Python worker keeps the encoded chunks that it used last, up to a number of
 bytes, and encodes a chunk again that is no longer among them. Where two chunks meet, the tokens
-near the cut may differ from those of the whole text: there the stretch between the nearest
-positions at which any encoding must break is encoded again.
-
-Such a position lies before a space that follows a printing ASCII character or one of U+00C0 to
-U+00FF. The pre-tokenizer's pattern never puts a space behind such a character into one piece, and
-no special token holds a space, so whatever stands on the two sides, encodings of both agree there
-with that of the whole.
+near the cut may differ from those of the whole text, and the join is repaired in two steps.
+
+The pattern that splits a text into pieces breaks it between some kinds of characters whatever
+stands around them, in any script: before white space behind anything else, and where letters,
+numbers and other signs meet, but for what an apostrophe begins. Encodings of both sides agree at
+such a position with that of the whole. So only the stretch between the two nearest to a cut is
+repaired. If it is one piece, it is repaired by tokens: more and more tokens on both sides of the
+cut are encoded again, until the new ones agree with those that stay. Tokens agree if the bytes of
+each two neighbours are encoded as just these two; a piece whose neighbours all agree is encoded
+as the whole would be. Other stretches (white space, apostrophes, special tokens, characters
+younger than Unicode 3.2, whose kind libraries may see differently) are encoded again whole.
 """
 
+import bisect
 import collections
 import functools
 import hashlib
 import json
 import re
+import unicodedata
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -62,6 +68,9 @@ class Codec:
         for token, i in special.items():
             self.bytes_of[i] = token.encode()
         self._lengths = [len(b) for b in self.bytes_of]
+        self._agree = functools.lru_cache(1 << 16)(
+            lambda left, right: self._piece(self.bytes_of[left] + self.bytes_of[right])
+            == [left, right])
         self._chunks, self._chunk_bytes = collections.OrderedDict(), 0
 
     def plain(self, data: bytes) -> np.ndarray:
@@ -100,11 +109,13 @@ class Codec:
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of the whole text, chunk by chunk; none for null."""
-        data = (text or "").encode()
+        text = text or ""
+        data = text.encode()
         cuts = chunk_ends(data)
         if len(cuts) < 2:
             return self.chunk(data)
-        safe = safe_positions(np.frombuffer(data, dtype=np.uint8))
+        kinds, starts = character_kinds(text)
+        safe = safe_positions(kinds, starts, self._special_spans(text))
         windows = repair_windows(cuts[:-1], safe, len(data))
         out, done, start, window = [], 0, 0, 0  # done: bytes of the text in `out`
         for end in cuts:
@@ -112,7 +123,7 @@ class Codec:
             while done < end:
                 if window < len(windows) and windows[window][0] <= done:
                     low, high = windows[window]
-                    out.append(self.plain(data[low:high]))
+                    out.append(self._repaired(data, low, high, cuts, kinds, starts))
                     done, window = high, window + 1
                     continue
                 stop = min(end, windows[window][0]) if window < len(windows) else end
@@ -124,6 +135,57 @@ class Codec:
             start = end
         return np.concatenate(out)
 
+    def _special_spans(self, text: str):
+        """Characters of special tokens: first, and one behind the last."""
+        return [m.span() for token in self._special for m in re.finditer(re.escape(token), text)]
+
+    def _piece(self, data: bytes) -> list[int]:
+        return self._one_piece()._encode_single_piece(data)
+
+    def _repaired(self, data: bytes, low: int, high: int, cuts, kinds, starts) -> np.ndarray:
+        """Ids of a stretch with cuts in it: from those of its chunks if it is one piece, behind
+        white space or not, else encoded again."""
+        first, last = np.searchsorted(starts, (low, high))
+        signs = first + int(np.argmax(kinds[first:last] != WHITE))
+        at = bisect.bisect_right(cuts, low)  # the first cut behind `low`
+        kind = kinds[signs]
+        if (kind not in (LETTER, NUMBER, OTHER) or cuts[at] <= starts[signs]
+                or (kinds[signs:last] != kind).any()):
+            return self.plain(data[low:high])
+        begin = int(starts[signs])
+        begin -= begin > low and data[begin - 1] == 32  # a space before signs is in their piece
+        ids, place = [], low
+        while place < high:
+            start, end = cuts[at - 1] if at else 0, cuts[at]
+            part = self.chunk(data[start:end])
+            part = part[self._count(part, place - start):]
+            if end > high:
+                part = part[:len(part) - self._count(part[::-1], end - high)]
+            if ids:
+                self._join(ids, before, part.tolist())
+            else:
+                before, ids = self._count(part, begin - low), part.tolist()
+            place, at = end, at + 1
+        return np.array(ids, dtype=np.uint32)
+
+    def _join(self, left: list[int], before: int, right: list[int]) -> None:
+        """Appends to `left` the ids of the rest of a piece, after encoding as many ids on both
+        sides again as it takes. The first `before` ids of `left` are of earlier pieces."""
+        if self._agree(left[-1], right[0]):
+            left += right
+            return
+        take, give = 1, 1
+        while True:
+            kept = max(len(left) - take, before)
+            taken = [*left[kept:], *right[:give]]
+            middle = self._piece(b"".join(map(self.bytes_of.__getitem__, taken)))
+            fits_left = kept == before or self._agree(left[kept - 1], middle[0])
+            fits_right = give >= len(right) or self._agree(middle[-1], right[give])
+            if fits_left and fits_right:
+                left[kept:] = [*middle, *right[give:]]
+                return
+            take, give = take * (1 + (not fits_left)), give * (1 + (not fits_right))
+
     def _count(self, ids: np.ndarray, size: int) -> int:
         """How many of the first ids hold the first `size` bytes, a break between ids."""
         near = 0
@@ -149,15 +211,58 @@ def _printable():
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-_PRINTING = np.array([32 < b < 127 for b in range(256)])
 _GEAR = np.random.default_rng(8).integers(0, 2**32, 256, dtype=np.uint32)
 
+#: Kinds of characters, as the pattern tells them apart.
+UNSURE, WHITE, LETTER, NUMBER, OTHER, APOSTROPHE = range(6)
+_KNOWN = 0x30000  # code points from here on are unsure
+_LETTERS, _NUMBERS = ("Lu", "Ll", "Lt", "Lm", "Lo"), ("Nd", "Nl", "No")
+
 
-def safe_positions(codes: np.ndarray) -> np.ndarray:
-    """Where any encoding breaks: before a space behind a character that is no white space."""
-    behind = _PRINTING[codes[:-1]]
-    behind[1:] |= (codes[:-2] == 0xC3) & (codes[1:-1] >= 0x80)
-    return np.flatnonzero((codes[1:] == 32) & behind) + 1
+def _kind(code: int) -> int:
+    sign = chr(code)
+    if sign == "'":
+        return APOSTROPHE
+    if _WHITE.match(sign):
+        return WHITE
+    old, new = unicodedata.ucd_3_2_0.category(sign), unicodedata.category(sign)
+    if old in ("Cn", "Cs") or 0x1C <= code <= 0x1F:
+        return UNSURE
+    kinds = {LETTER if c in _LETTERS else NUMBER if c in _NUMBERS else UNSURE if c[0] == "Z"
+             else OTHER for c in (old, new)}
+    return kinds.pop() if len(kinds) == 1 else UNSURE
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    return np.array([*map(_kind, range(_KNOWN)), UNSURE], dtype=np.uint8)
+
+
+def character_kinds(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each character, and the byte at which it begins, with the number of bytes
+    last."""
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    starts = np.zeros(len(codes) + 1, dtype=np.int64)
+    np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF).astype(np.int8) + (codes > 0xFFFF),
+              out=starts[1:])
+    return _kinds()[np.minimum(codes, _KNOWN)], starts
+
+
+_BREAKS = np.zeros((6, 6), dtype=bool)
+_BREAKS[[LETTER, NUMBER, OTHER, APOSTROPHE], WHITE] = True
+_BREAKS[LETTER, [NUMBER, OTHER, APOSTROPHE]] = True
+_BREAKS[NUMBER, [LETTER, OTHER, APOSTROPHE]] = True
+_BREAKS[OTHER, [LETTER, NUMBER]] = True
+_BREAKS[APOSTROPHE, NUMBER] = True
+
+
+def safe_positions(kinds: np.ndarray, starts: np.ndarray, special=()) -> np.ndarray:
+    """Bytes before which any encoding breaks, by the characters on both sides; none within the
+    spans `special` of special tokens."""
+    breaks = _BREAKS[kinds[:-1], kinds[1:]]
+    for low, high in special:
+        breaks[low:high - 1] = False
+    return starts[np.flatnonzero(breaks) + 1]
 
 
 def chunk_ends(data: bytes, bits: int = CUT_BITS) -> list[int]:
