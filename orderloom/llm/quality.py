@@ -1,7 +1,9 @@
 """Quality classification by random indexing.
 
-Every word has a sparse random vector with a few entries of +1 and -1, drawn from its hash. The
-context vector of a word is the sum of the random vectors of its neighbours, over all documents.
+Words fall into a fixed number of buckets by hash. Every bucket has a sparse random vector with a
+few entries of +1 and -1, and a context vector: the sum of the random vectors of its words'
+neighbours, over all documents. So words of one bucket share a vector: the table of vectors keeps
+its size, however many words the documents hold, at the price of mixing rare words with others.
 A text is described by the mean and spread of its words' context vectors; a network with one
 hidden layer turns that into a probability, calibrated by a temperature.
 """
@@ -28,7 +30,9 @@ HIDDEN = 32
 THRESHOLD = 0.3
 
 _BLOCK = 256  # buckets per row while sums travel
+_SLICE = 1 << 17  # words, or bytes of a text, that are handled at a time
 _TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+|[^a-z0-9\x80-\xff\x00-\x20]+")
+_GAP = re.compile(rb"[\x00-\x20]")
 _rng = np.random.default_rng(3)
 _PLACES = np.argsort(_rng.random((BUCKETS, DIMENSIONS)), axis=1)[:, :ENTRIES].astype(np.int32)
 _SIGNS = _rng.choice([-1.0, 1.0], (BUCKETS, ENTRIES))
@@ -36,25 +40,35 @@ _SIGNS = _rng.choice([-1.0, 1.0], (BUCKETS, ENTRIES))
 
 def tokens(text: str | None) -> np.ndarray:
     """Buckets of a text's words and runs of signs, letters A-Z in lower case."""
-    found = _TOKEN.findall((text or "").encode().lower())
-    return np.fromiter(map(zlib.crc32, found), np.uint32, len(found)).astype(np.int32) % BUCKETS
+    data, found, low = (text or "").encode().lower(), [np.empty(0, np.int32)], 0
+    while low < len(data):  # slices end where no word goes on
+        gap = _GAP.search(data, low + _SLICE)
+        high = gap.start() if gap else len(data)
+        part = _TOKEN.findall(data, low, high)
+        found.append(np.fromiter(map(zlib.crc32, part), np.uint32, len(part)).astype(np.int32)
+                     % BUCKETS)
+        low = high
+    return np.concatenate(found)
 
 
 def context_sums(texts) -> np.ndarray:
     """Per bucket: the sum of its neighbours' random vectors, and its number of words."""
     sums = np.zeros(BUCKETS * DIMENSIONS)
-    counts = np.zeros(BUCKETS)
     pieces = [tokens(t) for t in texts]
     ids = np.concatenate([np.empty(0, np.int32), *pieces])
-    counts += np.bincount(ids, minlength=BUCKETS)
-    owner = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
-    for distance in range(1, REACH + 1):
-        near = owner[distance:] == owner[:-distance]
-        left, right = ids[:-distance][near], ids[distance:][near]
-        for word, other in ((left, right), (right, left)):
-            for entry in range(ENTRIES):
-                sums += np.bincount(word * DIMENSIONS + _PLACES[other, entry],
-                                    _SIGNS[other, entry], BUCKETS * DIMENSIONS)
+    counts = np.bincount(ids, minlength=BUCKETS)
+    owner = np.repeat(np.arange(len(pieces), dtype=np.int32), [len(p) for p in pieces])
+    for low in range(0, len(ids), _SLICE):
+        high = low + _SLICE
+        for distance in range(1, REACH + 1):
+            right = ids[low + distance:high + distance]
+            left = ids[low:low + len(right)]
+            near = owner[low:low + len(right)] == owner[low + distance:high + distance]
+            left, right = left[near], right[near]
+            for word, other in ((left, right), (right, left)):
+                for entry in range(ENTRIES):
+                    sums += np.bincount(word * DIMENSIONS + _PLACES[other, entry],
+                                        _SIGNS[other, entry], BUCKETS * DIMENSIONS)
     return np.column_stack([sums.reshape(BUCKETS, DIMENSIONS), counts]).astype(np.int64)
 
 
@@ -116,14 +130,19 @@ def pooled(vectors: np.ndarray, texts) -> np.ndarray:
     for row, text in zip(out, texts, strict=True):
         ids = tokens(text)
         if len(ids):
-            found = vectors[ids]
-            mean = found.mean(axis=0)
+            count = np.bincount(ids, minlength=BUCKETS)
+            used = np.flatnonzero(count)
+            share = (count[used] / len(ids))[:, None]
+            mean = (vectors[used] * share).sum(axis=0)
             row[:DIMENSIONS] = mean
-            row[DIMENSIONS:-4] = found.std(axis=0)
-            even = found / length[ids][:, None]
-            alike = np.einsum("ij,ij->i", even[1:], even[:-1]).sum() / len(ids)
-            row[-4:] = (np.linalg.norm(mean), np.log1p(len(ids)) / 10,
-                        len(np.unique(ids)) / len(ids), alike)
+            row[DIMENSIONS:-4] = np.sqrt(((vectors[used] - mean) ** 2 * share).sum(axis=0))
+            alike = 0.0
+            for low in range(0, len(ids) - 1, _SLICE):
+                part = ids[low:low + _SLICE + 1]
+                even = vectors[part] / length[part][:, None]
+                alike += np.einsum("ij,ij->i", even[1:], even[:-1]).sum(dtype=float)
+            row[-4:] = (np.linalg.norm(mean), np.log1p(len(ids)) / 10, len(used) / len(ids),
+                        alike / len(ids))
     return out
 
 

@@ -1,9 +1,14 @@
+import pathlib
+import subprocess
+import sys
+
 import numpy as np
 
 from orderloom.llm import quality
 from orderloom.llm.text import held_out, table
 
 SF = "/root/testdata/sf0.1"
+ROOT = pathlib.Path(__file__).parents[2]
 
 
 def test_separates_held_out_rows(spark):
@@ -37,6 +42,38 @@ def test_context_sums_by_hand():
     assert sums[ids[0], -1] == 2 and sums[ids[1], -1] == 1
 
 
+def test_slices_do_not_matter(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 50, n)) for n in (0, 1, 2, 700)]
+    vectors = rng.normal(size=(quality.BUCKETS, quality.DIMENSIONS)).astype(np.float32)
+    whole = quality.context_sums(texts), quality.pooled(vectors, texts)
+    ids = quality.tokens(texts[-1])
+    found = vectors[ids]
+    even = found / np.linalg.norm(found, axis=1, keepdims=True)
+    assert np.allclose(whole[1][-1], [
+        *found.mean(axis=0), *found.std(axis=0), np.linalg.norm(found.mean(axis=0)),
+        np.log1p(700) / 10, len(set(ids)) / 700, (even[1:] * even[:-1]).sum() / 700], atol=1e-5)
+    for size in (1, 3, 64):
+        monkeypatch.setattr(quality, "_SLICE", size)
+        assert np.array_equal(quality.context_sums(texts), whole[0])
+        assert np.allclose(quality.pooled(vectors, texts), whole[1], atol=1e-6)
+
+
+def test_memory_of_a_very_long_text():
+    code = """
+import resource
+import numpy as np
+from orderloom.llm import quality
+text = "w1 x2 y33 " * 2_700_000
+vectors = np.ones((quality.BUCKETS, quality.DIMENSIONS), np.float32)
+quality.context_sums([text]), quality.pooled(vectors, [text])
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    used = subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True,
+                          capture_output=True, text=True).stdout
+    assert int(used) < 800
+
+
 def test_one_label_gives_no_network(spark, docs):
     rows = docs([(i, "some text") for i in range(9)])
     labels = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, quality int")
