@@ -1,10 +1,10 @@
 """Language-model scores: the likelihood of texts over all their segmentations into pieces.
 
-A text is a row of words and an end. A word's probability is the sum over all ways to build it:
-from pieces of an existing subword vocabulary, or, if training texts hold it, as one piece more.
-The pieces start with the vocabulary's own scores, and expected counts over the training words
-refine them; the weight of whole words is the one that makes each training word likeliest when
-that one occurrence of it is left out.
+A text is a row of words and an end. A word's probability is the sum over all ways to build it
+from pieces of an existing subword vocabulary. The pieces start with the vocabulary's own scores,
+and expected counts over the training words refine them. A second score takes a word that training
+texts hold as one piece more; the weight of such whole words is the one that makes each training
+word likeliest when that one occurrence of it is left out.
 
 No task and no driver holds the corpus's words. Texts are packed into chunks of bounded size;
 a chunk asks for the counts and likelihoods of its different words, a join on the word answers,
@@ -181,7 +181,8 @@ def whole_word_weight(spelled: DataFrame, n_words: int) -> float:
 def score(df: DataFrame, learn, vocabulary: str, key="doc_id", text="text",
           chunk_bytes=CHUNK_BYTES, rounds=ROUNDS) -> DataFrame:
     """`key` and the scores of every whole text: n_tokens (words and one end), n_known (those in
-    training texts), train_tokens, base_score (smoothed counts of whole words) and score, both
+    training texts), train_tokens, base_score (smoothed counts of whole words), score (the sum over
+    all segmentations into pieces) and word_score (the same with whole words as further pieces),
     logarithms to base 10.
 
     `learn` is a boolean column: which rows to learn from. `vocabulary` is the path of a
@@ -210,7 +211,7 @@ def score(df: DataFrame, learn, vocabulary: str, key="doc_id", text="text",
 
 _SCORES = [StructField("n_tokens", LongType()), StructField("n_known", LongType()),
            StructField("train_tokens", LongType()), StructField("base_score", DoubleType()),
-           StructField("score", DoubleType())]
+           StructField("score", DoubleType()), StructField("word_score", DoubleType())]
 
 
 def _scoring(n_words, n_ends, n_different, weight, key_field):
@@ -225,21 +226,24 @@ def _scoring(n_words, n_ends, n_different, weight, key_field):
         place = {w: i for i, w in enumerate(answers.column("word").to_pylist())}
         c = answers.column("c").to_numpy().astype(float)
         base = np.log10((c + 0.1) / floor)
+        spelled = answers.column("log_p").to_numpy()
         with np.errstate(divide="ignore"):
             whole = np.log(weight * c / max(n_words, 1))
-            full = np.logaddexp(whole, np.log(1 - weight) + answers.column("log_p").to_numpy())
-        full = (full + math.log1p(-p_end)) / math.log(10)
+            mixed = np.logaddexp(whole, np.log(1 - weight) + spelled)
+        spelled, mixed = ((x + math.log1p(-p_end)) / math.log(10) for x in (spelled, mixed))
         base_end, end = math.log10((n_ends + 0.1) / floor), math.log10(p_end)
         known = c > 0
         rows = []
         for words in _texts(chunk.column("sizes")[0].as_py(), chunk.column("body")[0].as_py()):
             at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
             rows.append((len(words) + 1, int(known[at].sum()) + (n_ends > 0), n_all,
-                         float(base[at].sum()) + base_end, float(full[at].sum()) + end))
+                         float(base[at].sum()) + base_end, float(spelled[at].sum()) + end,
+                         float(mixed[at].sum()) + end))
         keys = chunk.column("keys")[0].as_py()
         return pa.Table.from_arrays(
             [pa.array(keys, schema.field(0).type),
-             *(pa.array([r[i] for r in rows], schema.field(i + 1).type) for i in range(5))],
+             *(pa.array([r[i] for r in rows], schema.field(i + 1).type)
+               for i in range(len(_SCORES)))],
             schema=schema)
 
     return run

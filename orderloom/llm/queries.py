@@ -121,7 +121,7 @@ def op6_subword_lattice(spark, sf_dir):
     scored = lm.score(table(spark, sf_dir, "documents"), ~held_out("doc_id", 10),
                       public_tokenizers.path("piece_bpe_32k.model"))
     return scored.select("doc_id", held_out("doc_id", 10).alias("held_out"), "n_tokens",
-                         "n_known", "train_tokens", "base_score", "score")
+                         "n_known", "train_tokens", "base_score", "score", "word_score")
 
 
 @query

@@ -81,7 +81,39 @@ def test_base_score_and_counts(spark):
         assert (r.n_tokens, r.train_tokens) == (len(texts[r.doc_id]), n)
         assert r.n_known == sum(w in counts for w in texts[r.doc_id])
         assert math.isclose(r.base_score, base, rel_tol=1e-9)
-        assert -1e9 < r.score < 0
+        assert -1e9 < r.score < 0 and -1e9 < r.word_score < 0
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_score_by_enumeration(spark, docs, vocabulary, rounds):
+    """Document scores against all segmentations of every word, spelled out."""
+    texts = {1: "the nation the", 2: "then  On\tnote", 3: "", 4: None, 5: "née x", 6: "the zoo"}
+    learned = [1, 2, 3]
+    words = {i: (t or "").encode().lower().split() for i, t in texts.items()}
+    pieces, log_p = vocabulary
+    chance = dict(zip(pieces, np.exp(log_p), strict=True))
+
+    def ways(word):
+        return [(w, math.prod(map(chance.get, w))) for w in _segmentations(b" " + word, chance)]
+
+    for _ in range(rounds):
+        counts = dict.fromkeys(pieces, 0.1)
+        for word in (w for i in learned for w in words[i]):
+            found = ways(word)
+            for way, p in found:
+                for piece in way:
+                    counts[piece] += p / sum(q for _, q in found)
+        total = sum(counts.values())
+        chance = {piece: n / total for piece, n in counts.items()}
+    n = sum(len(words[i]) + 1 for i in learned)
+    p_end = (len(learned) + 0.1) / (n + 0.2)
+    rows = docs(list(texts.items()))
+    found = lm.score(rows, rows["doc_id"].isin(learned), PATH, chunk_bytes=12, rounds=rounds)
+    got = {r.doc_id: r.score for r in found.collect()}
+    for i, of_text in words.items():
+        expected = math.log10(p_end) + sum(
+            math.log10((1 - p_end) * sum(p for _, p in ways(w))) for w in of_text)
+        assert math.isclose(got[i], expected, rel_tol=1e-9)
 
 
 def test_words_of_training_texts_are_likelier(spark, docs):
