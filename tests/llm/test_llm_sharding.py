@@ -1,8 +1,11 @@
+import zlib
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from orderloom.llm import sharding
+from orderloom.llm.queries import op10_virtual_slots
+from orderloom.llm.text import table
 from orderloom.session import work_folder
 
 
@@ -59,3 +62,21 @@ def test_versions_and_fewer_shards(spark):
 def test_native_plan(docs):
     plan = sharding.sized_records(docs([(1, "a")])).select(F.col("virtual_slot"))
     assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_query_over_the_table(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: (r.text or "").encode()
+             for r in table(spark, sf, "documents").select("doc_id", "text").collect()}
+    rows = op10_virtual_slots(spark, sf).collect()
+    assert {r.doc_id: (r.size, r.text_crc32, r.law, r.grown_shard) for r in rows} == {
+        i: (len(t) + 1, zlib.crc32(t), "bytes", None) for i, t in texts.items()}
+    assert len(rows) == len(texts)
+    loads = Counter()
+    for r in rows:
+        loads[r.shard] += r.size
+    assert set(loads) == set(range(16))
+    assert max(loads.values()) - min(loads.values()) < 0.01 * max(loads.values())
+    for shard in loads:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(
+            range(sum(r.shard == shard for r in rows)))

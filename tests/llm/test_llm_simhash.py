@@ -3,6 +3,10 @@ import pytest
 import xxhash
 
 from orderloom.llm import graph, simhash
+from orderloom.llm.queries import op7_simhash_bk_trees
+from orderloom.llm.text import table
+
+SF = "/root/testdata/sf0.01"
 
 
 def test_fingerprint_bit_by_bit():
@@ -98,3 +102,22 @@ def test_other_columns_keep_their_types(spark):
                      "DATE '2026-01-02' AS day, 1.50BD AS price, array(1, 2) AS list")
     (kept,) = simhash.keep_one(rows).collect()
     assert kept == rows.first()
+
+
+def test_query_against_all_pairs(spark):
+    texts = dict(map(tuple, table(spark, SF, "documents").select("doc_id", "text").collect()))
+    prints = {}
+    for i, text in texts.items():
+        words = (text or "").encode().lower().split()
+        hashes = [xxhash.xxh64_intdigest(b" ".join(words[j:j + 3]), 42)
+                  for j in range(max(1, len(words) - 2))] if words else []
+        prints[i] = sum(1 << b for b in range(64)
+                        if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    ids = np.array(sorted(texts))
+    codes = np.array([prints[i] for i in ids.tolist()], dtype=np.uint64)
+    smallest = ids[_labels(codes, 2)]
+    found = {r.doc_id: (r.fingerprint, r.component_id)
+             for r in op7_simhash_bk_trees(spark, SF).collect()}
+    assert found == {i: (f"{prints[i]:016x}", least)
+                     for i, least in zip(ids.tolist(), smallest.tolist(), strict=True)}
+    assert len(set(smallest.tolist())) < len(ids)
