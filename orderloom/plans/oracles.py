@@ -646,6 +646,9 @@ ORACLES = {
         quantile_cont(ts_last_event - ts_first_event, 0.5) AS p50_ms,
         quantile_cont(ts_last_event - ts_first_event, 0.95) AS p95_ms,
         round(quantile_cont(ts_last_event - ts_first_event, 0.99), 6) AS p99_ms FROM snap"""),
+    "sketched_percentiles": sql("""SELECT substr(trade_date, 1, 4) AS year,
+        count(*) AS lifecycles, round(avg(ts_last_event - ts_first_event), 6) AS mean_ms,
+        true AS p50_holds, true AS p95_holds, true AS p99_holds FROM snap GROUP BY 1"""),
     "mean_latency": sql("""SELECT round(avg(ts_snapshot - ts_first_event), 3)
         AS mean_latency_ms FROM snap"""),
     "overfilled": sql("""SELECT customer_order_id, total_qty, filled_qty FROM snap

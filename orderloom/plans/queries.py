@@ -14,8 +14,10 @@ from orderloom.operators import linkage as lk
 from orderloom.operators import quality as dq
 from orderloom.operators import reconcile as rc
 from orderloom.operators import reports as rp
+from orderloom.operators import sketches as sk
 from orderloom.plans.workspace import AS_OF_MS, INDEX_SLOTS, SNAPSHOT_MS, Workspace
 from orderloom.schema import AUDIT_FIELDS, EVENT_FIELDS, EXCEPTION_FIELDS
+from orderloom.session import cut_lineage, work_folder
 from orderloom.sources import derived, tables
 from orderloom.sources.event_log import read_event_stream, read_message_stream
 from orderloom.streaming import corrections, enrichment, pipeline, progress, sinks
@@ -451,6 +453,21 @@ def completion_percentiles(w):
                         for c in ("mean_ms", "p50_ms", "p95_ms", "p99_ms")])
 
 
+@query
+def sketched_percentiles(w):
+    """Years from the stored sketches of their days, and whether the ranks hold the bound."""
+    path = f"{work_folder(w.spark, 'sketches')}/days"
+    tables.write_snapshot_table(tables.with_month(sk.day_sketches(w.snapshots())), path,
+                                ("trade_month",))
+    year = F.substring("trade_date", 1, 4).alias("year")
+    found = cut_lineage(sk.sketched_percentiles(sk.merge_sketches(
+        w.spark.read.parquet(path), year)), "sketched")
+    errors = sk.rank_errors(w.snapshots().select("*", year), found, "year")
+    return found.select("year", "lifecycles", F.round("mean_ms", 6).alias("mean_ms")).join(
+        errors.select("year", *[(F.col(f"{p}_ms") <= sk.rank_bound()).alias(f"{p}_holds")
+                                for p in ("p50", "p95", "p99")]), "year")
+
+
 @query
 def mean_latency(w):
     return rp.mean_latency(w.snapshots()).select(
