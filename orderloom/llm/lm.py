@@ -38,6 +38,8 @@ from orderloom.session import cut_lineage
 
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 16 << 20
+#: Chunks that a task scores on average, one after the other, where there are many.
+TASK_CHUNKS = 4
 #: Rounds in which expected counts refine the pieces' probabilities.
 ROUNDS = 2
 #: Candidates for the weight of whole words.
@@ -204,6 +206,9 @@ def score(df: DataFrame, learn, vocabulary: str, key="doc_id", text="text",
     weight = whole_word_weight(spelled, n_words)
     answers = asked.select("word", "chunk").join(spelled, "word").select(
         "chunk", "word", "c", "log_p")
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                -(-chunks.count() // TASK_CHUNKS))
+    chunks, answers = (side.repartition(tasks, "chunk") for side in (chunks, answers))
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _scoring(n_words, n_ends, n_different, weight, df.schema[key]),
         StructType([df.schema[key], *_SCORES]))

@@ -1,4 +1,5 @@
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -84,6 +85,15 @@ def test_base_score_and_counts(spark):
         assert -1e9 < r.score < 0 and -1e9 < r.word_score < 0
 
 
+def test_tasks_grow_with_the_chunks(spark):
+    docs = table(spark, SF, "documents")
+    found = lm.score(docs, ~held_out("doc_id", 10), PATH, chunk_bytes=1000, rounds=0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    tasks = {int(n) for n in re.findall(r"RepartitionByExpression \[chunk#\d+L\], (\d+)", plan)}
+    assert len(tasks) == 1 and tasks.pop() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found.count() == docs.count()
+
+
 @pytest.mark.parametrize("rounds", [0, 2])
 def test_score_by_enumeration(spark, docs, vocabulary, rounds):
     """Document scores against all segmentations of every word, spelled out."""
