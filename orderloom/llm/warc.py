@@ -111,10 +111,14 @@ def decide(pages: DataFrame, least=REVISIT_BYTES, key="page_id", payload="html")
 def train_dictionary(pages: DataFrame, records=SAMPLE_RECORDS, size=DICTIONARY_BYTES,
                      key="page_id", payload="html") -> bytes:
     """A dictionary from the records of the pages with the smallest hashes, of each at most
-    `SAMPLE_BYTES`; empty if they are too few or too small to train on."""
+    `SAMPLE_BYTES` from a place that its hash decides; empty if they are too few or too small to
+    train on."""
     body = F.coalesce(F.col(payload), F.lit(""))
+    places = F.greatest(F.octet_length(body) - SAMPLE_BYTES, F.lit(0)) + 1
+    place = F.pmod(F.xxhash64(F.xxhash64(body)), places).cast("int") + 1
     hashed = pages.select(F.xxhash64(body).alias("hash"), F.col(key).alias("page_id"), "url",
-                          F.substring(body.cast("binary"), 1, SAMPLE_BYTES).alias("body"))
+                          F.substring(body.cast("binary"), place, F.lit(SAMPLE_BYTES))
+                          .alias("body"))
     chosen = (smallest_hashes(hashed, records).groupBy("hash")
               .agg(F.min(F.struct("page_id", "url", "body")).alias("first"))
               .select("hash", "first.*").orderBy("hash").limit(records).collect())

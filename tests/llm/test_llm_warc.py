@@ -78,3 +78,11 @@ def test_damage_is_found():
     head = warc.SKIPPABLE.to_bytes(4, "little") + (0).to_bytes(4, "little")
     with pytest.raises(ValueError, match="inside a record"):
         list(warc.read_frames(io.BytesIO(head + frame[:-3])))
+
+
+def test_dictionary_sees_all_of_a_page(spark):
+    shared = "".join(f"<li class=footer-{i * 7919 % 997}>all pages end so</li>" for i in range(900))
+    rows = [(i, "u", "".join(hashlib.sha256(b"%d %d" % (i, j)).hexdigest() for j in range(400))
+             + shared) for i in range(120)]
+    assert len(rows[0][2]) > 3 * warc.SAMPLE_BYTES
+    assert b"all pages end so" in warc.train_dictionary(_pages(spark, rows))
