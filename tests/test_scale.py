@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import event
 from orderloom.operators import skew
 from orderloom.operators.events import dedup_events
+from orderloom.plans.workspace import Workspace
 from orderloom.session import SHUFFLE_PARTITIONS, FIRST_PARTITIONS, TASK_BYTES, prepare, size_for
 from orderloom.sources import derived
 
@@ -52,22 +53,54 @@ def test_session_follows_the_input(spark):
     assert spark.conf.get(SHUFFLE_PARTITIONS) == "4"  # the caller's stays as it was
 
 
-def test_log_in_so_many_tasks(spark, tmp_path):
+def write_tables(spark, folder, copies=1):
     spark.range(200).selectExpr(
-        "id", "id % 20", "substring('FOP', int(id % 3) + 1, 1)", "1d",
-        "timestamp_seconds(id * 9000)", "if(id % 5 = 0, '1-URGENT', '3-MEDIUM')").toDF(
-        *[c.split()[0] for c in ORDERS.split(",")]).write.parquet(str(tmp_path / "orders.parquet"))
+        "nullif(id, 199)", "id % 20", "substring('FOP', int(id % 3) + 1, 1)", "1d",
+        "timestamp_seconds(id * 9000)", "if(id % 5 = 0, '1-URGENT', '3-MEDIUM')",
+        f"explode(sequence(1, if(id % 9 = 0, {copies}, 1)))").drop("col").toDF(
+        *[c.split()[0] for c in ORDERS.split(",")]).write.parquet(f"{folder}/orders.parquet")
     spark.range(900).selectExpr(
-        "id % 210", "int(id % 4)", "double(id % 50)", "substring('RAN', int(id % 3) + 1, 1)",
-        "substring('OF', int(id % 2) + 1, 1)").toDF(
-        *[c.split()[0] for c in LINES.split(",")]).write.parquet(str(tmp_path / "lineitem.parquet"))
-    dealt = derived.event_log(spark, str(tmp_path), 7)
-    assert same(dealt, derived.event_log(spark, str(tmp_path)))
+        "nullif(id % 210, 209)", "nullif(int(id % 4), 3)", "double(id % 50)",
+        "substring('RAN', int(id % 3) + 1, 1)", "substring('OF', int(id % 2) + 1, 1)").toDF(
+        *[c.split()[0] for c in LINES.split(",")]).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_log_in_so_many_tasks(spark, tmp_path):
+    sf_dir = write_tables(spark, tmp_path)
+    dealt = derived.event_log(spark, sf_dir, 7)
+    assert same(dealt, derived.event_log(spark, sf_dir))
     dealt.write.parquet(str(tmp_path / "log"))
     files = spark.read.parquet(str(tmp_path / "log")).select(F.input_file_name()).distinct().count()
     assert files >= 7
 
 
+def test_every_order_has_one_total(spark, tmp_path):
+    """Repeated orders come once each; orders without lines and lines without orders do not."""
+    sf_dir = write_tables(spark, tmp_path, copies=2)
+    placed = derived.placed_lines(spark, sf_dir, 3)
+    lines, orders = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders"))
+    totals = lines.groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.sum("l_quantity").cast("long").alias("tq"))
+    assert same(placed.where("nth = 1").select("k", "tq"),
+                orders.select(F.col("o_orderkey").alias("k")).join(totals, "k"))
+    assert placed.count() == lines.select(
+        F.col("l_orderkey").alias("k"), "l_linenumber").distinct().join(
+        orders.select(F.col("o_orderkey").alias("k")), "k").count()
+
+
+def test_unique_events_stay_in_the_log(spark, tmp_path):
+    """Only events that may have a copy are written a second time."""
+    w = Workspace(spark, write_tables(spark, tmp_path, copies=2))
+    log, unique = w.event_log(), w.unique_events()
+    assert same(unique, dedup_events(log)) and unique.count() < log.count()
+    assert same(log, derived.event_log(w.spark, w.sf_dir))
+    copied = log.groupBy("event_id", "event_time").count().where("count > 1").count()
+    place = unique.groupBy(F.input_file_name().contains("/event_log-").alias("there")).count()
+    assert {r.there: r["count"] for r in place.collect()} == {
+        True: unique.count() - copied, False: copied}
+
+
 def test_running_totals_with_and_without_hot_keys(spark, monkeypatch):
     rows = spark.range(3_000).select(
         F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 50 > 0, F.concat(
