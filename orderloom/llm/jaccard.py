@@ -16,7 +16,8 @@ the others in it and then leave it; a list whose members are all connected alrea
 list of near-copies is done once one center links them, and a list of any length costs a row per
 member and center. Two bounds that never exclude a link leave out most other pairs: the largest overlap
 that the positions in the list allow, and the least difference that parity sketches show (every
-token in one set only flips one bit). The rest is decided by exact intersections.
+token in one set only flips one bit). What is left is held against longer sketches first, so that
+few sets are moved that do not link; the rest is decided by exact intersections.
 
 Shingles and sets stand as 64-bit hashes. Two different sets with one hash are found by a second
 hash and end the run with an error; another seed then helps.
@@ -45,6 +46,9 @@ BUCKETS = 1 << 16
 LARGEST_LIGHT = 40
 #: Longs of a set's parity sketch.
 SKETCH = 4
+#: Longs of the sketch that pairs are held against before their sets are moved: it bounds the
+#: difference well up to texts of about 20,000 words.
+LONG_SKETCH = 128
 #: Size of the filter that tells which texts to read again: half a megabyte.
 FILTER_BITS = 1 << 22
 #: Centers of a list in the first round, in the second, and the factor from then on.
@@ -74,9 +78,9 @@ def set_hash(values: np.ndarray, seed=SEED) -> int:
     return xxhash.xxh3_64_intdigest(values.tobytes(), seed) - (1 << 63)
 
 
-def parities(values: np.ndarray) -> np.ndarray:
-    """`SKETCH` longs with a bit for each of as many groups of tokens: whether its number is odd."""
-    bits = 64 * SKETCH
+def parities(values: np.ndarray, longs=SKETCH) -> np.ndarray:
+    """`longs` longs with a bit for each of as many groups of tokens: whether its number is odd."""
+    bits = 64 * longs
     odd = np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
@@ -257,12 +261,9 @@ def _lists(members: DataFrame, roots: DataFrame, degree: DataFrame, centers: int
     return left, scratch.keep(chosen.drop("rank", "links"), "jaccard-centers")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle, seed) -> DataFrame:
-    """(set, tokens) of the sets in `pairs`, and of a few others.
-
-    Texts are read again, not shuffled; both sides of a pair share one exchange of these sets. A filter of `FILTER_BITS` bits tells each task which keys
-    are asked for; a key it lets through in error costs its text's hashing.
-    """
+def _asked(classes: DataFrame, pairs: DataFrame) -> np.ndarray:
+    """The filter of `FILTER_BITS` bits that the keys of the sets in `pairs` pass, and a few
+    others."""
     asked = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "set",
                          "left_semi").select(_bit("least").alias("bit"))
     words = asked.groupBy(F.expr("bit div 64").alias("word")).agg(
@@ -270,7 +271,19 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle, seed)
     wanted = np.zeros(FILTER_BITS // 64, np.int64)
     for r in words:  # one per 64 bits at most
         wanted[r.word] = r.bits
-    wanted = np.unpackbits(wanted.view(np.uint8), bitorder="little").astype(bool)
+    return np.unpackbits(wanted.view(np.uint8), bitorder="little").astype(bool)
+
+
+def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle, seed,
+          sketched=False) -> DataFrame:
+    """(set, n, tokens) of the sets in `pairs`, and of a few others; or (set, n, sketch) with the
+    `LONG_SKETCH` longs of each.
+
+    Texts are read again, not shuffled; both sides of a pair share one exchange of these sets. A
+    filter tells each task which keys are asked for; a key it lets through in error costs its
+    text's hashing.
+    """
+    wanted, column = _asked(classes, pairs), "sketch" if sketched else "tokens"
 
     def again(batches):
         for batch in batches:
@@ -279,11 +292,30 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle, seed)
                 found = [tokens(t, shingle, seed) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_hash(v, seed) for v in found], pa.int64()),
-                     pa.array([v.view(np.int64) for v in found], pa.list_(pa.int64()))],
-                    names=["set", "tokens"])
+                     pa.array(list(map(len, found)), pa.int64()),
+                     pa.array([parities(v, LONG_SKETCH) if sketched else v.view(np.int64)
+                               for v in found], pa.list_(pa.int64()))],
+                    names=["set", "n", column])
 
     return docs.select(_bit("key").alias("bit"), "text").mapInArrow(
-        again, "`set` long, tokens array<long>").dropDuplicates(["set"])
+        again, f"`set` long, n long, {column} array<long>").dropDuplicates(["set"])
+
+
+def _near(pairs: DataFrame, sketches: DataFrame, percent) -> DataFrame:
+    """The pairs (a, b) but those whose long sketches show that they do not link.
+
+    Sketches are a fraction of a large set's size, so that most pairs are decided without moving
+    the sets.
+    """
+    def side(name):
+        return sketches.select(F.col("set").alias(name), F.col("n").alias(f"n_{name}"),
+                               F.col("sketch").alias(f"of_{name}"))
+
+    apart = F.aggregate(F.zip_with("of_a", "of_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                        F.lit(0), lambda total, bits: total + bits)
+    both = F.col("n_a") + F.col("n_b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(
+        2 * percent * both <= (100 + percent) * (both - apart)).select("a", "b")
 
 
 def _bit(key):
@@ -335,7 +367,9 @@ def linked_sets(docs: DataFrame, classes: DataFrame, counts, met, percent=PERCEN
             & (2 * percent * both <= (100 + percent) * (both - apart))).select(
             F.least("set", "c_set").alias("a"), F.greatest("set", "c_set").alias("b")).distinct()
         pairs = scratch.keep(pairs, "jaccard-pairs")
-        found = cut_lineage(_linked(pairs, _sets(docs, classes, pairs, shingle, seed), percent),
+        near = scratch.keep(_near(pairs, _sets(docs, classes, pairs, shingle, seed, sketched=True),
+                                  percent), "jaccard-near")
+        found = cut_lineage(_linked(near, _sets(docs, classes, near, shingle, seed), percent),
                             "jaccard-links")
         members = scratch.keep(left.join(chosen.select("token", "set"), ["token", "set"],
                                          "left_anti").select(*columns), "jaccard-members")

@@ -82,6 +82,22 @@ def test_variants_that_link_through_their_base_only(docs):
     assert found(jaccard.join(docs(rows))) == expected
 
 
+def test_few_large_sets_are_moved(docs, monkeypatch):
+    """Twenty texts share half of their 3000 words; only the two that link are intersected."""
+    shared = [f"p{i}" for i in range(1500)]
+    rows = [(i, " ".join([*shared, *(f"u{i}_{j}" for j in range(1500))])) for i in range(20)]
+    rows.append((20, rows[7][1].replace("u7_700 ", "other ")))
+    intersected, linked = [], jaccard._linked
+
+    def counted(pairs, *more):
+        intersected.append(pairs.count())
+        return linked(pairs, *more)
+
+    monkeypatch.setattr(jaccard, "_linked", counted)
+    assert found(jaccard.join(docs(rows))) == brute_force(rows)
+    assert sum(intersected) == 1
+
+
 def test_odd_rows(odd, none):
     rows = jaccard.join(odd).collect()
     assert len(rows) == odd.count()
