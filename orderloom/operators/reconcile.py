@@ -42,11 +42,12 @@ def recompute_affected(raw: DataFrame, late: DataFrame, snapshot_ms=None, hot=No
     """Fresh snapshots of the order-days that late events touch, from the whole event log.
 
     `raw` must hold the late events too; both may hold duplicates. A stored `trade_date` of the
-    log is used as it is, so that filters on it reach the partitions.
+    log is used as it is, so that filters on it reach the partitions. The log is read twice, so that
+    only events that may have a copy are moved to find the first of them.
     """
     affected = _dated(late).select(*DAY_KEY).distinct()
     touched = join_facts(_dated(raw), affected, DAY_KEY, "left_semi", hot).drop("trade_date")
-    return lifecycle_snapshot(dedup_events(touched), snapshot_ms)
+    return lifecycle_snapshot(dedup_events(touched, stored=True), snapshot_ms)
 
 
 def _dated(events: DataFrame) -> DataFrame:
