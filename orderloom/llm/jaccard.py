@@ -240,11 +240,13 @@ def _frequencies(read: DataFrame):
     return counts, float(((counts - total / BUCKETS) ** 2).sum()) / total
 
 
-def _members(index: DataFrame, classes: DataFrame, scratch) -> DataFrame:
-    """(token, set, at, n, sketch) of the tokens that two sets or more have."""
-    shared = index.groupBy("token").agg(F.min("set").alias("a"), F.max("set").alias("b")).where(
-        "a < b").select("token")
-    met = index.join(scratch.keep(shared, "jaccard-shared"), "token", "left_semi").distinct()
+def _members(index: DataFrame, classes: DataFrame) -> DataFrame:
+    """(token, set, at, n, sketch) of the tokens that two sets or more have. The index is by far the
+    largest table, and is moved once."""
+    of_token = Window.partitionBy("token")
+    met = index.select("*", F.min("set").over(of_token).alias("a"),
+                       F.max("set").over(of_token).alias("b")).where("a < b").select(
+        *index.columns).distinct()
     return met.join(classes.drop("least", "clash"), "set")
 
 
@@ -345,7 +347,7 @@ def linked_sets(docs: DataFrame, classes: DataFrame, counts, met, percent=PERCEN
         boundary = choose_boundary({r.n: r["count"] for r in small}, met, percent)
     scratch = _Scratch(docs.sparkSession)
     index = scratch.keep(_index(docs, counts, boundary, percent, shingle, seed), "jaccard-index")
-    members = scratch.keep(_members(index, classes, scratch), "jaccard-members")
+    members = scratch.keep(_members(index, classes), "jaccard-members")
     scratch.empty(but=[1])
 
     columns, sketch = members.columns, [f"p{i}" for i in range(SKETCH)]

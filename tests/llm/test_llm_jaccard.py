@@ -133,3 +133,18 @@ def test_tokens_of_long_texts(docs):
     text = " ".join(f"w{i}" for i in range(200_000))
     rows = [(1, text), (2, text + " end"), (3, "w1 w2 w3")]
     assert found(jaccard.join(docs(rows))) == [(1, 199_998, 1), (2, 199_999, 1), (3, 1, 3)]
+
+
+def test_the_index_is_moved_once(spark):
+    """Tokens of one set leave; equal rows of different tasks come once."""
+    index = spark.createDataFrame(
+        [(1, 10, 0), (1, 11, 2), (2, 10, 1), (3, 12, 0), (3, 12, 0), (1, 10, 0)],
+        "token long, `set` long, at int").repartition(3)
+    classes = spark.createDataFrame([(s, 5, s, False) for s in (10, 11, 12)],
+                                    "`set` long, n long, least long, clash boolean")
+    members = jaccard._members(index, classes)
+    assert sorted((r.token, r.set, r.at, r.n) for r in members.collect()) == [
+        (1, 10, 0, 5), (1, 11, 2, 5)]
+    plan = members._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("hashpartitioning(token#") == 1
