@@ -10,7 +10,7 @@ from orderloom.operators.events import (dedup_events, dedup_stream, late_events,
                                         with_lateness)
 from orderloom.operators.lifecycle import lifecycle_snapshot
 from orderloom.sources.tables import read_snapshot_table, write_snapshot_table
-from orderloom.streaming import corrections, pipeline, sinks
+from orderloom.streaming import corrections, live_checks, pipeline, sinks
 
 HOUR = 3_600_000
 
@@ -238,3 +238,11 @@ def test_a_day_is_final_once_the_watermark_has_passed_it(spark, topic, root):
     assert run() == ["O1", "O2"]
     topic.send(*order(4, 48 * HOUR))
     assert run() == ["O1", "O2", "O3"]
+
+
+def test_questions_hold_nothing_twice(spark, log):
+    """What `ref` or the time tells as well does not wait in the state."""
+    asked = live_checks.questions(log(order(1)))
+    assert not {"parent_firm_order_id", "route_id", "day"} & set(asked.columns)
+    assert {(r.kind, r.event_id) for r in asked.where("event_type = 'FILL'").collect()} == {
+        ("ROUTE", "FILL-1"), ("ACK", None), ("NEW", "FILL-1")}
