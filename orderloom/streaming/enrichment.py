@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.operators.reports import enrich_customer
+from orderloom.session import delete_folder, work_folder
 from orderloom.streaming.corrections import mark_done, steps_done
 from orderloom.streaming.sinks import batch_path, start_query
 
@@ -15,14 +16,17 @@ def enrichment_writer(reference: Callable[[SparkSession], DataFrame], root: str,
 
     def write_batch(batch: DataFrame, batch_id: int):
         spark, used = batch.sparkSession, batch_path(kept, batch_id)
-        known = reference(spark)
+        known, staged = reference(spark), work_folder(spark, "enrichment")
+        batch.write.parquet(staged)  # it is used twice, its messages are parsed once
+        rows = spark.read.schema(batch.schema).parquet(staged)
         if "kept" not in steps_done(spark, ledger, batch_id):
-            known.join(batch.select("account_id"), "account_id", "left_semi").write.mode(
+            known.join(rows.select("account_id"), "account_id", "left_semi").write.mode(
                 "overwrite").parquet(used)
             mark_done(spark, ledger, batch_id, "kept")
         values = spark.read.schema(known.schema).parquet(used)
-        enrich_customer(batch, values).write.mode("overwrite").parquet(
+        enrich_customer(rows, values).write.mode("overwrite").parquet(
             batch_path(output, batch_id))
+        delete_folder(spark, staged)
 
     return write_batch
 

@@ -38,3 +38,19 @@ def test_a_stream_reads_the_reference_anew(spark, tmp_path):
     found = sinks.read_batches(spark, f"{root}/enriched").orderBy(F.col("event_id"))
     assert [(r.event_id, r.segment) for r in found.collect()] == [
         (f"e{i}", f"v{i}") for i in range(3)]
+
+
+def test_messages_of_a_batch_are_parsed_once(spark, tmp_path):
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def parse(value):
+        parsed.add(1)
+        return value
+
+    rows = spark.createDataFrame([(f"e{i}", "A1", "O", i) for i in range(7)], ROWS)
+    enrichment.enrichment_writer(
+        lambda s: s.createDataFrame([("A1", "v")], "account_id string, segment string"),
+        str(tmp_path))(rows.withColumn("account_id", parse("account_id")), 0)
+    assert parsed.value == 7
+    assert sinks.read_batches(spark, f"{tmp_path}/enriched").where("segment = 'v'").count() == 7
