@@ -1,11 +1,16 @@
 """What keeps the work of large inputs in proportion: layout, partitions, rows moved."""
 
+from types import SimpleNamespace
+
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from conftest import event
+from orderloom.functions.columns import trade_date
 from orderloom.operators import skew
 from orderloom.operators.events import dedup_events
-from orderloom.plans.workspace import Workspace
+from orderloom.plans import queries, workspace
+from orderloom.plans.workspace import Workspace, write_topic
 from orderloom.session import SHUFFLE_PARTITIONS, FIRST_PARTITIONS, TASK_BYTES, prepare, size_for
 from orderloom.sources import derived
 
@@ -113,3 +118,45 @@ def test_running_totals_with_and_without_hot_keys(spark, monkeypatch):
     assert same(plain, skew.running(rows, "k", ["id"], totals, spread=True))
     monkeypatch.setattr(skew, "RUNNING_MIN_ROWS", 500)
     assert same(plain, skew.running(rows, "k", ["id"], totals))
+
+
+def test_tasks_share_a_file_of_the_topic(spark, tmp_path):
+    """A stream that takes one file at a time must not read it in one task."""
+    rows = spark.range(0, 60_000, 1, 3).selectExpr(
+        "string(id) AS key", "sha2(string(id), 512) AS value", "now() AS timestamp",
+        "0 AS partition", "id AS offset")
+    write_topic(rows, str(tmp_path / "topic"))
+    groups = [pq.ParquetFile(f).num_row_groups for f in (tmp_path / "topic").glob("*.parquet")]
+    assert len(groups) == 3 and min(groups) > 1
+
+
+def test_growing_topic_comes_from_the_log(spark, tmp_path):
+    """Every message is written once, in few files."""
+    w, seen = Workspace(spark, write_tables(spark, tmp_path)), []
+    ended = SimpleNamespace(awaitTermination=lambda: None)
+    queries._as_it_arrives(w, lambda path: seen.append((path, len(
+        spark.read.parquet(path).inputFiles()))) or ended)
+    assert w._key("topic") not in workspace._written
+    assert len(seen) == 3 and len({path for path, _ in seen}) == 1
+    assert seen[-1][1] <= 3 * workspace.TOPIC_FILES
+    timed = derived.messages(w.event_log()).where("timestamp IS NOT NULL")
+    assert same(spark.read.parquet(seen[-1][0]), timed) and not timed.isEmpty()
+
+
+def test_corrections_of_the_stream_read_the_log_where_it_lies(spark, tmp_path, monkeypatch):
+    w, used = Workspace(spark, write_tables(spark, tmp_path)), []
+    monkeypatch.setattr(queries, "_as_it_arrives", lambda w, run: run("none"))
+    monkeypatch.setattr(queries, "read_event_stream", lambda *args: w.decoded())
+    monkeypatch.setattr(queries.corrections, "start_corrections",
+                        lambda late, log, *args: used.append(log()))
+    queries._corrected(w)
+    assert w._key("monthly_log") not in workspace._written
+    days = used[0].select("customer_order_id", trade_date().alias("trade_date")).limit(5)
+    touched = used[0].withColumn("trade_date", trade_date()).join(
+        days.hint("shuffle_hash"), ["customer_order_id", "trade_date"], "left_semi")
+    assert "Bucketed: true" in touched._jdf.queryExecution().executedPlan().toString()
+
+
+def test_state_is_kept_compact(spark):
+    assert size_for(prepare(spark), 1000).conf.get(
+        "spark.sql.streaming.stateStore.compression.codec") == "zstd"
