@@ -106,6 +106,16 @@ def test_unique_events_stay_in_the_log(spark, tmp_path):
         True: unique.count() - copied, False: copied}
 
 
+def test_snapshot_table_lies_by_trading_day(spark, tmp_path):
+    w = Workspace(spark, write_tables(spark, tmp_path))
+    table = queries.write_snapshot_table(w)
+    days = {r.trade_date for r in w.snapshots().select("trade_date").distinct().collect()}
+    folders = {f.rsplit("/", 2)[1] for f in table.inputFiles()}
+    assert {f.partition("=")[::2] for f in folders} == {
+        ("trade_date", d or "__HIVE_DEFAULT_PARTITION__") for d in days}
+    assert same(table, queries._flat_snapshot(w.snapshots()))
+
+
 def test_running_totals_with_and_without_hot_keys(spark, monkeypatch):
     rows = spark.range(3_000).select(
         F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 50 > 0, F.concat(
