@@ -1,5 +1,6 @@
 """What keeps the work of large inputs in proportion: layout, partitions, rows moved."""
 
+import pathlib
 from types import SimpleNamespace
 
 import pyarrow.parquet as pq
@@ -11,7 +12,14 @@ from orderloom.operators import skew
 from orderloom.operators.events import dedup_events
 from orderloom.plans import queries, workspace
 from orderloom.plans.workspace import Workspace, write_topic
-from orderloom.session import SHUFFLE_PARTITIONS, FIRST_PARTITIONS, TASK_BYTES, prepare, size_for
+from orderloom.session import (
+    FIRST_PARTITIONS,
+    SHUFFLE_PARTITIONS,
+    TASK_BYTES,
+    buckets_of,
+    prepare,
+    size_for,
+)
 from orderloom.sources import derived
 
 ORDERS = """o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
@@ -140,6 +148,43 @@ def test_tasks_share_a_file_of_the_topic(spark, tmp_path):
     assert len(groups) == 3 and min(groups) > 1
 
 
+def test_topic_alone_writes_no_log(spark, tmp_path):
+    """The messages are those of the log, which nobody has asked for; no dictionary holds them."""
+    w = Workspace(spark, write_tables(spark, tmp_path, copies=2))
+    path = w.topic_path().removeprefix("file:")
+    assert w._key("event_log") not in workspace._written
+    assert same(w.topic(), derived.messages(w.event_log()))
+    assert same(w.messages(), w.topic())
+    column = next(c for f in pathlib.Path(path).glob("*.parquet")
+                  for c in pq.ParquetFile(f).metadata.row_group(0).to_dict()["columns"]
+                  if c["path_in_schema"] == "value")
+    assert not any("DICTIONARY" in e for e in column["encodings"])
+
+
+def test_stores_follow_the_input(spark):
+    """Spark's default number of partitions is no choice of the caller, and each store has files in
+    every micro-batch. Tables in buckets keep their number."""
+    cores = spark.sparkContext.defaultParallelism
+    for given in (None, 60):
+        session = spark.newSession()
+        session.conf.unset(SHUFFLE_PARTITIONS)
+        if given:
+            session.conf.set(SHUFFLE_PARTITIONS, str(given))
+        assert size_for(session, 1000).conf.get(SHUFFLE_PARTITIONS) == str(max(given or 0, cores))
+        assert size_for(session, 400 * TASK_BYTES).conf.get(SHUFFLE_PARTITIONS) == "160"
+        assert buckets_of(session) == 400
+
+
+def test_links_move_only_events_that_may_repeat(spark, tmp_path, monkeypatch):
+    w, given = Workspace(spark, write_tables(spark, tmp_path, copies=2)), []
+    whole = queries.ev.dedup_events
+    monkeypatch.setattr(queries.ev, "dedup_events", lambda events, stored=False: given.append(
+        stored) or whole(events, stored))
+    links = queries.linkages(w)
+    assert given[0]
+    assert same(links, queries.lk.linkages(whole(w.event_log())))
+
+
 def test_growing_topic_comes_from_the_log(spark, tmp_path):
     """Every message is written once, in few files."""
     w, seen = Workspace(spark, write_tables(spark, tmp_path)), []
